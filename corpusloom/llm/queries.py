@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, mixing, quality, simhash
+from . import chat, decontam, mixing, phrases, quality, simhash, suffix
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat,
+    "op4_suffix_array": suffix.op4_suffix_array,
     "op5_quality_rules": quality.op5_quality,
+    "op6_phrases": phrases.op6_phrases,
     "op7_mixing": mixing.op7_mixing,
     "op9_decontamination": decontam.op9_decontamination,
     "op10_simhash": simhash.op10_simhash,
