@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, mixing, phrases, quality, simhash, suffix
+from . import chat, decontam, mixing, phrases, quality, simhash, suffix, warc
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat,
+    "op3_warc": warc.op3_warc,
     "op4_suffix_array": suffix.op4_suffix_array,
     "op5_quality_rules": quality.op5_quality,
     "op6_phrases": phrases.op6_phrases,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
+    "op3_warc": warc.OP3_SQL,
     "op5_quality_rules": quality.OP5_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op9_decontamination": decontam.OP9_SQL,
