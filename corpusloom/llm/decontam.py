@@ -63,7 +63,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
     # rarity of the benchmark's words over all documents
     vocabulary = windows.select(F.explode("words").alias("word")).distinct()
-    spoken = own.select(F.explode(words_of(F.col("text"))).alias("raw")).select(folded(F.col("raw")).alias("said"))
+    spoken = own.select(F.explode_outer(words_of(F.col("text"))).alias("raw")).select(folded(F.col("raw")).alias("said"))
     counted = spoken.join(hint(vocabulary), F.col("said") == F.col("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     rarity = materialize(counted, "benchmark-rarity")
     placed = windows.select("words", "ids", F.posexplode("words").alias("at", "word")).join(hint(rarity), "word")
@@ -72,18 +72,20 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     prefix = prefix.where(F.col("known") == F.size("words")).select("words", "ids", F.col("rarest.word").alias("word"), F.col("rarest.at").alias("at"), F.size("words").alias("len"))
     prefix = materialize(prefix, "benchmark-prefixes")
 
-    # candidates: documents that have the rarest word where the window would fit
-    split = own.select("key", "tag", words_of(F.col("text")).alias("all"))
+    # (outer explodes keep the optimizer from splitting every text once more to drop empty ones)
+    # candidates: documents that have the rarest word where the window would fit, compared in the join
+    # itself, so that the document's words are not copied for each of its words
+    split = own.select("key", "tag", F.transform(words_of(F.col("text")), folded).alias("all"))
+    fits = (F.col("pos") >= F.col("at")) & (F.col("pos") - F.col("at") + F.col("len") <= F.size("all"))
+    there = F.slice("all", F.col("pos") - F.col("at") + 1, F.col("len")) == F.col("words")
     if small:
-        spoken = split.select("key", "tag", "all", F.posexplode("all").alias("pos", "raw"))
-        met = spoken.join(F.broadcast(prefix), folded(F.col("raw")) == F.col("word"))
+        spoken = split.select("key", "tag", "all", F.posexplode_outer("all").alias("pos", "said"))
+        met = spoken.join(F.broadcast(prefix), (F.col("said") == F.col("word")) & fits & there)
     else:
-        spoken = split.select("key", "tag", F.posexplode("all").alias("pos", "raw")).select("key", "tag", "pos", folded(F.col("raw")).alias("said"))
+        spoken = split.select("key", "tag", F.posexplode_outer("all").alias("pos", "said"))
         spots = spoken.join(prefix, F.col("said") == F.col("word")).select(F.col("key").alias("k"), F.col("tag").alias("t"), "pos", "words", "ids", "at", "len")
-        met = split.dropDuplicates(["key", "tag"]).join(spots, F.col("key").eqNullSafe(F.col("k")) & (F.col("tag") == F.col("t")))
-    fits = (F.col("pos") >= F.col("at")) & (F.col("pos") - F.col("at") + F.col("len") <= F.size("all"))
-    there = F.transform(F.slice("all", F.col("pos") - F.col("at") + 1, F.col("len")), folded)
-    found = met.where(fits).where(there == F.col("words")).select("key", "tag", (F.col("pos") - F.col("at")).alias("start"), "len", "ids")
+        met = split.dropDuplicates(["key", "tag"]).join(spots, F.col("key").eqNullSafe(F.col("k")) & (F.col("tag") == F.col("t")) & fits & there)
+    found = met.select("key", "tag", (F.col("pos") - F.col("at")).alias("start"), "len", "ids")
 
     # words hit: the union of the occurrences
     spans = found.groupBy("key", "tag").agg(F.array_sort(F.collect_set(F.struct("start", "len"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("hit_ids"))
