@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, mixing, phrases, quality, simhash, suffix, warc
+from . import chat, decontam, mixing, ngram, phrases, quality, secrets, simhash, suffix, warc
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat,
+    "op2_secret_scan": secrets.op2_secret_scan,
     "op3_warc": warc.op3_warc,
     "op4_suffix_array": suffix.op4_suffix_array,
     "op5_quality_rules": quality.op5_quality,
     "op6_phrases": phrases.op6_phrases,
     "op7_mixing": mixing.op7_mixing,
+    "op8_kneser_ney": ngram.op8_kneser_ney,
     "op9_decontamination": decontam.op9_decontamination,
     "op10_simhash": simhash.op10_simhash,
 }
