@@ -110,6 +110,12 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     )
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents in which no window of an item occurs."""
+    hit = contamination(docs, items, key, text, **options).where("contaminated").select(F.col(key).alias("hit_key"), F.col("tag").alias("hit_tag")).distinct()
+    return docs.join(materialize(hit, "contaminated"), F.col(key).eqNullSafe(F.col("hit_key")) & (F.xxhash64(text) == F.col("hit_tag")), "left_anti")
+
+
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")

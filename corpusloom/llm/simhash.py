@@ -155,6 +155,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return marked.join(named, "fp").select(key, "fp", "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of every class: that with the smallest key, null keys last, and of equal keys one text.
+
+    Which rows stay is found on rows of a few numbers; the texts are exchanged once, by key and hash.
+    """
+    place, tag = "near_dup_key", "near_dup_tag"
+    own = docs.select("*", F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias(place), F.xxhash64(text).alias(tag))
+    marked = fingerprints(docs.select(F.struct(F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias(place), F.xxhash64(text).alias(tag)).alias("who"), F.col(text).alias("text")), "who", "text")
+    marked = materialize(marked, "fingerprints")
+    first = materialize(marked.groupBy("fp").agg(F.min("who").alias("who")), "fingerprint-classes")
+    joined = components(materialize(links(first.select("fp")), "fingerprint-links"))
+    rooted = first.join(joined, first["fp"] == joined["node"], "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("who").alias("who"))
+    stay = rooted.select(F.col(f"who.{place}").alias("stay_key"), F.col(f"who.{tag}").alias("stay_tag"))
+    kept = own.join(stay, (own[place] == stay["stay_key"]) & (own[tag] == stay["stay_tag"]), "left_semi")
+    if not marked.groupBy("who").count().where("count > 1").isEmpty():  # rows that are repeated as they are
+        kept = kept.dropDuplicates([place, tag])
+    return kept.drop(place, tag)
+
+
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
