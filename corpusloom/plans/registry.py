@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import audit
+from . import audit, candidates, classify, coverage, lines
 
-_MODULES = (audit,)
+_MODULES = (audit, classify, lines, coverage, candidates)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
 FLAGSHIP = "audit_summary"
