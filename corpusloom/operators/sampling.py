@@ -1,0 +1,45 @@
+"""Review samples under quotas: bounded candidates from Spark, a greedy choice over them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .audit import central_rows
+
+
+def representative_samples(summary: DataFrame, coverage: DataFrame, quota: int, chosen: set[str] | None = None, cap: int = 2, relax: int = 5) -> DataFrame:
+    """(sample_rank, row_id, coverage_cell_key, distance): rows near the median length of their cells.
+
+    The median is that of the whole cell; it isn't taken anew when rows of the cell have been chosen.
+
+    Cells come by target, shortage and key, each twice a pass; cells and seeds have caps that grow by
+    one a pass, at most ``relax`` times. The choice depends on its own past and so is made on the
+    driver, over at most ``quota * (cap + relax)`` cells and as many rows of each: a bound that
+    follows from the quota, not from the data.
+    """
+    spark, taken = summary.sparkSession, set(chosen or ())
+    share = F.when(F.col("planned_target") > 0, F.col("shortage") / F.col("planned_target")).otherwise(0.0)
+    bound = quota * (cap + relax)
+    cells = [r[0] for r in coverage.where("actual_ok > 0").orderBy(F.desc("planned_target"), F.desc(share), "coverage_cell_key").select("coverage_cell_key").limit(bound).collect()]
+    near = central_rows(summary.where(F.col("coverage_cell_key").isin(cells)) if cells else summary.limit(0), "coverage_cell_key").where(F.col("place") <= bound + len(taken))
+    rows: dict[str, list] = {}
+    for r in near.orderBy("coverage_cell_key", "place").select("coverage_cell_key", "row_id", "seed_candidate_id", F.col("distance").cast("long").alias("distance")).collect():
+        rows.setdefault(r.coverage_cell_key, []).append(r)
+    picked, by_cell, by_seed = [], {}, {}
+    for extra in range(relax + 1):
+        for _ in range(2):
+            for cell in cells:
+                if len(picked) >= quota:
+                    break
+                if by_cell.get(cell, 0) >= cap + extra:
+                    continue
+                row = next((r for r in rows.get(cell, ()) if r.row_id not in taken and not (r.seed_candidate_id and by_seed.get(r.seed_candidate_id, 0) >= cap + extra)), None)
+                if row is not None:
+                    picked.append((len(picked) + 1, row.row_id, cell, row.distance))
+                    taken.add(row.row_id)
+                    by_cell[cell] = by_cell.get(cell, 0) + 1
+                    by_seed[row.seed_candidate_id] = by_seed.get(row.seed_candidate_id, 0) + 1
+        if len(picked) >= quota:
+            break
+    return spark.createDataFrame(picked, "sample_rank long, row_id string, coverage_cell_key string, distance long")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import PLACEHOLDERS
 from ..operators import audit as A
+from ..operators.sampling import representative_samples
 from ..sources.views import audit_rows
 from .dialect import DUCK, Spark, check_sql, spark_query
 
@@ -163,6 +164,7 @@ QUERIES = {
     "agency_template_counts": _templates,
     "content_samples": _content_samples,
     "anomaly_samples": _anomalies,
+    "review_samples": lambda s, d: representative_samples(_summary(s, d), A.coverage_actual(rows_of(s, d), cells_of(s, d)), 20),
     "audit_summary": lambda s, d: A.audit_summary(rows_of(s, d), cells_of(s, d)),
 }
 _GROUP = "SELECT metric, group_id, row_id_a AS representative_row_id, group_size, group_size > 2 AS pair_rows_truncated FROM groups WHERE metric = "

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from ..streaming import ingest
 from . import audit, candidates, classify, coverage, lines
 
-_MODULES = (audit, classify, lines, coverage, candidates)
+_MODULES = (audit, classify, lines, coverage, candidates, ingest)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
 FLAGSHIP = "audit_summary"
