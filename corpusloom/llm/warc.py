@@ -177,7 +177,7 @@ def central_directory(source: pa.NativeFile) -> list[Member]:
     tail_at = max(0, total - (22 + 0xFFFF + 20))
     tail = _at(source, tail_at, total - tail_at)
     end = tail.rfind(b"PK\5\6")
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+    while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
         end = tail.rfind(b"PK\5\6", 0, end)
     if end < 0:
         raise ValueError("no end of central directory")
