@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-KEY = F.concat_ws("::", F.col("user_id").cast("string"), "event_type", F.to_date("ts").cast("string"))
+
+def dedup_key() -> Column:
+    """One event a user, type and day."""
+    return F.concat_ws("::", F.col("user_id").cast("string"), "event_type", F.to_date("ts").cast("string"))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,7 +58,7 @@ def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     A batch that is repeated after a failure appends nothing new, so the checkpoint may lag behind.
     """
     base = f"{shared_dir(spark)}/corpusloom/ingest-{uuid.uuid4().hex}"
-    keyed = event_stream(spark, sf_dir).select("event_id", KEY.alias("dedup_key"))
+    keyed = event_stream(spark, sf_dir).select("event_id", dedup_key().alias("dedup_key"))
     query: StreamingQuery = keyed.writeStream.foreachBatch(lambda df, _: upsert_new(df, f"{base}/table")).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.parquet(f"{base}/table")
