@@ -46,13 +46,15 @@ def with_placeholders(text: Column, numbers: str = "compat") -> Column:
 
     ``compat`` keeps only the last digit of an article number of several digits; ``strict`` all.
     """
+    replaced = text
     for pattern, by in PLACEHOLDERS:
-        text = F.regexp_replace(text, pattern, by)
-    return F.regexp_replace(text, NUMBER[numbers], "<NUM>")
+        replaced = F.regexp_replace(replaced, pattern, by)
+    # every pattern needs a digit, which most texts don't have
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(replaced, NUMBER[numbers], "<NUM>")).otherwise(text)
 
 
-def normalized_hash(title: Column, body: Column, agency: Column, numbers: str = "compat") -> Column:
-    text = combined(title, body)
+def normalized_hash(text: Column, agency: Column, numbers: str = "compat") -> Column:
+    """Hash of a :func:`combined` text without what varies between copies."""
     named = F.when(F.coalesce(agency, F.lit("")) == "", text).otherwise(F.replace(text, agency, F.lit("<AGENCY>")))
     return F.sha2(with_placeholders(named, numbers), 256)
 

@@ -40,20 +40,22 @@ def row_errors(rows: DataFrame, cell_keys: DataFrame) -> DataFrame:
 
 def summaries(rows: DataFrame, numbers: str = "compat") -> DataFrame:
     """Valid ok rows without their bodies: ids, seeds, hashes, fingerprint, body length."""
-    return rows.where("status = 'ok'").select(
+    said = rows.where("status = 'ok'").withColumn("said", X.combined(F.col("title"), F.col("body_text")))
+    return said.select(
         "row_id", "arrival", "clause_no", "coverage_cell_key", "template_id", "agency_category", "seed_candidate_id", "seed_extraction_id",
         F.length(F.coalesce("body_text", F.lit(""))).cast("long").alias("body_length"),
-        X.raw_hash(F.col("title"), F.col("body_text")).alias("raw_hash"),
-        X.normalized_hash(F.col("title"), F.col("body_text"), F.col("ordering_agency"), numbers).alias("normalized_hash"),
+        F.sha2("said", 256).alias("raw_hash"),
+        X.normalized_hash(F.col("said"), F.col("ordering_agency"), numbers).alias("normalized_hash"),
         X.structure_fingerprint(F.col("template_id"), F.col("doc_type"), F.col("body_text")).alias("fingerprint"),
     )
 
 
 def duplicate_groups(summary: DataFrame, metric: str, column: str) -> DataFrame:
     """Groups of two or more: size, smallest row, and the pair of the two smallest rows."""
+    summary = summary.select(column, "row_id", "seed_candidate_id", "seed_extraction_id")
     size = summary.groupBy(column).agg(F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
     first = W.partitionBy(column).orderBy("row_id")
-    two = summary.select(column, "row_id", "seed_candidate_id", "seed_extraction_id").withColumn("n", F.row_number().over(first)).where("n <= 2")
+    two = summary.withColumn("n", F.row_number().over(first)).where("n <= 2")
     pair = two.groupBy(column).agg(
         F.min_by("row_id", "n").alias("row_id_a"), F.max_by("row_id", "n").alias("row_id_b"),
         (F.min_by("seed_candidate_id", "n") == F.max_by("seed_candidate_id", "n")).alias("shared_candidate"),
