@@ -84,8 +84,16 @@ def learn_corpus(docs: DataFrame, text: str = "text", dictionary: int = DICTIONA
     table = counts.reshape(256, 256)
     surprise = -np.log2(table / table.sum(axis=1, keepdims=True))
     words = docs.select(F.explode_outer(F.split(F.lower(F.col(text)), "[^a-z]+")).alias("word")).where(F.length("word").between(3, 24))
-    frequent = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 2").orderBy(F.desc("n"), "word").limit(dictionary)
-    return Knowledge(surprise.astype(np.float32), frozenset(r.word.encode() for r in frequent.select("word").collect()))
+    counted = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 2").withColumn("level", F.floor(F.log2("n") * 16).cast("int")), "word-counts")
+    # the most frequent words, whole levels of frequency at a time, without sorting all words in one place
+    least, total = None, 0
+    for r in counted.groupBy("level").count().orderBy(F.desc("level")).collect():  # at most 16 levels for each doubling
+        total += r["count"]
+        if total > dictionary:
+            break
+        least = r.level
+    frequent = counted.where(F.col("level") >= least).select("word").collect() if least is not None else []
+    return Knowledge(surprise.astype(np.float32), frozenset(r.word.encode() for r in frequent))
 
 
 def candidates(raw: bytes) -> list[tuple[int, int]]:
@@ -164,13 +172,16 @@ def _contrast(doc_id: object, words: list[str]) -> Iterator[tuple[str, int]]:
 
 
 def labelled_findings(docs: DataFrame, known: Knowledge, most: int = LABELLED, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """(features, label) of at most ``most`` findings, from documents in the order of their ids' hashes.
+    """(features, label) of at most ``most`` findings, from documents that a hash of their ids picks.
 
     A finding in a document counts as a secret if it stands quoted behind the name of one and an
     equals sign; other findings count as harmless. Lines made from the document's words and hash
     add secrets in other surroundings, and placeholders, digests and numbers that are none.
     """
-    few = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.col(path).cast("string").alias("path")).orderBy(F.xxhash64(key)).limit(most // 12)
+    wanted, there = most // 12, docs.count()
+    part = (1 << 20) if there <= wanted else max(1, int((1 << 20) * 0.8 * wanted / there))
+    few = docs.where(F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(1 << 20)) < part)
+    few = few.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.col(path).cast("string").alias("path")).limit(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
