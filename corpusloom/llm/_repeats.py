@@ -25,6 +25,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +33,11 @@ from . import _bytes as B
 from ._store import materialize
 
 #: A bucket or shard is meant to stand for so many bytes of text.
-BUCKET_BYTES = 48 << 20
+BUCKET_BYTES = 24 << 20
 MAX_HOT = 1_000_000
 LAST = np.iinfo(np.int64).max
+#: Rows that share a text are dealt to so many tasks.
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -168,6 +171,14 @@ def _pack(bucket: int, who: np.ndarray, code: np.ndarray, settled: bool) -> tupl
     return bucket, who[head].tobytes(), np.diff(np.append(head, len(who))).astype(np.int32).tobytes(), code.tobytes(), settled
 
 
+def _packed(part: np.ndarray, who: np.ndarray, code: np.ndarray, parts: int, settled: bool) -> list[tuple]:
+    """Rows by part, in each the texts with their anchors."""
+    order = np.lexsort((who, part))
+    part, who, code = part[order], who[order], code[order]
+    edge = np.flatnonzero(np.diff(part, prepend=-1, append=parts))
+    return [_pack(int(part[a]), who[a:b], code[a:b], settled) for a, b in zip(edge[:-1], edge[1:])]
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -178,12 +189,14 @@ _PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("who", pa.binary()), ("count
 def _marker(plan: Repeats, buckets: int):
     """Rows (tag, text) -> packed anchors."""
 
-    def mark(tags: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> list[tuple]:
+    def found(tags: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         items = items_of(data, offsets, plan.unit)
         at, code = anchors(items.value, items.first, plan)
-        if not len(at):
+        return code, tags[np.searchsorted(items.first, at, "right") - 1]
+
+    def mark(code: np.ndarray, who: np.ndarray) -> list[tuple]:
+        if not len(code):
             return []
-        who = tags[np.searchsorted(items.first, at, "right") - 1]
         order = np.lexsort((who, code))
         code, who = code[order], who[order]
         same_code = np.append(False, code[1:] == code[:-1])
@@ -195,79 +208,88 @@ def _marker(plan: Repeats, buckets: int):
         texts = np.bincount(group, weights=~same_both)
         shared = (texts > 1) | twice
         known = shared[group] & ~same_both
-        rows = []
         # what this task knows to be shared needs no answer
-        w, c = who[known], code[known]
-        order = np.argsort(w, kind="stable")
-        w, c = w[order], c[order]
-        part = (w % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
-        w, c, part = w[order], c[order], part[order]
-        edge = np.flatnonzero(np.diff(part, prepend=-1, append=buckets))
-        rows += [_pack(int(part[a]), w[a:b], c[a:b], True) for a, b in zip(edge[:-1], edge[1:])]
-        # one row tells others of it, with the number of texts in the place of a text
+        rows = _packed((who[known] % np.uint64(buckets)).astype(np.int32), who[known], code[known], buckets, True)
+        # others are told of it once, with the number of texts; what one text has is asked for
         heads = np.flatnonzero(~same_code)
-        w = np.where(shared, np.uint64(0), who[heads])
-        c, many = code[heads], np.where(shared, np.maximum(texts, 2), 1).astype(np.int32)
+        one = heads[~shared]
+        rows += _packed((B.mix(code[one]) % np.uint64(buckets)).astype(np.int32), who[one], code[one], buckets, False)
+        c, many = code[heads[shared]], np.maximum(texts[shared], 2).astype(np.int32)
         part = (B.mix(c) % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(part, kind="stable")
-        w, c, many, part = w[order], c[order], many[order], part[order]
+        c, many, part = c[order], many[order], part[order]
         edge = np.flatnonzero(np.diff(part, prepend=-1, append=buckets))
-        for a, b in zip(edge[:-1], edge[1:]):
-            rows.append((int(part[a]), w[a:b].tobytes(), many[a:b].tobytes(), c[a:b].tobytes(), False))
-        return rows
+        return rows + [(int(part[a]), b"", many[a:b].tobytes(), c[a:b].tobytes(), False) for a, b in zip(edge[:-1], edge[1:])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tags = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             data, offsets = B.buffers(batch.column(1))
-            for i, j in B.slices(offsets):
-                if rows := mark(tags[i:j], data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]):
-                    yield _batch(rows, _PACKED_ARROW)
+            parts = [found(tags[i:j], data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in B.slices(offsets)]
+            if rows := mark(*(np.concatenate(x) for x in zip(*parts))) if parts else []:
+                yield _batch(rows, _PACKED_ARROW)
 
     return run
 
 
 def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+    """All binaries of a column as one array; a binary column already holds them back to back."""
+    return B.buffers(column)[0].view(kind)
 
 
-def _sharer(plan: Repeats):
-    """A bucket's packed anchors -> (tag, codes) that are shared; tag null: hot anchors."""
-    out = pa.schema([("tag", pa.int64()), ("codes", pa.binary())])
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(text, anchor) of packed rows."""
+    count = _joined(table.column("count"), np.int32)
+    return np.repeat(_joined(table.column("who"), np.uint64), count), _joined(table.column("code"), np.uint64)
+
+
+def _sharer(plan: Repeats, parts: int):
+    """A bucket's packed anchors -> those that are shared, packed by part of the texts; in part -1 the hot ones."""
 
     def run(table: pa.Table) -> pa.Table:
         done = table.column("settled").combine_chunks().to_numpy(zero_copy_only=False)
+        names = pc.equal(pc.binary_length(table.column("who")), 0).combine_chunks().to_numpy(zero_copy_only=False)
+        settled, asked, told = (table.filter(pa.array(f)) for f in (done, ~done & ~names, ~done & names))
+        del table
+        who, code = _unpacked(asked)
+        many = _joined(told.column("count"), np.int32)
+        many = np.concatenate([np.ones(len(who), np.int32), many])
+        code = np.concatenate([code, _joined(told.column("code"), np.uint64)])
+        who = np.concatenate([who, np.zeros(len(code) - len(who), np.uint64)])
+        del asked, told
         rows: list[tuple] = []
-        settled = table.filter(pa.array(done))
-        for who, count, code in zip(*(settled.column(c).to_pylist() for c in ("who", "count", "code"))):
-            bound = np.append(0, np.cumsum(np.frombuffer(count, np.int32))) * 8
-            rows += [(t, code[a:b]) for t, a, b in zip(np.frombuffer(who, np.int64).tolist(), bound[:-1], bound[1:])]
-        asked = table.filter(pa.array(~done))
-        who, many, code = _joined(asked.column("who"), np.uint64), _joined(asked.column("count"), np.int32), _joined(asked.column("code"), np.uint64)
         if len(code):
             order = np.argsort(code, kind="stable")
             who, many, code = who[order], many[order], code[order]
             head = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
             total = np.add.reduceat(many, head)
             other = np.maximum.reduceat(who, head) != np.minimum.reduceat(who, head)  # exact copies are one text
-            told = np.maximum.reduceat(many, head) > 1
-            shared = np.repeat(other | told, np.diff(np.append(head, len(code)))) & (who != 0)
-            w, c = who[shared], code[shared]
-            order = np.argsort(w, kind="stable")
-            w, c = w[order], c[order]
-            edge = np.append(np.flatnonzero(np.append(True, w[1:] != w[:-1])), len(w)) if len(w) else np.zeros(1, np.int64)
-            rows += [(t, c[a:b].tobytes()) for t, a, b in zip(w[edge[:-1]].view(np.int64).tolist(), edge[:-1], edge[1:])]
+            sure = np.maximum.reduceat(many, head) > 1
+            shared = np.repeat(other | sure, np.diff(np.append(head, len(code)))) & (who != 0)
+            rows = _packed((who[shared] % np.uint64(parts)).astype(np.int32), who[shared], code[shared], parts, True)
             hot = code[head][total >= plan.hot]
             if len(hot):
-                rows.append((None, hot.tobytes()))
-        return pa.Table.from_batches([_batch(rows, out)] if rows else [], out)
+                rows.append((-1, b"", b"", hot.tobytes(), True))
+        found = [_batch(rows, _PACKED_ARROW)] if rows else []
+        return pa.Table.from_batches([*settled.cast(_PACKED_ARROW).to_batches(), *found], _PACKED_ARROW)
 
     return run
 
 
+def _gather_codes(table: pa.Table) -> pa.Table:
+    """A part's packed anchors -> (tag, codes): the shared anchors of each text."""
+    out = pa.schema([("tag", pa.int64()), ("codes", pa.binary())])
+    who, code = _unpacked(table)
+    order = np.argsort(who, kind="stable")
+    who, code = who[order], code[order]
+    edge = np.append(np.flatnonzero(np.append(True, who[1:] != who[:-1])), len(who)) if len(who) else np.zeros(1, np.int64)
+    rows = [(t, code[a:b].tobytes()) for t, a, b in zip(who[edge[:-1]].view(np.int64).tolist(), edge[:-1], edge[1:])]
+    return pa.Table.from_batches([_batch(rows, out)] if rows else [], out)
+
+
 _SENT = "shard int, kind int, anchor binary, doc binary, who binary, lo binary, rel binary, items binary, size binary, data binary"
 _SENT_ARROW = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), *((c, pa.binary()) for c in ("anchor", "doc", "who", "lo", "rel", "items", "size", "data"))])
+#: Numbers of a context; its bytes travel compressed, and a row's sizes tell how long they are.
 _KINDS = {"anchor": np.uint64, "doc": np.int64, "who": np.int64, "lo": np.int32, "rel": np.int32, "items": np.int32, "size": np.int32}
 
 
@@ -281,7 +303,7 @@ def _cutter(plan: Repeats, shards: int, hot: np.ndarray):
             return
         doc = np.searchsorted(items.first, at, "right") - 1
         # which anchors are shared: codes are listed by document
-        listed = [np.frombuffer(b"".join(x), np.uint64) for x in codes]
+        listed = [np.frombuffer(x, np.uint64) for x in codes]
         known = B.mix(np.concatenate(listed) + B.mix(B.repeat_index(np.array(list(map(len, listed)))).astype(np.uint64)))
         kept = np.isin(B.mix(code + B.mix(doc.astype(np.uint64))), known)
         lo, hi = reigns(at, code, doc, items.first, plan)
@@ -327,7 +349,7 @@ def _cutter(plan: Repeats, shards: int, hot: np.ndarray):
         for a, b in zip(edge[:-1], edge[1:]):
             x = s[a:b]
             columns = (code[x], ids[doc[x]], dk[doc[x]], (lo - base)[x].astype(np.int32), (at - lo)[x].astype(np.int32), width[x].astype(np.int32), size[a:b].astype(np.int32))
-            yield int(part[a]), 0, *(c.tobytes() for c in columns), gather(items.data, begin[a:b], size[a:b]).tobytes()
+            yield int(part[a]), 0, *(c.tobytes() for c in columns), pa.compress(gather(items.data, begin[a:b], size[a:b]).tobytes(), "zstd", asbytes=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -356,16 +378,26 @@ def intervals(who: np.ndarray, start: np.ndarray, width: int, covered: np.ndarra
     return who[a], start[a], start[b] - start[a] + width
 
 
-def _solver(plan: Repeats):
-    """A shard's contexts -> (dk, spans): covered intervals of documents, as pairs of start and length."""
-    out = pa.schema([("dk", pa.int64()), ("spans", pa.binary())])
+_COVERED = "part int, who binary, start binary, size binary"
+_COVERED_ARROW = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("who", "start", "size"))])
+
+
+def _solver(plan: Repeats, parts: int):
+    """A shard's contexts -> covered intervals, packed by part of the documents."""
 
     def run(table: pa.Table) -> pa.Table:
         kind = table.column("kind").combine_chunks().to_numpy(zero_copy_only=False)
         settled = table.filter(pa.array(kind == 1))
         found = [(_joined(settled.column("who"), np.int64), _joined(settled.column("lo"), np.int32).astype(np.int64), _joined(settled.column("items"), np.int32).astype(np.int64))]
         sent = table.filter(pa.array(kind == 0))
-        every = Contexts(*(_joined(sent.column(c), k) for c, k in _KINDS.items()), _joined(sent.column("data"), np.uint8))
+        sizes = [int(np.frombuffer(x, np.int32).sum()) for x in sent.column("size").to_pylist()]
+        data = np.empty(sum(sizes), np.uint8)
+        at = 0
+        for raw, size in zip(sent.column("data"), sizes):
+            data[at : at + size] = np.frombuffer(pa.decompress(raw.as_buffer(), size, "zstd"), np.uint8)
+            at += size
+        every = Contexts(*(_joined(sent.column(c), k) for c, k in _KINDS.items()), data)
+        del table, settled, sent
         order = np.argsort(every.anchor, kind="stable")
         code = every.anchor[order]
         head = np.append(True, code[1:] != code[:-1]) if len(code) else np.zeros(0, bool)
@@ -382,22 +414,35 @@ def _solver(plan: Repeats):
             nth = np.arange(len(index)) - np.repeat(np.cumsum(n) - n, n)
             found.append(intervals(some.who[index], some.lo[index].astype(np.int64) + nth, plan.window, plan.solve(some, plan), index))
         who, start, size = (np.concatenate(x) for x in zip(*found))
-        order = np.argsort(who, kind="stable")
-        who, pairs = who[order], np.stack([start[order], size[order]], axis=1).astype(np.int32)
-        edge = np.append(np.flatnonzero(np.append(True, who[1:] != who[:-1])), len(who)) if len(who) else np.zeros(1, np.int64)
-        rows = [(int(who[a]), pairs[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:])]
-        return pa.Table.from_batches([_batch(rows, out)] if rows else [], out)
+        part = (who.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, who, start, size = part[order], who[order], start[order].astype(np.int32), size[order].astype(np.int32)
+        edge = np.flatnonzero(np.diff(part, prepend=-1, append=parts))
+        rows = [(int(part[a]), who[a:b].tobytes(), start[a:b].tobytes(), size[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:])]
+        return pa.Table.from_batches([_batch(rows, _COVERED_ARROW)] if rows else [], _COVERED_ARROW)
 
     return run
 
 
-def covered_items(docs: DataFrame, plan: Repeats, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts, rows).
-
-    texts: (dk, text, spans) for the first document of every distinct text; spans is an array of
-    binaries, pairs of int32 (start, length) in items, or null. rows: (key, dk, first) for every
-    row of ``docs``: ``first`` tells whether it is such a first document; any other has an equal
-    text at a smaller key.
+def _gather_spans(table: pa.Table) -> pa.Table:
+    """A part's packed intervals -> (dk, spans): those of each document, as pairs of start and length."""
+    out = pa.schema([("dk", pa.int64()), ("spans", pa.binary())])
+    who, start, size = (_joined(table.column(c), k) for c, k in (("who", np.int64), ("start", np.int32), ("size", np.int32)))
+    order = np.argsort(who, kind="stable")
+    who, pairs = who[order], np.stack([start[order], size[order]], axis=1)
+    edge = np.append(np.flatnonzero(np.append(True, who[1:] != who[:-1])), len(who)) if len(who) else np.zeros(1, np.int64)
+    rows = [(int(who[a]), pairs[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:])]
+    return pa.Table.from_batches([_batch(rows, out)] if rows else [], out)
+
+
+def covered_items(docs: DataFrame, plan: Repeats, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts, rows, several).
+
+    texts: (dk, id, text, spans) for the first document of every distinct text; spans is a binary of
+    pairs of int32 (start, length) in items, or null. rows: (key, dk, first, salt) for
+    every row of ``docs``: ``first`` tells whether it is such a first document; any other has an
+    equal text at a smaller key. several: (s_dk) of texts that more than one row has. Rows take what
+    is known of their text through :func:`per_row`.
     """
     own = docs.select(docs[key].alias("key"), F.coalesce(docs[text], F.lit("")).alias("text")).withColumn("tag", F.xxhash64("text"))
     own = own.withColumn("id", F.coalesce(F.col("key").cast("long"), F.lit(int(LAST))))
@@ -407,30 +452,49 @@ def covered_items(docs: DataFrame, plan: Repeats, key: str = "doc_id", text: str
 
     plan = replace(plan, hot=max(plan.hot, total // MAX_HOT))  # so at most MAX_HOT anchors are hot
     marked = own.select("tag", "text").mapInArrow(_marker(plan, parts), _PACKED)
-    shared = materialize(marked.groupBy("bucket").applyInArrow(_sharer(plan), "tag long, codes binary"), "repeat-anchors")
-    hot = [r.codes for r in shared.where("tag IS NULL").select("codes").collect()]
+    shared = materialize(marked.groupBy("bucket").applyInArrow(_sharer(plan, parts), _PACKED), "repeat-anchors")
+    hot = [r.code for r in shared.where("bucket = -1").select("code").collect()]
     hot = np.sort(np.frombuffer(b"".join(hot), np.uint64))
 
-    first = light.groupBy("tag").agg(F.min("id").alias("id")).withColumn("dk", F.xxhash64("tag", "id"))
-    asked = shared.where("tag IS NOT NULL").groupBy("tag").agg(F.collect_list("codes").alias("codes"))
+    first = light.groupBy("tag").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).withColumn("dk", F.xxhash64("tag", "id"))
+    asked = shared.where("bucket >= 0").groupBy("bucket").applyInArrow(_gather_codes, "tag long, codes binary")
     asked = first.join(asked, "tag").select("dk", "codes")
     base = own.select(F.xxhash64("tag", "id").alias("dk"), "id", "text")
     if not light.groupBy("tag", "id").count().where("count > 1").isEmpty():
         base = base.dropDuplicates(["dk"])  # repeated rows are one document
     sent = base.join(asked.hint("shuffle_hash"), "dk").select("dk", "id", "text", "codes").mapInArrow(_cutter(plan, parts, hot), _SENT)
-    spans = sent.groupBy("shard").applyInArrow(_solver(plan), "dk long, spans binary").groupBy("dk").agg(F.collect_list("spans").alias("spans"))
+    covered = sent.groupBy("shard").applyInArrow(_solver(plan, parts), _COVERED)
+    spans = covered.groupBy("part").applyInArrow(_gather_spans, "dk long, spans binary")
     chosen = first.select("dk").join(spans, "dk", "left")
-    texts = base.join(chosen.hint("shuffle_hash"), "dk").select("dk", "text", "spans")
-    mine = first.select(F.col("tag").alias("f_tag"), F.col("id").alias("f_id"), F.col("dk"))
-    rows = light.join(mine, F.col("tag") == F.col("f_tag")).select("key", "dk", (F.col("id") == F.col("f_id")).alias("first"))
-    return texts, rows
+    # the same columns as above, so that the texts are exchanged once for both joins
+    texts = base.join(chosen.hint("shuffle_hash"), "dk").select("dk", "id", "text", "spans")
+    copied = first.where("n > 1").select(F.col("tag").alias("f_tag"), F.col("id").alias("f_id"), F.col("dk").alias("f_dk"), F.explode(_salts()).alias("f_salt"))
+    salt = F.pmod(F.xxhash64("key", "bytes"), F.lit(SALTS)).cast("int")
+    named = light.withColumn("salt", salt).join(copied, (F.col("tag") == F.col("f_tag")) & (F.col("salt") == F.col("f_salt")), "left")
+    rows = named.select(
+        "key", F.coalesce("f_dk", F.xxhash64("tag", "id")).alias("dk"), (F.col("f_id").isNull() | (F.col("id") == F.col("f_id"))).alias("first"),
+        F.when(F.col("f_id").isNull(), F.lit(0)).otherwise(F.col("salt")).alias("salt"),
+    )
+    several = first.where("n > 1").select(F.col("dk").alias("s_dk"))
+    return texts, rows, several
+
+
+def _salts():
+    return F.sequence(F.lit(0), F.lit(SALTS - 1))
+
+
+def per_row(rows: DataFrame, found: DataFrame, several: DataFrame) -> DataFrame:
+    """Rows with what was found for their text (by ``dk``); texts with many rows are copied under salts, so that no task gets all."""
+    salts = F.when(F.col("s_dk").isNull(), F.array(F.lit(0))).otherwise(_salts())
+    copied = found.join(several, found["dk"] == several["s_dk"], "left").withColumn("salt", F.explode(salts)).drop("s_dk")
+    return rows.join(copied, ["dk", "salt"]).drop("salt")
 
 
-def merged(spans: list[bytes] | None, n: int) -> np.ndarray:
+def merged(spans: bytes | None, n: int) -> np.ndarray:
     """Flags of the n items that the spans cover."""
     steps = np.zeros(n + 1, np.int64)
-    for packed in spans or ():
-        pairs = np.frombuffer(packed, np.int32).reshape(-1, 2).astype(np.int64)
+    if spans:
+        pairs = np.frombuffer(spans, np.int32).reshape(-1, 2).astype(np.int64)
         np.add.at(steps, pairs[:, 0], 1)
         np.add.at(steps, pairs[:, 0] + pairs[:, 1], -1)
     return np.cumsum(steps[:-1]) > 0

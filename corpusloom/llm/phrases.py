@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _bytes as B
-from ._repeats import Contexts, Repeats, covered_items, merged
+from ._repeats import Contexts, Repeats, covered_items, merged, per_row
 
 WINDOW = 20
 GRAM = 8
@@ -80,9 +80,9 @@ _OUT = "dk long, n_words long, n_removed long, kept_sha256 string"
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = B.buffers(batch.column(1))
+        data, offsets = B.buffers(batch.column(2))
         raw, rows = data.tobytes(), []
-        for i, spans in enumerate(batch.column(2).to_pylist()):
+        for i, spans in enumerate(batch.column(3).to_pylist()):
             words = raw[offsets[i] : offsets[i + 1]].split()
             gone = merged(spans, len(words))
             kept = [w for w, g in zip(words, gone.tolist()) if not g] if gone.any() else words
@@ -92,10 +92,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "text", plan: Repeats = PLAN) -> DataFrame:
     """(key, n_words, n_removed, kept_sha256) for every row."""
-    texts, rows = covered_items(docs, plan, key, text)
+    texts, rows, several = covered_items(docs, plan, key, text)
     cut = texts.mapInArrow(_cut, _OUT)
     whole = ~F.col("first") & (F.col("n_words") >= plan.window)  # all of it stands in a smaller document
-    return rows.join(cut, "dk").select(
+    return per_row(rows, cut, several).select(
         F.col("key").alias(key), "n_words",
         F.when(whole, F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
         F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.col("kept_sha256")).alias("kept_sha256"),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _bytes as B
-from ._repeats import Contexts, Repeats, covered_items, merged
+from ._repeats import Contexts, Repeats, covered_items, merged, per_row
 
 WINDOW = 50
 GRAM = 16
@@ -234,9 +234,9 @@ _OUT = "dk long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = B.buffers(batch.column(1))
+        data, offsets = B.buffers(batch.column(2))
         rows = []
-        for i, spans in enumerate(batch.column(2).to_pylist()):
+        for i, spans in enumerate(batch.column(3).to_pylist()):
             piece = data[offsets[i] : offsets[i + 1]]
             gone = merged(spans, len(piece))
             rows.append((len(piece), int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), hashlib.sha256(piece[~gone].tobytes()).hexdigest()))
@@ -245,10 +245,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", plan: Repeats = PLAN) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256) for every row."""
-    texts, rows = covered_items(docs, plan, key, text)
+    texts, rows, several = covered_items(docs, plan, key, text)
     cut = texts.mapInArrow(_cut, _OUT)
     whole = ~F.col("first") & (F.col("n_bytes") >= plan.window)  # all of it stands in a smaller document
-    return rows.join(cut, "dk").select(
+    return per_row(rows, cut, several).select(
         F.col("key").alias(key), "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.when(F.col("first"), F.col("n_removed")).otherwise(F.lit(0))).alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.when(F.col("first"), F.col("n_spans")).otherwise(F.lit(0))).cast("long").alias("n_spans"),
