@@ -1,23 +1,23 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text, and perplexities.
 
-The model reads symbols: every UTF-8 byte belongs to one of ``SYMBOLS`` classes (letters, capitals,
-digits, kinds of punctuation, parts of longer characters). Counts of ``ORDER``-grams are gathered
-over all trusted documents, in tasks first and then by an exchange. Continuation counts, discounts,
-context sums and lower orders are joined on their keys, sharded by the n-gram, into the
-probability of every n-gram seen and the weight of every context. As there are no more than
-SYMBOLS ** ORDER cells (64 MB), the finished table is small by construction however large the
-corpus, and is broadcast for the pass that scores all documents. A document is kept if its
-perplexity is within a quantile of the trusted documents of its language.
-
-Defined results: a text without bytes has no perplexity and is not kept; null is a language of its
-own; a language without trusted documents takes the threshold of all; a label that occurs twice
-counts once; without any trusted document nothing has a threshold and all texts are kept; repeated
-rows are judged one by one; an empty table gives an empty table.
+Documents are scored by the model over words in :mod:`.words`: what it gathers grows with the
+trusted texts, and its tables and the documents' trigrams meet in shards. As the texts a model was
+trained on look better to it than others do, one in ``HELD_OUT`` of the trusted texts, picked by their
+hashes, is kept out of the counts, and thresholds are quantiles of those. A document is kept if its
+perplexity is within the quantile of its language.
+
+The functions of byte classes (``train``, ``model_arrays``, ``score_table``) build a model of
+SYMBOLS ** ORDER cells at most. It takes no part in :func:`classify`.
+
+Defined results: a text without words has no perplexity and is not kept; null is a language of its
+own; a language without held-out texts takes the threshold of all; with fewer than
+``HELD_OUT_FROM`` trusted texts all are trained on, and give the thresholds; a label that occurs
+twice counts once; without any trusted document nothing has a threshold and all texts with words are
+kept; repeated rows are judged one by one; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _bytes as B
+from . import words
 from ._store import materialize
 
 ORDER = 4
@@ -34,6 +35,8 @@ SYMBOLS = 1 << BITS
 QUANTILE = 0.995
 #: Ids of trusted documents are broadcast up to this number (8 bytes each), else joined by exchange.
 BROADCAST_IDS = 2_000_000
+#: One in so many trusted texts gives the thresholds and isn't trained on, if there are so many trusted texts.
+HELD_OUT, HELD_OUT_FROM = 10, 200
 
 
 def _classes() -> np.ndarray:
@@ -140,47 +143,28 @@ def score_table(order: np.ndarray, code: np.ndarray, p: np.ndarray, weight: np.n
     return np.negative(table, out=table)
 
 
-_BUILT: dict[str, np.ndarray] = {}
-
-
-def _built(name: str, arrays: tuple[np.ndarray, ...]) -> np.ndarray:
-    """The table of a model, built once in each Python worker."""
-    if name not in _BUILT:
-        _BUILT.clear()
-        _BUILT[name] = score_table(*arrays)
-    return _BUILT[name]
-
-
-def perplexities(docs: DataFrame, arrays: tuple[np.ndarray, ...], key: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
-    """(key, lang, n_symbols, perplexity) for every row."""
-    sent, name = docs.sparkSession.sparkContext.broadcast(arrays), uuid.uuid4().hex
-    narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from corpusloom.llm.ngram import _built  # the worker's own module, so that the table outlives the task
-
-        table = _built(name, sent.value)
-        for batch in batches:
-            data, offsets = B.buffers(batch.column(2))
-            for i, j in B.slices(offsets):
-                at = offsets[i : j + 1] - offsets[i]
-                cost = table[grams(data[offsets[i] : offsets[j]], at)]
-                total = np.append(0.0, np.cumsum(cost, dtype=np.float64))
-                n = np.diff(at)
-                mean = (total[at[1:]] - total[at[:-1]]) / np.maximum(n, 1)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(n), pa.array(np.exp(mean), mask=n == 0)], names=["key", "lang", "n_symbols", "perplexity"])
-
-    return narrow.mapInArrow(run, "key long, lang string, n_symbols long, perplexity double")
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = B.buffers(batch.column(0))
+        for i, j in B.slices(offsets):
+            doc = words.texts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(doc)], names=["text", "doc"])
 
 
 def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, key: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
-    """(key, lang, n_symbols, perplexity, threshold, kept); ``trusted_ids`` has the column ``key``."""
+    """(key, lang, n_symbols, perplexity, threshold, kept); ``trusted_ids`` has the column ``key``, ``n_symbols`` counts words."""
     ids = trusted_ids.select(F.col(key).cast("long").alias("trusted")).where("trusted IS NOT NULL").distinct()
     ids = materialize(ids, "trusted-ids")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    model = train(docs.join(ids, docs[key] == ids["trusted"], "left_semi").select(F.col(text).alias("text")))
-    scored = materialize(perplexities(docs, model_arrays(model), key, lang, text), "perplexities")
+    held = F.lit(False)
+    if ids.count() >= HELD_OUT_FROM:
+        held = F.pmod(F.col("doc"), F.lit(HELD_OUT)) == 0
+    trusted = docs.join(ids, docs[key] == ids["trusted"], "left_semi").select(F.col(text).alias("text")).mapInArrow(_hashes, "text string, doc long")
+    model = words.train(trusted.where(~held))
+    scored = materialize(words.score(docs, model, key, lang, text), "perplexities")
     known = scored.join(ids, scored["key"] == ids["trusted"], "left_semi").where("perplexity IS NOT NULL")
+    if ids.count() >= HELD_OUT_FROM:
+        known = known.where(held)
     bound = F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")
     by_lang = known.groupBy(F.col("lang").alias("l")).agg(bound)
     overall = known.agg(bound).first()[0]

@@ -1,0 +1,255 @@
+"""Interpolated modified Kneser-Ney over words, its tables sharded and without a bound on their cells.
+
+A word is a run of letters, digits and bytes above 0x7F, or a run of other signs; it stands as a hash
+of 64 bits, 0 before the text. Trigrams of trusted texts are counted in tasks and by an exchange;
+continuation counts, discounts, context sums and lower orders are joined on their words. To score, the
+distinct trigrams of each text go to the shard of their middle word, as do the trigrams, bigrams and
+back-off weights of the model, and meet there; words whose bigram is unknown go on to the table of
+single words. Frequent middle words are spread over several shards, in which their bigrams and
+weights are repeated; their trigrams are not.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import _bytes as B
+from ._store import materialize
+
+#: Trigrams of documents in a shard, about; 40 bytes each, and their temporaries.
+SHARD_ROWS = 1_000_000
+LEAST_SHARDS = 24
+
+_KIND = np.full(256, 2, np.uint8)
+_KIND[np.flatnonzero(B.SPACE)] = 0
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(0x80, 256)]] = 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, edges): the hash of every word, and the index of each text's first word (one more than texts)."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    kind = _KIND[data]
+    fresh = np.ones(len(data), bool)
+    fresh[1:] = kind[1:] != kind[:-1]
+    edge = offsets[(offsets > 0) & (offsets < len(data))]
+    fresh[edge] = True
+    start = np.flatnonzero(fresh)
+    end = np.append(start[1:], len(data))
+    said = kind[start] > 0
+    start, end = start[said], end[said]
+    return B.span_hash(B.prefix_hash(B.BYTE_VALUE[data]), start, end).view(np.int64), np.searchsorted(start, offsets)
+
+
+def texts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The hash of every whole text: equal texts are scored alike."""
+    return B.span_hash(B.prefix_hash(B.BYTE_VALUE[data]), offsets[:-1], offsets[1:]).view(np.int64)
+
+
+def trigrams(word: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words before, one back): for every word the two that stand before it in its text."""
+    place = np.arange(len(word)) - np.repeat(edges[:-1], np.diff(edges))
+    back = [np.where(place >= k, np.concatenate([np.zeros(min(k, len(word)), np.int64), word[:-k]]), 0) for k in (2, 1)]
+    return back[0], back[1]
+
+
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, n): a row of each distinct combination, and how often it occurs."""
+    order = np.lexsort(columns)
+    fresh = np.ones(len(order), bool)
+    if len(order):
+        fresh[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    first = np.flatnonzero(fresh)
+    return order[first], np.diff(np.append(first, len(order)))
+
+
+def _batch(names: str, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names.split())
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple]:
+    for batch in batches:
+        data, offsets = B.buffers(batch.column(at))
+        for i, j in B.slices(offsets):
+            piece, where = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            yield batch.slice(i, j - i), texts(piece, where), *words(piece, where)
+
+
+def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, doc, _, edges in _sliced(batches, 2):
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(doc), pa.array(np.diff(edges).astype(np.int64))], names=["key", "lang", "doc", "n_symbols"])
+
+
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, _, word, _ in _sliced(batches, 0):
+        found, n = np.unique(word, return_counts=True)
+        yield _batch("w n", found, n.astype(np.int64))
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, _, word, edges in _sliced(batches, 0):
+        w1, w2 = trigrams(word, edges)
+        at, n = _runs(w1, w2, word)
+        yield _batch("w1 w2 w3 n", w1[at], w2[at], word[at], n.astype(np.int64))
+
+
+@dataclass(frozen=True)
+class Model:
+    """Tables (w1, w2, w3, p), (w2, w3, p), (w3, p) and back-off weights (w1, w2, weight), (w2, weight); ``unknown`` is the probability of a word that isn't in them."""
+
+    three: DataFrame
+    two: DataFrame
+    one: DataFrame
+    weight2: DataFrame
+    weight1: DataFrame
+    unknown: float
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
+    """D1, D2, D3+ from the numbers of n-grams that occur once, twice, three and four times."""
+    n1, n2, n3, n4 = (max(1, x) for x in (n1, n2, n3, n4))
+    y = n1 / (n1 + 2 * n2)
+    return [min(max(d, 0.05), k) for k, d in enumerate((1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3), 1)]
+
+
+def _order(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(counts with own_p, weights of contexts)"""
+    row = counts.agg(*(F.count_if(F.col("n") == k) for k in (1, 2, 3, 4))).first()
+    d = discounts(*row)
+    cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+    sums = counts.groupBy(*context).agg(F.sum("n").alias("total"), F.sum(cut).alias("saved"))
+    sums = materialize(sums.select(*context, "total", (F.col("saved") / F.col("total")).alias("weight")), "word-contexts")
+    joined = counts.join(sums, context) if context else counts.crossJoin(F.broadcast(sums))  # without a context, sums is one row
+    return joined.withColumn("own", (F.col("n") - cut) / F.col("total")), sums
+
+
+def train(trusted: DataFrame, text: str = "text") -> Model:
+    three = materialize(trusted.select(text).mapInArrow(_count, "w1 long, w2 long, w3 long, n long").groupBy("w1", "w2", "w3").agg(F.sum("n").alias("n")), "word-trigrams")
+    two = materialize(three.groupBy("w2", "w3").agg(F.count(F.lit(1)).alias("n")), "word-bigrams")
+    one = materialize(two.groupBy("w3").agg(F.count(F.lit(1)).alias("n")), "word-singles")
+    size = one.count() + 1  # with the unknown word
+    own, sums = _order(one, [])
+    saved = sums.first()["weight"]
+    unknown = 1.0 / size if saved is None else saved / size
+    p1 = materialize(own.select("w3", (F.col("own") + F.lit(unknown)).alias("p")), "word-p1")
+    own, weight1 = _order(two, ["w2"])
+    p2 = materialize(own.join(p1.withColumnRenamed("p", "below"), "w3").select("w2", "w3", (F.col("own") + F.col("weight") * F.col("below")).alias("p")), "word-p2")
+    own, weight2 = _order(three, ["w1", "w2"])
+    p3 = materialize(own.join(p2.withColumnRenamed("p", "below"), ["w2", "w3"]).select("w1", "w2", "w3", (F.col("own") + F.col("weight") * F.col("below")).alias("p")), "word-p3")
+    return Model(p3, p2, p1, weight2.select("w1", "w2", "weight"), weight1.select("w2", "weight"), unknown)
+
+
+def _mixed(*columns: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        out = B.mix(out * np.uint64(B.BASE) + c.view(np.uint64) + np.uint64(1))
+    return out
+
+
+def _look_up(keys: tuple, values: np.ndarray, wanted: tuple) -> np.ndarray:
+    """The value of each wanted key, or NaN."""
+    if not len(values):
+        return np.full(len(wanted[0]), np.nan)
+    have = _mixed(*keys)
+    order = np.argsort(have)
+    have, want = have[order], _mixed(*wanted)
+    at = np.minimum(np.searchsorted(have, want), len(have) - 1)
+    return np.where(have[at] == want, values[order][at], np.nan)
+
+
+def _spread(hot: tuple[np.ndarray, np.ndarray], w2: np.ndarray) -> np.ndarray:
+    """Over how many shards a middle word is spread."""
+    out = np.ones(len(w2), np.int64)
+    if len(hot[0]):
+        at = np.minimum(np.searchsorted(hot[0], w2), len(hot[0]) - 1)
+        out = np.where(hot[0][at] == w2, hot[1][at], 1)
+    return out
+
+
+def score(docs: DataFrame, model: Model, key: str = "doc_id", lang: str = "lang", text: str = "text", shard_rows: int = SHARD_ROWS, least_shards: int = LEAST_SHARDS) -> DataFrame:
+    """(key, lang, doc, n_symbols, perplexity) for every row; ``doc`` is the hash of the text, ``n_symbols`` its words."""
+    spark = docs.sparkSession
+    told = docs.select(F.col(key).cast("long").alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).mapInArrow(_tell, "key long, lang string, doc long, n_symbols long")
+    told = materialize(told, "word-documents")
+    total = told.agg(F.sum("n_symbols")).first()[0] or 0
+    shards = max(least_shards, total // shard_rows)
+    # words of more than half a shard: at most 2 * shards, and the word before the text
+    often = docs.select(F.col(text).alias("text")).mapInArrow(_single, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).where(F.col("n") > total / (2 * shards))
+    often = often.join(model.one, F.col("w") == F.col("w3"), "left").select("w", "n", "p").collect()
+    spread = {r.w: min(shards, 1 + 4 * r.n * shards // total) for r in often}
+    spread[0] = min(shards, 1 + 4 * told.count() * shards // max(1, total))
+    hot = np.array(sorted(spread), np.int64)
+    hot = hot, np.array([spread[w] for w in hot.tolist()], np.int64)
+    known = sorted((r.w, r.p if r.p is not None else model.unknown) for r in often)
+    sent = spark.sparkContext.broadcast((hot, np.array([w for w, _ in known], np.int64), np.array([p for _, p in known], np.float64)))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)  # copies within the task are scored once
+        for _, doc, word, edges in _sliced(batches, 0):
+            _, first = np.unique(doc, return_index=True)
+            fresh = np.zeros(len(doc), bool)
+            fresh[first] = True
+            fresh &= ~np.isin(doc, seen)
+            seen = np.concatenate([seen, doc[fresh]])
+            w1, w2 = trigrams(word, edges)
+            of, keep = np.repeat(doc, np.diff(edges)), np.repeat(fresh, np.diff(edges))
+            of, w1, w2, w3 = of[keep], w1[keep], w2[keep], word[keep]
+            at, n = _runs(w1, w2, w3, of)
+            of, w1, w2, w3 = of[at], w1[at], w2[at], w3[at]
+            shard = (_mixed(w2) + _mixed(w1, w3) % _spread(sent.value[0], w2).astype(np.uint64)) % np.uint64(shards)
+            yield _batch("shard doc w1 w2 w3 n", shard.astype(np.int32), of, w1, w2, w3, n.astype(np.int32))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, w1, w2, w3, value = (batch.column(c).to_numpy() for c in range(5))
+            wide = _spread(sent.value[0], w2)
+            copies = np.where(kind == 3, 1, wide)
+            row = np.repeat(np.arange(len(kind)), copies)
+            nth = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies)
+            sub = np.where(kind[row] == 3, (_mixed(w1, w3) % wide.astype(np.uint64)).astype(np.int64)[row], nth)
+            shard = (_mixed(w2)[row] + sub.astype(np.uint64)) % np.uint64(shards)
+            for a in range(0, len(row), 100_000):
+                r = row[a : a + 100_000]
+                yield _batch("shard kind w1 w2 w3 value", shard[a : a + 100_000].astype(np.int32), kind[r], w1[r], w2[r], w3[r], value[r])
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        column = lambda t, c: t.column(c).to_numpy()
+        doc, w1, w2, w3, n = (column(left, c) for c in ("doc", "w1", "w2", "w3", "n"))
+        kind, m1, m2, m3, value = (column(right, c) for c in ("kind", "w1", "w2", "w3", "value"))
+        pick = lambda k, *cols: (tuple(c[kind == k] for c in cols), value[kind == k])
+        log = np.log(_look_up(*pick(3, m1, m2, m3), (w1, w2, w3)))
+        rest = np.isnan(log)
+        back = np.nan_to_num(np.log(_look_up(*pick(12, m1, m2), (w1[rest], w2[rest]))))
+        log[rest] = back + np.log(_look_up(*pick(2, m2, m3), (w2[rest], w3[rest])))
+        last = np.isnan(log)
+        back = back[last[rest]] + np.nan_to_num(np.log(_look_up(*pick(11, m2), (w2[last],))))
+        _, often, p = sent.value
+        log[last] = back + np.log(_look_up((often,), p, (w3[last],)))
+        open_ = np.isnan(log)
+        log[open_] = back[open_[last]]
+        cost = -log * n
+        # what is settled is added up by text
+        ids, of = np.unique(doc[~open_], return_inverse=True)
+        return pa.table({
+            "doc": np.concatenate([ids, doc[open_]]), "w3": pa.array(np.concatenate([np.zeros(len(ids), np.int64), w3[open_]]), mask=np.arange(len(ids) + int(open_.sum())) < len(ids)),
+            "cost": np.concatenate([np.bincount(of, weights=cost[~open_], minlength=len(ids)), cost[open_]]), "n": np.concatenate([np.bincount(of, weights=n[~open_], minlength=len(ids)).astype(np.int64), n[open_].astype(np.int64)]),
+        })
+
+    zero = F.lit(0).cast("long")
+    tables = [(3, model.three, "w1", "w2", "w3", "p"), (2, model.two, None, "w2", "w3", "p"), (12, model.weight2, "w1", "w2", None, "weight"), (11, model.weight1, None, "w2", None, "weight")]
+    parts = [t.select(F.lit(k).alias("kind"), *((F.col(c) if c else zero).alias(f"w{i}") for i, c in enumerate(cols[:3], 1)), F.col(cols[3]).alias("value")) for k, t, *cols in tables]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    model_rows = every.mapInArrow(place, "shard int, kind int, w1 long, w2 long, w3 long, value double")
+    doc_rows = docs.select(F.col(text).alias("text")).mapInArrow(deal, "shard int, doc long, w1 long, w2 long, w3 long, n int")
+    met = materialize(doc_rows.groupBy("shard").cogroup(model_rows.groupBy("shard")).applyInArrow(meet, "doc long, w3 long, cost double, n long"), "word-costs")
+    single = model.one.select("w3", "p")
+    left = met.where("w3 IS NOT NULL").join(single, "w3", "left").select("doc", (F.col("cost") - F.col("n") * F.log(F.coalesce("p", F.lit(model.unknown)))).alias("cost"), "n")
+    sums = met.where("w3 IS NULL").select("doc", "cost", "n").unionByName(left).groupBy("doc").agg((F.sum("cost") / F.sum("n")).alias("mean"))
+    # doc 0 words: no sums, no perplexity
+    return told.join(sums, "doc", "left").select("key", "lang", "doc", "n_symbols", F.exp("mean").alias("perplexity"))

@@ -1,0 +1,97 @@
+"""The word model against counts in plain Python, and what it tells apart."""
+
+import math
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from brute import DATA
+
+from corpusloom.llm import ngram, words
+
+TRUSTED = ["the cat sat on the mat. the dog sat on the log!", "a cat and a dog, on the mat", "the cat sat on a log", "été à la mer", "the cat sat on the mat. the dog sat on the log!"]
+OTHERS = ["the mat sat on the cat. the log sat on the dog!", "the cat", "idiot", "the idiot sat on the mat", "mat the on sat cat the", None, " \n", "été, the cat!!"]
+
+
+def tokens(text):
+    return ["<s>", "<s>"] + re.findall(r"[A-Za-z0-9\x80-\U0010ffff]+|[^A-Za-z0-9\s\x80-\U0010ffff]+", text or "")
+
+
+def brute(trusted):
+    """word, context -> probability, by the definition."""
+    counts = {3: Counter()}
+    for t in trusted:
+        w = tokens(t)
+        counts[3].update(tuple(w[i - 2 : i + 1]) for i in range(2, len(w)))
+    for k in (2, 1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    cut = {k: words.discounts(*(sum(n == j for n in c.values()) for j in (1, 2, 3, 4))) for k, c in counts.items()}
+    total, saved = defaultdict(int), defaultdict(float)
+    for k, c in counts.items():
+        for g, n in c.items():
+            total[k, g[:-1]] += n
+            saved[k, g[:-1]] += cut[k][min(n, 3) - 1]
+
+    def p(g):
+        k = len(g)
+        if k == 0:
+            return 1 / (len(counts[1]) + 1)
+        if (k, g[:-1]) not in total:
+            return p(g[1:])
+        n = counts[k][g]
+        return ((n - cut[k][min(n, 3) - 1]) if n else 0) / total[k, g[:-1]] + saved[k, g[:-1]] / total[k, g[:-1]] * p(g[1:])
+
+    return p, counts
+
+
+@pytest.mark.parametrize("shards", [1, 7])
+def test_perplexities_by_definition(spark, shards):
+    p, _ = brute(TRUSTED)
+    model = words.train(spark.createDataFrame([(t,) for t in TRUSTED], "text string"))
+    docs = spark.createDataFrame(list(enumerate(TRUSTED + OTHERS)), "doc_id long, text string").selectExpr("*", "'x' AS lang")
+    got = {r.key: r for r in words.score(docs, model, least_shards=shards).collect()}
+    assert len(got) == len(TRUSTED + OTHERS)
+    for i, t in enumerate(TRUSTED + OTHERS):
+        w = tokens(t)
+        assert got[i].n_symbols == len(w) - 2
+        if len(w) > 2:
+            want = math.exp(-sum(math.log(p(tuple(w[j - 2 : j + 1]))) for j in range(2, len(w))) / (len(w) - 2))
+            assert got[i].perplexity == pytest.approx(want, rel=1e-9)
+        else:
+            assert got[i].perplexity is None
+
+
+def test_what_is_gathered_grows_with_the_input(spark):
+    docs = spark.range(3_000).selectExpr("concat_ws(' ', transform(sequence(1, 20), i -> hex(xxhash64(id, i)))) AS text")
+    few, many = (words.train(docs.limit(n)) for n in (1_000, 3_000))
+    assert (few.three.count(), many.three.count()) == (20_000, 60_000)
+    assert many.one.count() == 60_000
+
+
+def test_toxic_word_and_order_of_words_raise_the_perplexity(spark):
+    rng = np.random.default_rng(3)
+    nouns, verbs = ["cat", "dog", "cow", "hen", "fox"], ["sees", "hears", "likes", "finds"]
+    line = lambda: f"the {rng.choice(nouns)} {rng.choice(verbs)} the {rng.choice(nouns)} and the {rng.choice(nouns)} {rng.choice(verbs)} it. "
+    texts = ["".join(line() for _ in range(5)) for _ in range(300)]
+    good = ["".join(line() for _ in range(5)) for _ in range(20)]
+    toxic = [t.replace(" cat ", " theidiot ", 1) if " cat " in t else t.replace("the ", "theidiot ", 1) for t in good]
+    mixed = [" ".join(rng.permutation(t.split())) for t in good]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts + good + toxic + mixed)], "doc_id long, text string, lang string")
+    rows = {r.doc_id: r for r in ngram.classify(docs, docs.where("doc_id < 300").select("doc_id")).collect()}
+    part = lambda k: [rows[300 + 20 * k + i] for i in range(20)]
+    assert sum(r.kept for r in part(0)) >= 17
+    assert not any(r.kept for r in part(1) + part(2))
+    assert all(t.perplexity > g.perplexity for g, t in zip(part(0), part(1)))
+
+
+def test_toxic_documents_of_the_labels_look_less_trusted(spark):
+    """As many as the labels allow: one odd word in hundreds moves the mean a little, so the ranks are compared."""
+    sf = f"{DATA}/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    trained = labels.where("quality = 1 AND toxic = 0 AND doc_id % 5 <> 0").select("doc_id")
+    rows = ngram.classify(docs, trained).join(labels, "doc_id").where("quality = 1 AND lang = 'en' AND (toxic = 1 OR doc_id % 5 = 0)").collect()
+    good, toxic = (np.array([r.perplexity for r in rows if r.toxic == k]) for k in (0, 1))
+    ranks = (toxic[:, None] > good[None, :]).mean()
+    print("toxic", len(toxic), "good", len(good), "AUC", ranks, "kept", np.mean([r.kept for r in rows if r.toxic]), np.mean([r.kept for r in rows if not r.toxic]))
+    assert ranks > 0.5
