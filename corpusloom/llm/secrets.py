@@ -36,6 +36,8 @@ from . import _bytes as B
 from ._store import materialize
 
 LABELLED = 6_000
+#: Labelled findings of a document: its own, and the lines made from it.
+OWN_FINDINGS, MADE_LINES = 3, 15
 DICTIONARY = 20_000
 TREES, DEPTH, SEED = 24, 6, 7
 THRESHOLD = 0.5
@@ -49,6 +51,8 @@ TEST_PATHS = ("doc", "example", "fixture", "mock", "sample", "test")
 _TOKEN = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 _NAMES = b"|".join(re.escape(n.encode()) for n in sorted(SECRET_NAMES, key=len, reverse=True))
 _ASSIGNED = re.compile(rb"(?i)(?:" + _NAMES + rb")[\"']?[ \t]{0,3}(?::=|=>|[:=])[ \t]{0,3}[\"']?([^\s\"'<>,;]{8,})")
+#: A name in front of a value, as in files of settings; padding at a token's end is no assignment.
+_LEADING = re.compile(rb"[A-Za-z0-9_-]+=(?=[^=])")
 _WORD = re.compile(rb"[A-Za-z0-9_-]+")
 FEATURES = (
     "length", "digits", "uppers", "lowers", "symbols", "transitions", "entropy", "distinct", "hex", "surprise", "dictionary",
@@ -98,14 +102,19 @@ def learn_corpus(docs: DataFrame, text: str = "text", dictionary: int = DICTIONA
 
 def candidates(raw: bytes) -> list[tuple[int, int]]:
     """Spans of candidate secrets, in order, none twice."""
-    found = {m.span() for m in _TOKEN.finditer(raw) if any(48 <= c <= 57 for c in m.group())}
-    found |= {m.span(1) for m in _ASSIGNED.finditer(raw)}
-    spans, last = [], 0
-    for a, b in sorted(found, key=lambda s: (s[0], -s[1])):
-        if a >= last:
+    assigned = [m.span(1) for m in _ASSIGNED.finditer(raw)]
+    spans, k = list(assigned), 0
+    for m in _TOKEN.finditer(raw):
+        a, b = m.span()
+        while k < len(assigned) and assigned[k][1] <= a:
+            k += 1
+        if k < len(assigned) and assigned[k][0] < b:  # the assigned value wins, without its name
+            continue
+        while lead := _LEADING.match(raw, a, b):
+            a = lead.end()
+        if b - a >= 16 and any(48 <= c <= 57 for c in raw[a:b]):
             spans.append((a, b))
-            last = b
-    return spans
+    return sorted(spans)
 
 
 def _coverage(value: bytes, words: frozenset[bytes]) -> float:
@@ -169,16 +178,23 @@ def _contrast(doc_id: object, words: list[str]) -> Iterator[tuple[str, int]]:
     yield f"{some[1]} {int(pick(1, 14), 16) % 10**16:016d} {some[2]}", 0
     yield f'{some[1]} {name} = "{code[0] * 20}1"', 0
     yield f"{some[4]} {'-'.join(some)}-{int(code[3], 16)} {some[2]}", 0
+    setting = f"{some[4]}_{name}".replace("-", "_").upper()
+    yield f"export {setting}={pick(4, 40)}\n{some[0]}", 1
+    yield f"{some[1]}\n{name}={mixed}\n{some[2]}", 1
+    yield f"{some[3]}:\n  {name}: {mixed[:24]}\n  {some[1]}: {some[2]}", 1
+    yield f"{some[1]}\n{setting}={'_'.join(some)}1\n{some[2]}", 0
+    yield f"export {dull.upper()}={pick(6, 40)}\n{some[0]}", 0
+    yield f"{some[1]}\n{setting}={code[0] * 20}1\n{some[2]}", 0
 
 
 def labelled_findings(docs: DataFrame, known: Knowledge, most: int = LABELLED, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """(features, label) of at most ``most`` findings, from documents that a hash of their ids picks.
 
     A finding in a document counts as a secret if it stands quoted behind the name of one and an
-    equals sign; other findings count as harmless. Lines made from the document's words and hash
+    equals sign; unquoted values behind such a name are left out; other findings count as harmless. Lines made from the document's words and hash
     add secrets in other surroundings, and placeholders, digests and numbers that are none.
     """
-    wanted, there = most // 12, docs.count()
+    wanted, there = most // (OWN_FINDINGS + MADE_LINES), docs.count()
     part = (1 << 20) if there <= wanted else max(1, int((1 << 20) * 0.8 * wanted / there))
     few = docs.where(F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(1 << 20)) < part)
     few = few.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.col(path).cast("string").alias("path")).limit(wanted)
@@ -188,9 +204,11 @@ def labelled_findings(docs: DataFrame, known: Knowledge, most: int = LABELLED, k
             rows: list[tuple[list[float], float]] = []
             for doc_id, said, where in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 raw = (said or "").encode()
-                for a, b in candidates(raw)[:3]:
+                for a, b in candidates(raw)[:OWN_FINDINGS]:
                     f = features(raw, a, b, where, known)
                     at = dict(zip(FEATURES, f))
+                    if at["assigned"] and at["secret_name"] and not at["quoted"]:
+                        continue  # nothing tells which it is
                     rows.append((f, float(at["quoted"] and at["assigned"] and at["secret_name"] and at["dictionary"] < 0.5 and at["distinct"] > 0.15)))
                 words = [w for w in (said or "").lower().split()[:200] if w.isalpha()]
                 for line, label in _contrast(doc_id, words):
