@@ -96,12 +96,22 @@ def token_estimates(d: Spark) -> str:
     return "SELECT doc_id, CAST(greatest(1, ceil(length(text) / 2.0)) AS BIGINT) AS tokens FROM {documents}"
 
 
+#: Pages up to which a document is taken whole; else so many front pages, and estimated tokens of them.
+PAGE_THRESHOLD, FRONT_PAGES, FRONT_TOKENS = 85, 20, 32_000
+
+
 @plan
-def front_selection(d: Spark) -> str:
-    """Up to 85 lines everything; else the first lines until the estimate passes 3,000 tokens, the first that does stops all."""
-    return f"""WITH l AS (SELECT doc_id, pos, length(item) AS n, count(*) OVER (PARTITION BY doc_id) AS total FROM ({d.numbered('doc_id', d.lines('text'), '{documents}')}) x),
-c AS (SELECT *, sum(n + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM l)
-SELECT doc_id, count(*) AS kept_lines, max(total) AS total_lines, CAST(max(upto) AS BIGINT) AS kept_chars FROM c WHERE total <= 8 OR ceil(upto / 2.0) <= 3000 GROUP BY doc_id"""
+def front_selection(d: Spark, threshold: int = PAGE_THRESHOLD, front: int = FRONT_PAGES, tokens: int = FRONT_TOKENS) -> str:
+    """Up to 85 pages everything; else the blocks of the first 20 pages until the estimate of what is rendered passes 32,000 tokens.
+
+    The first block that passes it stops all; if that is the document's first, nothing is kept (context_overflow).
+    """
+    return f"""WITH b AS (SELECT doc_id, page, block_id, count(*) AS n, sum(length(text) + 1) - 1 AS chars FROM {page_lines(d)} g GROUP BY doc_id, page, block_id),
+m AS (SELECT *, max(page) OVER (PARTITION BY doc_id) AS pages, min(block_id) OVER (PARTITION BY doc_id, page) AS opening FROM b),
+c AS (SELECT *, sum(chars + length(concat('[BLOCK ', CAST(block_id AS STRING), ']')) + 3 + CASE WHEN block_id = opening THEN length(concat('[PAGE ', CAST(page AS STRING), ']')) + 2 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY block_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 2 AS upto FROM m),
+k AS (SELECT *, pages <= {threshold} OR (page <= {front} AND ceil(upto / 2.0) <= {tokens}) AS kept FROM c)
+SELECT doc_id, CAST(sum(CASE WHEN kept THEN n ELSE 0 END) AS BIGINT) AS kept_lines, CAST(sum(n) AS BIGINT) AS total_lines, CAST(coalesce(max(CASE WHEN kept THEN upto END), 0) AS BIGINT) AS kept_chars,
+CASE WHEN max(pages) <= {threshold} THEN 'full_document' WHEN sum(CASE WHEN kept THEN 1 ELSE 0 END) = 0 THEN 'context_overflow' ELSE 'front_pages' END AS state FROM k GROUP BY doc_id"""
 
 
 @plan
