@@ -7,6 +7,8 @@ from ..sources.views import korean_lines, registry
 from .dialect import Spark, any_in, check_sql, spark_query, text, values
 
 PLANS = {}
+#: Fixed value: so many candidates of a document and clause, and so many hints of a document, are kept.
+MAX_CANDIDATES_PER_DOC = 60
 
 
 def plan(f):
@@ -60,11 +62,11 @@ def personal_labels(d: Spark) -> str:
 
 @plan
 def ranked_candidates(d: Spark) -> str:
-    """Per document and clause the best lines by score plus at most two points of context; money alone needs a word nearby."""
+    """Per document and clause the best sixty lines by score, then by place, plus at most two points of context; money alone needs a word nearby."""
     near = "rows BETWEEN 2 PRECEDING AND 2 FOLLOWING"
     return f"""{_lines(d)}, e AS ({_all(d)}), c AS (SELECT *, sum(score) OVER (PARTITION BY doc, clause ORDER BY line_key {near}) - score AS around, sum(CASE WHEN words <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc, clause ORDER BY line_key {near}) AS spoken FROM e),
 s AS (SELECT doc, clause, line_key, score + least(2, around) AS match_score FROM c WHERE words <> '' OR (money AND spoken > 0))
-SELECT doc, clause, line_key, CAST(match_score AS BIGINT) AS match_score, place FROM (SELECT *, row_number() OVER (PARTITION BY doc, clause ORDER BY match_score DESC, line_key) AS place FROM s) r WHERE place <= 3"""
+SELECT doc, clause, line_key, CAST(match_score AS BIGINT) AS match_score, place FROM (SELECT *, row_number() OVER (PARTITION BY doc, clause ORDER BY match_score DESC, line_key) AS place FROM s) r WHERE place <= {MAX_CANDIDATES_PER_DOC}"""
 
 
 @plan
@@ -73,7 +75,7 @@ def status_candidates(d: Spark) -> str:
     kinds = ("bid_notice", "report", "personnel", "official_document")
     rules = " UNION ALL ".join(f"SELECT line_key, doc, {text(status)} AS status, {i} AS nth FROM t WHERE doc_type = {text(kind)} AND {any_in('text', words)}" for kind in kinds for i, (status, words) in enumerate(STATUS_RULES[kind]))
     pick = "CASE doc % 4 " + " ".join(f"WHEN {i} THEN {text(k)}" for i, k in enumerate(kinds)) + " END"
-    return f"{_lines(d)}, t AS (SELECT *, {pick} AS doc_type FROM l) SELECT doc, line_key, status FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY line_key, nth) AS place FROM ({rules}) u) r WHERE place <= 60"
+    return f"{_lines(d)}, t AS (SELECT *, {pick} AS doc_type FROM l) SELECT doc, line_key, status FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY line_key, nth) AS place FROM ({rules}) u) r WHERE place <= {MAX_CANDIDATES_PER_DOC}"
 
 
 @plan
