@@ -107,9 +107,9 @@ def provenance_report(d: Spark) -> str:
 
 @plan
 def withholding_reasons(d: Spark) -> str:
-    """Reasons with at most three quotes of at most 120 characters."""
+    """Per document and clause a reason of at most three quotes, of at most 120 characters, of the first lines with evidence."""
     q = d.joined("quote", "line_key", "; ")
-    return f"{_lines(d)}, n AS (SELECT doc, line_key, substr(text, 1, 120) AS quote, row_number() OVER (PARTITION BY doc ORDER BY line_key) AS k FROM l WHERE line_key % 2 = 0) SELECT doc, concat('제5호: ', {q}) AS reason FROM n WHERE k <= 3 GROUP BY doc"
+    return f"{_lines(d)}, n AS (SELECT e.doc, e.clause, e.line_key, substr(l.text, 1, 120) AS quote, row_number() OVER (PARTITION BY e.doc, e.clause ORDER BY e.line_key) AS k FROM ({_all(d)}) e JOIN l ON e.line_key = l.line_key WHERE e.words <> '' OR e.money) SELECT doc, clause, concat('제', clause, '호: ', {q}) AS reason FROM n WHERE k <= 3 GROUP BY doc, clause"
 
 
 @plan
@@ -200,7 +200,7 @@ def adversary_pairs(d: Spark) -> str:
 def stage_cases(d: Spark) -> str:
     """One row for each allowed stage of a case."""
     stages = d.array(("'draft'", "'review'", "'final'"))
-    return f"SELECT id, item AS stage FROM ({d.each('id', 'stages', '(SELECT id, ' + stages + f' AS stages FROM {registry(d)} r WHERE id % 3 = 0)' + ' q')}) x"
+    return f"SELECT id, item AS stage FROM ({d.each('id', 'stages', '(SELECT id, ' + stages + f' AS stages FROM {registry(d)} r)' + ' q')}) x"
 
 
 # --------------------------------------------------------------------------------- names and keys
@@ -246,7 +246,7 @@ def synthetic_keys(d: Spark) -> str:
 @plan
 def ref_inheritance(d: Spark) -> str:
     """Generated rows take what they lack from the row they refer to."""
-    return f"WITH r AS (SELECT * FROM {registry(d)} x) SELECT g.id, coalesce(s.ordering_agency, g.ordering_agency) AS agency, coalesce(s.production_date, g.production_date) AS base_date, s.id IS NULL AS orphan FROM r g LEFT JOIN r s ON s.id = g.id - 1 AND s.doc_type <> 'notice' WHERE g.id % 2 = 0"
+    return f"WITH r AS (SELECT * FROM {registry(d)} x) SELECT g.id, coalesce(s.ordering_agency, g.ordering_agency) AS agency, coalesce(s.production_date, g.production_date) AS base_date, s.id IS NULL AS orphan FROM r g LEFT JOIN r s ON s.id = g.id - 1 AND s.doc_type <> 'notice'"
 
 
 QUERIES = {name: spark_query(f) for name, f in PLANS.items()}

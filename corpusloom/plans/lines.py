@@ -134,10 +134,10 @@ FROM (SELECT doc_id, pos, item, mask, instr(item, mask) AS spot FROM (SELECT doc
 
 @plan
 def evidence_quotes(d: Spark) -> str:
-    """A quote is looked for without its white space: found, not found, or ambiguous."""
+    """A quote is looked for without its white space: found, not found, or ambiguous; turns of fifty characters or fewer are too short for one."""
     squeeze = lambda x: d.replace_all(x, r"\s+", "")
-    return f"""SELECT conv_id, turn, CASE WHEN instr(said, quote) = 0 THEN 'not_found' WHEN instr(substr(said, instr(said, quote) + 1), quote) > 0 THEN 'ambiguous' ELSE 'found' END AS state
-FROM (SELECT conv_id, turn, {squeeze('text')} AS said, {squeeze("CASE turn % 3 WHEN 0 THEN substr(text, 5, 40) WHEN 1 THEN substr(text, 10, 2) ELSE concat(substr(text, 5, 20), 'zq') END")} AS quote FROM {{conversations}} WHERE length(text) > 50) x"""
+    return f"""SELECT conv_id, turn, CASE WHEN chars <= 50 THEN 'too_short' WHEN instr(said, quote) = 0 THEN 'not_found' WHEN instr(substr(said, instr(said, quote) + 1), quote) > 0 THEN 'ambiguous' ELSE 'found' END AS state
+FROM (SELECT conv_id, turn, coalesce(length(text), 0) AS chars, {squeeze('text')} AS said, {squeeze("CASE turn % 3 WHEN 0 THEN substr(text, 5, 40) WHEN 1 THEN substr(text, 10, 2) ELSE concat(substr(text, 5, 20), 'zq') END")} AS quote FROM {{conversations}}) x"""
 
 
 @plan

@@ -29,3 +29,25 @@ def test_the_best_sixty_candidates_stay(lines):
     assert [r.line_key for r in first[:18]] == list(range(0, 90, 5))
     order = [(-r.match_score, r.line_key) for r in first]
     assert order == sorted(order)
+
+
+def test_reasons_come_from_every_line_with_evidence(lines):
+    rows = [(1, 1, "입찰 하나"), (2, 1, "날씨"), (3, 1, "입찰 둘"), (4, 1, "재건축 " + "x" * 200), (5, 1, "입찰 셋"), (6, 1, "입찰 넷"), (7, 2, "날씨")]
+    got = {(r.doc, r.clause): r.reason for r in lines(rows, candidates.withholding_reasons)}
+    assert got == {(1, "5"): "제5호: 입찰 하나; 입찰 둘; 입찰 셋", (1, "8"): "제8호: " + ("재건축 " + "x" * 200)[:120]}
+
+
+def test_stages_and_inheritance_of_every_row(spark):
+    sf = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert candidates.QUERIES["stage_cases"](spark, sf).count() == 3 * n
+    assert candidates.QUERIES["ref_inheritance"](spark, sf).count() == n
+
+
+def test_short_turns_have_a_state(spark, tmp_path):
+    from corpusloom.plans import lines as L
+
+    rows = [(1, 0, "short"), (1, 1, None), (1, 3, " ".join(f"word{i}" for i in range(20)))]
+    spark.createDataFrame(rows, "conv_id long, turn long, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.turn: r.state for r in L.QUERIES["evidence_quotes"](spark, str(tmp_path)).collect()}
+    assert got == {0: "too_short", 1: "too_short", 3: "found"}
