@@ -72,17 +72,15 @@ SELECT doc, clause, line_key, CAST(match_score AS BIGINT) AS match_score, place
 @plan
 def status_candidates(d: Spark) -> str:
     """Hints at administrative statuses by document type, each line and status once, the first sixty of a document."""
-    kinds = ("bid_notice", "report", "personnel", "official_document")
-    rules = " UNION ALL ".join(f"SELECT line_key, doc, {text(status)} AS status, {i} AS nth FROM t WHERE doc_type = {text(kind)} AND {any_in('text', words)}" for kind in kinds for i, (status, words) in enumerate(STATUS_RULES[kind]))
-    pick = "CASE doc % 4 " + " ".join(f"WHEN {i} THEN {text(k)}" for i, k in enumerate(kinds)) + " END"
+    rules = " UNION ALL ".join(f"SELECT line_key, doc, {text(status)} AS status, {i} AS nth FROM t WHERE doc_type = {text(kind)} AND {any_in('text', words)}" for kind in STATUS_RULES for i, (status, words) in enumerate(STATUS_RULES[kind]))
+    pick = f"CASE doc % {len(STATUS_RULES)} " + " ".join(f"WHEN {i} THEN {text(k)}" for i, k in enumerate(STATUS_RULES)) + " END"
     return f"{_lines(d)}, t AS (SELECT *, {pick} AS doc_type FROM l) SELECT doc, line_key, status FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY line_key, nth) AS place FROM ({rules}) u) r WHERE place <= {MAX_CANDIDATES_PER_DOC}"
 
 
 @plan
 def cell_measures(d: Spark) -> str:
     """Per document type and status: whether there is a rule, and how many lines and documents it finds."""
-    kinds = ("bid_notice", "report", "personnel", "official_document")
-    rows = values([(k, s) for k in kinds for s, _ in STATUS_RULES[k]], "doc_type, status")
+    rows = values([(k, s) for k, rules in STATUS_RULES.items() for s, _ in rules], "doc_type, status")
     found = status_candidates(d).replace("SELECT doc, line_key, status FROM", "SELECT doc_type, doc, line_key, status FROM", 1).replace("SELECT line_key, doc,", "SELECT doc_type, line_key, doc,")
     return f"SELECT r.doc_type, r.status, count(f.line_key) AS spans, count(DISTINCT f.doc) AS documents, CASE WHEN count(f.line_key) = 0 THEN 'zero_matches' ELSE 'counted' END AS state FROM {rows} r LEFT JOIN ({found}) f ON r.doc_type = f.doc_type AND r.status = f.status GROUP BY r.doc_type, r.status"
 

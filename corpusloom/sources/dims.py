@@ -33,10 +33,17 @@ STATUS_RULES = {
     "plan": (("공개예정일미도래", ("공개 예정", "시행 예정", "고시 예정")), ("초안", ("초안", "계획(안)", "검토안")), ("타기관협의중", ("의견수렴", "관계기관", "협의 중"))),
     "report": (("감사진행중", ("중간보고", "조사 중", "감사 진행", "점검 중")), ("내부검토중", ("검토 중", "검토 의견", "검토안")), ("첨부미등록", ("붙임", "별첨", "참고자료"))),
     "policy_material": (("공개예정일미도래", ("시행 예정", "행정예고", "입법예고")), ("타기관협의중", ("의견수렴", "관계기관", "협의 중")), ("첨부미등록", ("붙임", "별첨", "참조"))),
+    "notification": (("공개예정일미도래", ("공개 예정", "시행 예정", "행정예고", "입법예고")), ("초안", ("초안", "고시안")), ("타기관협의중", ("의견수렴", "관계기관")), ("첨부미등록", ("붙임", "별첨"))),
+    "directive": (("공개예정일미도래", ("공개 예정", "시행 예정", "행정예고")), ("내부검토중", ("검토 중", "검토안", "초안"))),
+    "regulation": (("공개예정일미도래", ("공개 예정", "시행 예정", "입법예고")), ("초안", ("초안", "예규안")), ("타기관협의중", ("의견수렴", "관계기관"))),
+    "research_report": (("내부검토중", ("중간보고", "연구 진행", "검토 중")), ("타기관협의중", ("공동연구", "의견수렴", "협의 중")), ("첨부미등록", ("붙임", "별첨", "부록"))),
+    "status_report": (("감사진행중", ("조사 중", "점검 중", "잠정")), ("시스템등록오류", ("시스템", "등록 오류", "자료 오류"))),
+    "guide": (("공개예정일미도래", ("공개 예정", "시행 예정", "배포 예정")), ("문서정리중", ("정비 중", "폐기 예정", "중복"))),
     "press_release": (("공개예정일미도래", ("배포 예정", "보도 예정", "엠바고")), ("초안", ("보도자료(안)", "초안", "검토안")), ("타기관협의중", ("관계기관", "부처 협의", "의견 조회"))),
     "notice": (("공개예정일미도래", ("공고 예정", "게시 예정", "시행 예정")), ("초안", ("공고안", "초안", "검토안")), ("타기관협의중", ("관계기관", "의견수렴", "협의 중"))),
     "bid_renotice": (("내부검토중", ("재공고 검토", "재입찰 검토", "검토안")), ("첨부미등록", ("붙임", "재공고문", "별첨"))),
     "public_offering": (("공개예정일미도래", ("공모 예정", "접수 예정", "시행 예정")), ("내부검토중", ("공모요강 검토", "심사기준 검토", "검토안")), ("타기관협의중", ("관계기관", "의견수렴"))),
+    "budget_material": (("내부검토중", ("예산(안)", "편성 중", "검토 중")), ("타기관협의중", ("기획재정부", "관계기관", "협의 중")), ("첨부미등록", ("붙임", "산출내역서", "별첨"))),
     "interpretation_compilation": (("내부검토중", ("회신 검토", "검토 중", "검토 의견")), ("문서정리중", ("정비 중", "개정 예정", "폐지 예정"))),
     "pre_spec_notice": (("내부검토중", ("사전규격 검토", "제안요청 검토", "검토안")), ("타기관협의중", ("의견수렴", "관계기관", "협의 중")), ("첨부미등록", ("붙임", "제안요청서"))),
 }

@@ -51,3 +51,18 @@ def test_short_turns_have_a_state(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn long, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     got = {r.turn: r.state for r in L.QUERIES["evidence_quotes"](spark, str(tmp_path)).collect()}
     assert got == {0: "too_short", 1: "too_short", 3: "found"}
+
+
+def test_status_rules_of_all_types(lines):
+    from corpusloom.sources.dims import STATUS_RULES
+
+    assert (len(STATUS_RULES), sum(map(len, STATUS_RULES.values()))) == (23, 68)
+    rows, want = [], set()
+    for doc, rules in enumerate(STATUS_RULES.values()):
+        for status, words in rules:
+            for word in words:
+                rows.append((len(rows), doc, word))
+                want |= {(doc, len(rows) - 1, s) for s, w in rules if any(x in word for x in w)}
+    assert {(r.doc, r.line_key, r.status) for r in lines(rows, candidates.status_candidates)} == want
+    cells = lines(rows, candidates.cell_measures)
+    assert len(cells) == 68 and all(r.documents == 1 and r.state == "counted" for r in cells)
