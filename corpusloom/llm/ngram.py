@@ -1,177 +1,260 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text, and perplexities.
 
-Documents are scored by the model over words in :mod:`.words`: what it gathers grows with the
-trusted texts, and its tables and the documents' trigrams meet in shards. As the texts a model was
-trained on look better to it than others do, one in ``HELD_OUT`` of the trusted texts, picked by their
-hashes, is kept out of the counts, and thresholds are quantiles of those. A document is kept if its
-perplexity is within the quantile of its language.
-
-The functions of byte classes (``train``, ``model_arrays``, ``score_table``) build a model of
-SYMBOLS ** ORDER cells at most. It takes no part in :func:`classify`.
-
-Defined results: a text without words has no perplexity and is not kept; null is a language of its
-own; a language without held-out texts takes the threshold of all; with fewer than
-``HELD_OUT_FROM`` trusted texts all are trained on, and give the thresholds; a label that occurs
-twice counts once; without any trusted document nothing has a threshold and all texts with words are
-kept; repeated rows are judged one by one; an empty table gives an empty table.
+The model is over characters, five in a row, spelled out in its tables: counts of trusted texts are
+added up by n-gram, continuation counts, discounts, context sums and lower orders are joined on
+n-grams, and what is gathered grows with the trusted texts. To score, the texts go to blocks of about
+``BLOCK_BYTES``; each block asks once for every n-gram that occurs in it, the questions of all blocks
+meet the probability and back-off tables by n-gram, and the answers go back to the blocks, where they
+give each text its perplexity. So no document's n-grams travel one by one, and no task holds the model.
+
+One strange word in hundreds moves a mean little. So the most surprising run of ``PEAK`` characters
+is judged as well (``peak``, its perplexity). As the texts a model was trained on look better to it
+than others do, one in ``HELD_OUT`` of the trusted texts, picked by their hashes, is kept out of the
+counts, and thresholds are quantiles of those. A document is kept if its perplexity and its peak are
+both within the quantiles of its language.
+
+Blocks are cut by a hash of key and text, so copies with ids of their own and any language spread evenly.
+
+Defined results: runs of white space count as one space, and a space ends a text; a text without
+words has no perplexity and is not kept; null is a language of its own; a language without held-out
+texts takes the thresholds of all; with fewer than ``HELD_OUT_FROM`` trusted texts all are trained
+on, and give the thresholds; a label that occurs twice counts once; without any trusted document
+nothing has a threshold and all texts with words are kept; repeated rows are judged one by one; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _bytes as B
-from . import words
 from ._store import materialize
 
-ORDER = 4
-BITS = 6
-SYMBOLS = 1 << BITS
+ORDER = 5
+#: Characters of the run that gives the peak; not more than ORDER.
+PEAK = 4
+#: Stands before a text, ORDER - 1 times.
+START = "\x02"
 QUANTILE = 0.995
+BLOCK_BYTES = 32 << 20
 #: Ids of trusted documents are broadcast up to this number (8 bytes each), else joined by exchange.
 BROADCAST_IDS = 2_000_000
+#: Thresholds are broadcast up to this number of languages, else joined under ``SALTS`` salts.
+BROADCAST_LANGS, SALTS = 100_000, 32
 #: One in so many trusted texts gives the thresholds and isn't trained on, if there are so many trusted texts.
-HELD_OUT, HELD_OUT_FROM = 10, 200
+HELD_OUT, HELD_OUT_FROM = 4, 200
+
+
+# ------------------------------------------------------------------------------------- characters
+
+
+def points_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(points, size): code points of the texts in normal form, each behind its starts; and their numbers, starts not counted."""
+    normal = [" ".join((t or "").split()) for t in texts]
+    whole = "".join(f"{START * (ORDER - 1)}{t} " for t in normal if t)
+    return np.frombuffer(whole.encode("utf-32-le"), np.uint32), np.array([len(t) + 1 if t else 0 for t in normal], np.int64)
 
 
-def _classes() -> np.ndarray:
-    """The symbol of every byte; symbol 0 stands before the text."""
-    table = np.full(256, 36, np.uint8)
-    table[range(0x21, 0x7F)] = 35
-    table[range(ord("a"), ord("z") + 1)] = range(1, 27)
-    table[range(ord("A"), ord("Z") + 1)] = 27
-    table[range(ord("0"), ord("9") + 1)] = 28
-    for symbol, chars in ((29, " \t\n\v\f\r"), (30, "."), (31, ","), (32, "!?"), (33, ":;'\"()-"), (34, "#*$%&|<>")):
-        table[list(chars.encode())] = symbol
-    table[range(0x80, 0xC0)] = 43 + np.arange(0x80, 0xC0) % 16
-    table[range(0xC0, 0xE0)] = 37 + np.arange(0xC0, 0xE0) % 4
-    table[range(0xE0, 0xF0)] = 41
-    table[range(0xF0, 0x100)] = 42
-    return table
+def places(size: np.ndarray) -> np.ndarray:
+    """Where the characters of the texts stand, starts left out."""
+    some = size[size > 0]
+    return np.arange(int(some.sum())) + np.repeat((ORDER - 1) * np.arange(1, len(some) + 1), some)
 
 
-CLASS = _classes()
+def _codes(points: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of the n-gram that ends at each place."""
+    factor = B.mix(np.arange(1, ORDER + 1, dtype=np.uint64) + np.uint64(ORDER * seed)) | np.uint64(1)
+    wide = points.astype(np.uint64)
+    out = np.zeros(len(ends), np.uint64)
+    for back in range(ORDER):
+        out += wide[ends - back] * factor[back]
+    return out
 
 
-def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For every byte the code of its ORDER-gram: the symbols before it and its own, ``BITS`` each."""
-    symbol = CLASS[data].astype(np.int32)
-    place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
-    code = symbol.copy()
-    for back in range(1, ORDER):
-        earlier = np.zeros(len(data), np.int32)
-        earlier[back:] = symbol[:-back]
-        code |= np.where(place >= back, earlier, 0) << (BITS * back)
-    return code
+def distinct(points: np.ndarray, ends: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(places, n): where each distinct n-gram first ends, and how often; hashes are proven by comparison, or drawn anew."""
+    while True:
+        _, first, of, n = np.unique(_codes(points, ends, seed), return_index=True, return_inverse=True, return_counts=True)
+        like = ends[first][of]
+        if all(np.array_equal(points[ends - back], points[like - back]) for back in range(ORDER)):
+            return ends[first], n.astype(np.int64)
+        seed += 1
+
+
+def spelled(points: np.ndarray, ends: np.ndarray) -> pa.StringArray:
+    """The n-grams that end at the places, as strings."""
+    flat = points[ends[:, None] - np.arange(ORDER - 1, -1, -1)].reshape(-1)
+    size = 1 + (flat >= 0x80) + (flat >= 0x800) + (flat >= 0x10000)
+    offsets = np.append(0, np.cumsum(size.reshape(-1, ORDER).sum(axis=1))).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(flat.tobytes().decode("utf-32-le").encode()))
+
+
+def _slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Code points and sizes of the texts, some megabytes at a time."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    _, offsets = B.buffers(column)
+    for i, j in B.slices(offsets):
+        yield points_of(column.slice(i, j - i).to_pylist())
+
+
+# ------------------------------------------------------------------------------------------ model
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (text) -> counts (code, n), added up within the task."""
-    codes, counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
     for batch in batches:
-        data, offsets = B.buffers(batch.column(0))
-        for i, j in B.slices(offsets):
-            c, n = np.unique(grams(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), return_counts=True)
-            every, where = np.unique(np.concatenate([codes, c]), return_inverse=True)
-            codes, counts = every, np.bincount(where, weights=np.concatenate([counts, n]), minlength=len(every)).astype(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
+        for points, size in _slices(batch.column(0)):
+            at, n = distinct(points, places(size))
+            yield pa.RecordBatch.from_arrays([spelled(points, at), pa.array(n)], names=["gram", "n"])
+
 
+@dataclass(frozen=True)
+class Model:
+    """By order: (gram, p) of n-grams seen, and (context, weight) of what their contexts leave to the lower order; ``unknown`` is the probability of a character never seen."""
 
-def _discounts(counts: DataFrame) -> list[float]:
+    seen: dict[int, DataFrame]
+    weight: dict[int, DataFrame]
+    unknown: float
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     """D1, D2, D3+ from the numbers of n-grams that occur once, twice, three and four times."""
-    row = counts.agg(*(F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4))).first()
-    n1, n2, n3, n4 = (max(1, x) for x in row)
+    n1, n2, n3, n4 = (max(1, x) for x in (n1, n2, n3, n4))
     y = n1 / (n1 + 2 * n2)
     return [min(max(d, 0.05), k) for k, d in enumerate((1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3), 1)]
 
 
-def train(trusted: DataFrame, text: str = "text") -> DataFrame:
-    """(order, code, p, weight): probability of each n-gram seen; weight of its context's lower order."""
-    top = materialize(trusted.select(text).mapInArrow(_count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")), "ngram-counts")
-    counts = {ORDER: top}
-    for order in range(ORDER - 1, 0, -1):  # distinct symbols to the left, in the place of occurrences
-        suffix = F.col("code").bitwiseAND(F.lit((1 << (BITS * order)) - 1))
-        counts[order] = materialize(counts[order + 1].groupBy(suffix.alias("code")).agg(F.count(F.lit(1)).alias("n")), f"ngram-counts-{order}")
-    parts, lower = [], None
-    for order in range(1, ORDER + 1):
-        d = _discounts(counts[order])
-        context = F.shiftright("code", BITS)
-        own = counts[order].withColumn("context", context)
-        kinds = (F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count_if(F.col("n") > 2))
-        sums = own.groupBy("context").agg(F.sum("n").alias("total"), sum(F.lit(x) * k for x, k in zip(d, kinds)).alias("saved"))
+def train(trusted: DataFrame, text: str = "text") -> Model:
+    counts = {ORDER: materialize(trusted.select(text).mapInArrow(_count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")), "ngram-counts")}
+    for k in range(ORDER - 1, 0, -1):  # different characters to the left, in the place of occurrences
+        counts[k] = materialize(counts[k + 1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count(F.lit(1)).alias("n")), f"ngram-counts-{k}")
+    seen, weight, unknown = {}, {}, 1.0
+    for k in range(1, ORDER + 1):
+        d = discounts(*counts[k].agg(*(F.count_if(F.col("n") == j) for j in (1, 2, 3, 4))).first())
         cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        seen = own.join(sums, "context").select(
-            "code",
-            F.col("code").bitwiseAND(F.lit((1 << (BITS * (order - 1))) - 1)).alias("suffix"),
-            ((F.col("n") - cut) / F.col("total")).alias("own_p"),
-            (F.col("saved") / F.col("total")).alias("weight"),
-        )
-        if lower is None:
-            full = seen.select("code", (F.col("own_p") + F.col("weight") / SYMBOLS).alias("p"), "weight")
+        if k == 1:
+            total, saved, size = counts[1].agg(F.sum("n"), F.sum(cut), F.count(F.lit(1))).first()
+            unknown = (saved / total if total else 1.0) / (size + 1)
+            full = counts[1].select("gram", ((F.col("n") - cut) / F.lit(total or 1) + F.lit(unknown)).alias("p"))
         else:
-            below = lower.select(F.col("code").alias("suffix"), F.col("p").alias("below"))
-            full = seen.join(below, "suffix").select("code", (F.col("own_p") + F.col("weight") * F.col("below")).alias("p"), "weight")
-        lower = materialize(full, f"ngram-model-{order}")
-        parts.append(lower.select(F.lit(order).alias("order"), "code", "p", "weight"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+            context = F.substring("gram", 1, k - 1)
+            sums = counts[k].groupBy(context.alias("context")).agg(F.sum("n").alias("total"), (F.sum(cut) / F.sum("n")).alias("weight"))
+            sums = materialize(sums, f"ngram-contexts-{k}")
+            weight[k] = sums.select("context", "weight")
+            own = counts[k].select("gram", "n", context.alias("context"), F.substring("gram", 2, k - 1).alias("suffix")).join(sums, "context")
+            below = seen[k - 1].select(F.col("gram").alias("suffix"), F.col("p").alias("below"))
+            full = own.join(below, "suffix").select("gram", ((F.col("n") - cut) / F.col("total") + F.col("weight") * F.col("below")).alias("p"))
+        seen[k] = materialize(full, f"ngram-model-{k}")
+    return Model(seen, weight, unknown)
 
 
-def model_arrays(model: DataFrame) -> tuple[np.ndarray, ...]:
-    """The model's rows as arrays; there are no more than about SYMBOLS ** ORDER, whatever the corpus."""
-    rows = model.toArrow()
-    kinds = {"order": np.int8, "code": np.int32, "p": np.float32, "weight": np.float32}
-    return tuple(rows.column(c).to_numpy().astype(k) for c, k in kinds.items())
+def probabilities(grams: DataFrame, model: Model) -> DataFrame:
+    """(gram, p) for every row of ``grams``, distinct n-grams of the highest order; only what isn't seen goes on to the lower order."""
+    asked = {}
+    for k in range(ORDER, 0, -1):
+        asked[k] = materialize(grams.join(model.seen[k], "gram", "left"), f"ngram-asked-{k}")
+        grams = asked[k].where("p IS NULL").select(F.substring("gram", 2, k - 1).alias("gram")).distinct()
+    found = asked[1].select("gram", F.coalesce("p", F.lit(model.unknown)).alias("p"))
+    for k in range(2, ORDER + 1):
+        missing = asked[k].where("p IS NULL").select("gram", F.substring("gram", 1, k - 1).alias("context"), F.substring("gram", 2, k - 1).alias("suffix"))
+        below = found.select(F.col("gram").alias("suffix"), F.col("p").alias("below"))
+        lower = missing.join(model.weight[k], "context", "left").join(below, "suffix")
+        found = asked[k].where("p IS NOT NULL").unionByName(lower.select("gram", (F.coalesce("weight", F.lit(1.0)) * F.col("below")).alias("p")))
+    return found
 
 
-def score_table(order: np.ndarray, code: np.ndarray, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """-log p of all SYMBOLS ** ORDER n-grams; those not seen have the context's weight times the lower order."""
-    table = np.full(SYMBOLS, 1.0 / SYMBOLS, np.float32)
-    for k in range(1, ORDER + 1):
-        own = order == k
-        gamma = np.ones(SYMBOLS ** (k - 1), np.float32)
-        gamma[code[own] >> BITS] = weight[own]
-        table = np.resize(table, (SYMBOLS ** (k - 1), SYMBOLS))  # the context without its first symbol
-        table *= gamma[:, None]
-        table = table.reshape(-1)
-        table[code[own]] = p[own]
-    np.log(table, out=table)
-    return np.negative(table, out=table)
-
-
-def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = B.buffers(batch.column(0))
-        for i, j in B.slices(offsets):
-            doc = words.texts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(doc)], names=["text", "doc"])
+# ------------------------------------------------------------------------------------------ score
+
+
+def _ask(table: pa.Table) -> pa.Table:
+    """A block's texts -> (block, gram), each n-gram once."""
+    grams = []
+    for points, size in _slices(table.column("text")):
+        grams.append(spelled(points, distinct(points, places(size))[0]))
+    every = pc.unique(pa.chunked_array(grams, pa.string()))
+    return pa.table({"block": pa.repeat(table.column("block")[0], len(every)), "gram": every})
+
+
+_SCORED = "key long, lang string, doc long, n_symbols long, perplexity double, peak double"
+
+
+def _answer(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    """A block's texts and the probabilities of its n-grams -> perplexities."""
+    known = np.frombuffer("".join(answers.column("gram").to_pylist()).encode("utf-32-le"), np.uint32)
+    ends, seed = np.arange(ORDER - 1, len(known), ORDER), 0
+    code = _codes(known, ends, seed)
+    while len(np.unique(code)) < len(code):
+        code, seed = _codes(known, ends, seed + 1), seed + 1
+    order = np.argsort(code)
+    code, cost = code[order], -np.log(answers.column("p").to_numpy())[order]
+    sizes, perplexity, peak = [], [], []
+    for points, size in _slices(texts.column("text")):
+        at = places(size)
+        spent = np.zeros(len(points))
+        spent[at] = cost[np.searchsorted(code, _codes(points, at, seed))] if len(at) else 0.0
+        total = np.append(0.0, np.cumsum(spent))
+        run = spent.copy()
+        for back in range(1, PEAK):  # never beyond the starts of its text
+            run[back:] += spent[:-back]
+        some = size > 0
+        stop = np.cumsum(size[some] + ORDER - 1)
+        start = stop - size[some]
+        for out, values in ((perplexity, (total[stop] - total[start]) / size[some]), (peak, np.maximum.reduceat(run, start) / PEAK if len(start) else start)):
+            column = np.full(len(size), np.nan)
+            column[some] = np.exp(values)
+            out.append(column)
+        sizes.append(size)
+    floats = [pa.array(np.concatenate(x), from_pandas=True) if x else pa.array([], pa.float64()) for x in (perplexity, peak)]
+    n = pa.array(np.concatenate(sizes) if sizes else [], pa.int64())
+    return pa.table([texts.column("key"), texts.column("lang"), texts.column("doc"), n, *floats], names=["key", "lang", "doc", "n_symbols", "perplexity", "peak"])
+
+
+def score(docs: DataFrame, model: Model, key: str = "doc_id", lang: str = "lang", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, lang, doc, n_symbols, perplexity, peak) for every row; ``doc`` is the hash of the text, ``n_symbols`` its characters and the end."""
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
+    own = docs.select(F.col(key).cast("long").alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    texts = own.select(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).alias("block"), "key", "lang", F.xxhash64("text").alias("doc"), "text")
+    asked = materialize(texts.groupBy("block").applyInArrow(_ask, "block long, gram string"), "ngram-questions")
+    known = materialize(probabilities(asked.select("gram").distinct(), model), "ngram-answers")
+    answers = asked.join(known, "gram").select("block", "gram", "p")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_answer, _SCORED)
 
 
 def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, key: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
-    """(key, lang, n_symbols, perplexity, threshold, kept); ``trusted_ids`` has the column ``key``, ``n_symbols`` counts words."""
-    ids = trusted_ids.select(F.col(key).cast("long").alias("trusted")).where("trusted IS NOT NULL").distinct()
-    ids = materialize(ids, "trusted-ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    held = F.lit(False)
-    if ids.count() >= HELD_OUT_FROM:
-        held = F.pmod(F.col("doc"), F.lit(HELD_OUT)) == 0
-    trusted = docs.join(ids, docs[key] == ids["trusted"], "left_semi").select(F.col(text).alias("text")).mapInArrow(_hashes, "text string, doc long")
-    model = words.train(trusted.where(~held))
-    scored = materialize(words.score(docs, model, key, lang, text), "perplexities")
+    """(key, lang, n_symbols, perplexity, peak, threshold, peak_threshold, kept); ``trusted_ids`` has the column ``key``."""
+    ids = materialize(trusted_ids.select(F.col(key).cast("long").alias("trusted")).where("trusted IS NOT NULL").distinct(), "trusted-ids")
+    n = ids.count()
+    ids = F.broadcast(ids) if n <= BROADCAST_IDS else ids
+    held = F.pmod(F.col("doc"), F.lit(HELD_OUT)) == 0 if n >= HELD_OUT_FROM else F.lit(False)
+    trusted = docs.join(ids, docs[key] == ids["trusted"], "left_semi").select(docs[text].alias("text"))
+    model = train(trusted.withColumn("doc", F.xxhash64("text")).where(~held))
+    scored = materialize(score(docs, model, key, lang, text), "perplexities")
     known = scored.join(ids, scored["key"] == ids["trusted"], "left_semi").where("perplexity IS NOT NULL")
-    if ids.count() >= HELD_OUT_FROM:
+    if n >= HELD_OUT_FROM:
         known = known.where(held)
-    bound = F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")
-    by_lang = known.groupBy(F.col("lang").alias("l")).agg(bound)
-    overall = known.agg(bound).first()[0]
-    limits = scored.select(F.col("lang").alias("g")).distinct().join(by_lang, F.col("g").eqNullSafe(F.col("l")), "left").select("g", F.coalesce("threshold", F.lit(overall).cast("double")).alias("threshold"))
-    return scored.join(limits, F.col("lang").eqNullSafe(F.col("g"))).select(
-        F.col("key").alias(key), "lang", "n_symbols", "perplexity", "threshold",
-        F.coalesce(F.col("perplexity").isNotNull() & (F.col("threshold").isNull() | (F.col("perplexity") <= F.col("threshold"))), F.lit(False)).alias("kept"),
+    bounds = [F.percentile_approx(c, quantile, 10_000).alias(t) for c, t in (("perplexity", "threshold"), ("peak", "peak_threshold"))]
+    by_lang = known.groupBy(F.col("lang").alias("l")).agg(*bounds)
+    overall = known.agg(*bounds).first()
+    limits = scored.select(F.col("lang").alias("g")).distinct().join(by_lang, F.col("g").eqNullSafe(F.col("l")), "left")
+    limits = materialize(limits.select("g", *(F.coalesce(t, F.lit(overall[t]).cast("double")).alias(t) for t in ("threshold", "peak_threshold"))), "thresholds")
+    same = F.col("lang").eqNullSafe(F.col("g"))
+    if limits.count() <= BROADCAST_LANGS:
+        judged = scored.join(F.broadcast(limits), same)
+    else:
+        spread = limits.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        judged = scored.withColumn("salt", F.pmod(F.xxhash64("key", "doc"), F.lit(SALTS)).cast("int")).join(spread, same & (F.col("salt") == F.col("s")))
+    within = [F.col(t).isNull() | (F.col(c) <= F.col(t)) for c, t in (("perplexity", "threshold"), ("peak", "peak_threshold"))]
+    return judged.select(
+        F.col("key").alias(key), "lang", "n_symbols", "perplexity", "peak", "threshold", "peak_threshold",
+        F.coalesce(F.col("perplexity").isNotNull() & within[0] & within[1], F.lit(False)).alias("kept"),
     )
 
 

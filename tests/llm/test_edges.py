@@ -165,13 +165,6 @@ def test_ngram(spark, odd, nothing):
     assert ngram.classify(odd, ids.limit(0)).where("kept").count() == sum(r.n_symbols > 0 for r in rows)
 
 
-def test_ngram_probabilities_sum_to_one(spark):
-    docs = spark.createDataFrame([("the cat sat on the mat. " * 5,), ("a dog ran to the cat. " * 4,)], "text string")
-    table = np.exp(-ngram.score_table(*ngram.model_arrays(ngram.train(docs))).astype(np.float64)).reshape(-1, ngram.SYMBOLS)
-    seen = np.unique(ngram.grams(np.frombuffer(b"the cat sat on the mat. ", np.uint8), np.array([0, 24])) >> ngram.BITS)
-    assert np.allclose(table[seen].sum(axis=1), 1, atol=1e-3) and np.allclose(table[12345 % len(table)].sum(), 1, atol=1e-3)
-
-
 def test_secrets(spark, odd, nothing):
     known, forest = secrets.learn(odd)
     assert secrets.find_secrets(odd, known, forest).where("is_secret").count() == 0
