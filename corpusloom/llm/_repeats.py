@@ -13,9 +13,13 @@ first pass over the table:
 3. Documents take back their covered intervals.
 
 Skew: exact copies count once. A task tells an anchor or a context that many of its documents have
-once, and settles later occurrences itself, so a common passage costs each shard one row a task.
-Anchors that a great many texts have ("hot", at most ``MAX_HOT`` of them by construction) are dealt
-out window by window instead of all to one shard.
+once, and settles later occurrences itself after comparing their bytes, so a common passage costs
+each shard one row a task. Anchors that very many texts have ("hot") are dealt out window by window
+instead of all to one shard: from ``Repeats.hot`` texts on, or from twice, four times as many and so
+on where more than ``MAX_HOT`` anchors have that many.
+
+Identity: equal texts are those with equal hashes of 128 bits. A document is known by its id and 64
+bits of its text together, so only rows that share an id could ever be confused.
 """
 
 from __future__ import annotations
@@ -51,6 +55,8 @@ class Repeats:
     solve: Callable[[Contexts, Repeats], np.ndarray] | None = None
     #: An anchor is hot from so many texts.
     hot: int = 50_000
+    #: A shard solves whole anchors of about so many bytes at a time, which bounds its memory.
+    chunk_bytes: int = 4 << 20
 
 
 @dataclass
@@ -244,7 +250,7 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sharer(plan: Repeats, parts: int):
-    """A bucket's packed anchors -> those that are shared, packed by part of the texts; in part -1 the hot ones."""
+    """A bucket's packed anchors -> those that are shared, packed by part of the texts; in parts below 0 the hot ones, by their numbers of texts."""
 
     def run(table: pa.Table) -> pa.Table:
         done = table.column("settled").combine_chunks().to_numpy(zero_copy_only=False)
@@ -267,9 +273,8 @@ def _sharer(plan: Repeats, parts: int):
             sure = np.maximum.reduceat(many, head) > 1
             shared = np.repeat(other | sure, np.diff(np.append(head, len(code)))) & (who != 0)
             rows = _packed((who[shared] % np.uint64(parts)).astype(np.int32), who[shared], code[shared], parts, True)
-            hot = code[head][total >= plan.hot]
-            if len(hot):
-                rows.append((-1, b"", b"", hot.tobytes(), True))
+            level = np.where(total >= plan.hot, -1 - np.log2(np.maximum(total // plan.hot, 1)).astype(np.int64), 0)
+            rows += [(int(x), b"", b"", code[head][level == x].tobytes(), True) for x in np.unique(level[level < 0])]
         found = [_batch(rows, _PACKED_ARROW)] if rows else []
         return pa.Table.from_batches([*settled.cast(_PACKED_ARROW).to_batches(), *found], _PACKED_ARROW)
 
@@ -293,10 +298,21 @@ _SENT_ARROW = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), *((c, pa.b
 _KINDS = {"anchor": np.uint64, "doc": np.int64, "who": np.int64, "lo": np.int32, "rel": np.int32, "items": np.int32, "size": np.int32}
 
 
+def _equal(items: Items, a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether the ``n`` items from ``a`` and the ``m`` items from ``b`` are the same bytes."""
+    size = items.end[a + n - 1] - items.start[a]
+    same = (n == m) & (size == items.end[b + m - 1] - items.start[b])
+    some = np.flatnonzero(same)
+    if len(some):
+        pieces = [gather(items.data, items.start[x[some]], size[some]) for x in (a, b)]
+        same[some] = np.bincount(np.repeat(np.arange(len(some)), size[some]), weights=pieces[0] != pieces[1], minlength=len(some)) == 0
+    return same
+
+
 def _cutter(plan: Repeats, shards: int, hot: np.ndarray):
-    """Rows (dk, doc, text, codes) -> contexts by shard, and intervals that are settled here."""
+    """Rows (id, tag, text, codes) -> contexts by shard, and intervals that are settled here."""
 
-    def cut(dk: np.ndarray, ids: np.ndarray, codes: list, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
+    def cut(tags: np.ndarray, ids: np.ndarray, codes: list, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
         items = items_of(data, offsets, plan.unit)
         at, code = anchors(items.value, items.first, plan)
         if not len(at):
@@ -320,25 +336,27 @@ def _cutter(plan: Repeats, shards: int, hot: np.ndarray):
             hi = np.where(single, lo, hi[index])
             code = np.where(single, B.span_hash(prefix, lo, lo + plan.window), code)
         what = B.mix(B.span_hash(prefix, lo, hi + plan.window) + (at - lo).astype(np.uint64))
-        order = np.lexsort((lo, dk[doc], ids[doc], what))
+        order = np.lexsort((lo, tags[doc], ids[doc], what))
         at, code, doc, lo, hi, what = (x[order] for x in (at, code, doc, lo, hi, what))
         again = np.append(False, what[1:] == what[:-1])
         head = np.maximum.accumulate(np.where(again, 0, np.arange(len(what)))) if len(what) else np.zeros(0, np.int64)
+        width = hi - lo + plan.window
         # an equal context stands earlier, so all its windows do
         settled = ids[doc] > ids[doc][head]
         if plan.within:
-            settled |= again & np.append(False, dk[doc][1:] == dk[doc][:-1])
+            settled |= again & np.append(False, (tags[doc][1:] == tags[doc][:-1]) & (ids[doc][1:] == ids[doc][:-1]))
+        s = np.flatnonzero(settled)
+        settled[s] = _equal(items, lo[s], lo[head[s]], width[s], width[head[s]]) & (at[s] - lo[s] == at[head[s]] - lo[head[s]])
         base = items.first[doc]
-        width = hi - lo + plan.window
         s = np.flatnonzero(settled)
         if len(s):
-            part = (dk[doc[s]].view(np.uint64) % np.uint64(shards)).astype(np.int32)
+            part = (tags[doc[s]].view(np.uint64) % np.uint64(shards)).astype(np.int32)
             order = np.argsort(part, kind="stable")
             s, part = s[order], part[order]
             edge = np.flatnonzero(np.diff(part, prepend=-1, append=shards))
             for a, b in zip(edge[:-1], edge[1:]):
                 x = s[a:b]
-                yield int(part[a]), 1, b"", b"", dk[doc[x]].tobytes(), (lo - base)[x].astype(np.int32).tobytes(), b"", width[x].astype(np.int32).tobytes(), b"", b""
+                yield int(part[a]), 1, b"", ids[doc[x]].tobytes(), tags[doc[x]].tobytes(), (lo - base)[x].astype(np.int32).tobytes(), b"", width[x].astype(np.int32).tobytes(), b"", b""
         s = np.flatnonzero(~settled)
         part = (B.mix(code[s] + np.uint64(1)) % np.uint64(shards)).astype(np.int32)
         order = np.argsort(part, kind="stable")
@@ -348,38 +366,35 @@ def _cutter(plan: Repeats, shards: int, hot: np.ndarray):
         edge = np.flatnonzero(np.diff(part, prepend=-1, append=shards))
         for a, b in zip(edge[:-1], edge[1:]):
             x = s[a:b]
-            columns = (code[x], ids[doc[x]], dk[doc[x]], (lo - base)[x].astype(np.int32), (at - lo)[x].astype(np.int32), width[x].astype(np.int32), size[a:b].astype(np.int32))
+            columns = (code[x], ids[doc[x]], tags[doc[x]], (lo - base)[x].astype(np.int32), (at - lo)[x].astype(np.int32), width[x].astype(np.int32), size[a:b].astype(np.int32))
             yield int(part[a]), 0, *(c.tobytes() for c in columns), pa.compress(gather(items.data, begin[a:b], size[a:b]).tobytes(), "zstd", asbytes=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dk, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             data, offsets = B.buffers(batch.column(2))
             for i, j in B.slices(offsets):
                 codes = batch.column(3).slice(i, j - i).to_pylist()
-                rows = list(cut(dk[i:j], ids[i:j], codes, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+                rows = list(cut(tags[i:j], ids[i:j], codes, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
                 if rows:
                     yield _batch(rows, _SENT_ARROW)
 
     return run
 
 
-CHUNK_BYTES = 1 << 20
-
-
-def intervals(who: np.ndarray, start: np.ndarray, width: int, covered: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Covered windows, listed by context (``run``) in order -> (who, start, length) of their unions."""
+def intervals(doc: np.ndarray, who: np.ndarray, start: np.ndarray, width: int, covered: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Covered windows, listed by context (``run``) in order -> (doc, who, start, length) of their unions."""
     i = np.flatnonzero(covered)
     if not len(i):
-        return who[:0], start[:0], start[:0]
+        return doc[:0], who[:0], start[:0], start[:0]
     head = np.flatnonzero(np.append(True, (np.diff(i) != 1) | (np.diff(run[i]) != 0)))
     tail = np.append(head[1:], len(i)) - 1
     a, b = i[head], i[tail]
-    return who[a], start[a], start[b] - start[a] + width
+    return doc[a], who[a], start[a], start[b] - start[a] + width
 
 
-_COVERED = "part int, who binary, start binary, size binary"
-_COVERED_ARROW = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("who", "start", "size"))])
+_COVERED = "part int, doc binary, who binary, start binary, size binary"
+_COVERED_ARROW = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("doc", "who", "start", "size"))])
 
 
 def _solver(plan: Repeats, parts: int):
@@ -388,7 +403,7 @@ def _solver(plan: Repeats, parts: int):
     def run(table: pa.Table) -> pa.Table:
         kind = table.column("kind").combine_chunks().to_numpy(zero_copy_only=False)
         settled = table.filter(pa.array(kind == 1))
-        found = [(_joined(settled.column("who"), np.int64), _joined(settled.column("lo"), np.int32).astype(np.int64), _joined(settled.column("items"), np.int32).astype(np.int64))]
+        found = [(_joined(settled.column("doc"), np.int64), _joined(settled.column("who"), np.int64), _joined(settled.column("lo"), np.int32).astype(np.int64), _joined(settled.column("items"), np.int32).astype(np.int64))]
         sent = table.filter(pa.array(kind == 0))
         sizes = [int(np.frombuffer(x, np.int32).sum()) for x in sent.column("size").to_pylist()]
         data = np.empty(sum(sizes), np.uint8)
@@ -405,77 +420,89 @@ def _solver(plan: Repeats, parts: int):
         order, group = order[(many := np.bincount(group)[group] > 1)], group[many]  # an anchor that stands alone has no partner
         mass = np.cumsum(every.size[order])
         while len(order):
-            cut = int(np.searchsorted(mass, mass[0] + CHUNK_BYTES))
+            cut = int(np.searchsorted(mass, mass[0] + plan.chunk_bytes))
             cut = int(np.searchsorted(group, group[min(cut, len(group) - 1)], "right")) if cut < len(group) else len(group)
             some = every.take(order[:cut])
             order, group, mass = order[cut:], group[cut:], mass[cut:]
             n = some.items - plan.window + 1
             index = B.repeat_index(n)
             nth = np.arange(len(index)) - np.repeat(np.cumsum(n) - n, n)
-            found.append(intervals(some.who[index], some.lo[index].astype(np.int64) + nth, plan.window, plan.solve(some, plan), index))
-        who, start, size = (np.concatenate(x) for x in zip(*found))
+            found.append(intervals(some.doc[index], some.who[index], some.lo[index].astype(np.int64) + nth, plan.window, plan.solve(some, plan), index))
+        doc, who, start, size = (np.concatenate(x) for x in zip(*found))
         part = (who.view(np.uint64) % np.uint64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
-        part, who, start, size = part[order], who[order], start[order].astype(np.int32), size[order].astype(np.int32)
+        part, doc, who, start, size = part[order], doc[order], who[order], start[order].astype(np.int32), size[order].astype(np.int32)
         edge = np.flatnonzero(np.diff(part, prepend=-1, append=parts))
-        rows = [(int(part[a]), who[a:b].tobytes(), start[a:b].tobytes(), size[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:])]
+        rows = [(int(part[a]), doc[a:b].tobytes(), who[a:b].tobytes(), start[a:b].tobytes(), size[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:])]
         return pa.Table.from_batches([_batch(rows, _COVERED_ARROW)] if rows else [], _COVERED_ARROW)
 
     return run
 
 
 def _gather_spans(table: pa.Table) -> pa.Table:
-    """A part's packed intervals -> (dk, spans): those of each document, as pairs of start and length."""
-    out = pa.schema([("dk", pa.int64()), ("spans", pa.binary())])
-    who, start, size = (_joined(table.column(c), k) for c, k in (("who", np.int64), ("start", np.int32), ("size", np.int32)))
-    order = np.argsort(who, kind="stable")
-    who, pairs = who[order], np.stack([start[order], size[order]], axis=1)
-    edge = np.append(np.flatnonzero(np.append(True, who[1:] != who[:-1])), len(who)) if len(who) else np.zeros(1, np.int64)
-    rows = [(int(who[a]), pairs[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:])]
+    """A part's packed intervals -> (id, tag, spans): those of each document, as pairs of start and length."""
+    out = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("spans", pa.binary())])
+    doc, who, start, size = (_joined(table.column(c), k) for c, k in (("doc", np.int64), ("who", np.int64), ("start", np.int32), ("size", np.int32)))
+    order = np.lexsort((who, doc))
+    doc, who, pairs = doc[order], who[order], np.stack([start[order], size[order]], axis=1)
+    edge = np.append(np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (doc[1:] != doc[:-1]))), len(who)) if len(who) else np.zeros(1, np.int64)
+    rows = [(int(doc[a]), int(who[a]), pairs[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:])]
     return pa.Table.from_batches([_batch(rows, out)] if rows else [], out)
 
 
+def _hot_anchors(shared: DataFrame) -> np.ndarray:
+    """At most MAX_HOT anchors, those of the most texts, whole levels at a time."""
+    levels = shared.where("bucket < 0").groupBy("bucket").agg((F.sum(F.octet_length("code")) / 8).alias("n")).orderBy("bucket").collect()  # one row for each doubling
+    least, total = 0, 0
+    for r in levels:
+        total += r.n
+        if total > MAX_HOT:
+            break
+        least = r.bucket
+    hot = [r.code for r in shared.where(F.col("bucket") <= least).select("code").collect()] if least < 0 else []
+    return np.sort(np.frombuffer(b"".join(hot), np.uint64))
+
+
 def covered_items(docs: DataFrame, plan: Repeats, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(texts, rows, several).
 
-    texts: (dk, id, text, spans) for the first document of every distinct text; spans is a binary of
-    pairs of int32 (start, length) in items, or null. rows: (key, dk, first, salt) for
-    every row of ``docs``: ``first`` tells whether it is such a first document; any other has an
-    equal text at a smaller key. several: (s_dk) of texts that more than one row has. Rows take what
+    texts: (id, tag, text, spans) for the first document of every distinct text; spans is a binary of
+    pairs of int32 (start, length) in items, or null. rows: (key, id, tag, first, salt) for
+    every row of ``docs``, with the id of its text's first document: ``first`` tells whether it is this; any other has an
+    equal text at a smaller key. several: (s_id, s_tag) of texts that more than one row has. Rows take what
     is known of their text through :func:`per_row`.
     """
-    own = docs.select(docs[key].alias("key"), F.coalesce(docs[text], F.lit("")).alias("text")).withColumn("tag", F.xxhash64("text"))
-    own = own.withColumn("id", F.coalesce(F.col("key").cast("long"), F.lit(int(LAST))))
-    light = materialize(own.select("key", "id", "tag", F.octet_length("text").alias("bytes")), "repeat-rows")
+    own = docs.select(docs[key].alias("key"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    own = own.withColumn("id", F.coalesce(F.col("key").cast("long"), F.lit(int(LAST)))).withColumn("tag", F.xxhash64("text"))
+    light = materialize(own.select("key", "id", "tag", F.xxhash64(F.lit(1), "text").alias("more"), F.octet_length("text").alias("bytes")), "repeat-rows")
     total = light.agg(F.sum("bytes")).first()[0] or 0
     parts = max(1, -(-total // BUCKET_BYTES))
 
-    plan = replace(plan, hot=max(plan.hot, total // MAX_HOT))  # so at most MAX_HOT anchors are hot
     marked = own.select("tag", "text").mapInArrow(_marker(plan, parts), _PACKED)
     shared = materialize(marked.groupBy("bucket").applyInArrow(_sharer(plan, parts), _PACKED), "repeat-anchors")
-    hot = [r.code for r in shared.where("bucket = -1").select("code").collect()]
-    hot = np.sort(np.frombuffer(b"".join(hot), np.uint64))
+    hot = _hot_anchors(shared)
 
-    first = light.groupBy("tag").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).withColumn("dk", F.xxhash64("tag", "id"))
+    first = light.groupBy("tag", "more").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
     asked = shared.where("bucket >= 0").groupBy("bucket").applyInArrow(_gather_codes, "tag long, codes binary")
-    asked = first.join(asked, "tag").select("dk", "codes")
-    base = own.select(F.xxhash64("tag", "id").alias("dk"), "id", "text")
+    asked = first.join(asked, "tag").select("id", "tag", "codes")
+    base = own.select("id", "tag", "text")
     if not light.groupBy("tag", "id").count().where("count > 1").isEmpty():
-        base = base.dropDuplicates(["dk"])  # repeated rows are one document
-    sent = base.join(asked.hint("shuffle_hash"), "dk").select("dk", "id", "text", "codes").mapInArrow(_cutter(plan, parts, hot), _SENT)
+        base = base.dropDuplicates(["id", "tag"])  # repeated rows are one document
+    sent = base.join(asked, ["id", "tag"]).select("id", "tag", "text", "codes").mapInArrow(_cutter(plan, parts, hot), _SENT)
     covered = sent.groupBy("shard").applyInArrow(_solver(plan, parts), _COVERED)
-    spans = covered.groupBy("part").applyInArrow(_gather_spans, "dk long, spans binary")
-    chosen = first.select("dk").join(spans, "dk", "left")
+    spans = covered.groupBy("part").applyInArrow(_gather_spans, "id long, tag long, spans binary")
+    chosen = first.select("id", "tag").join(spans, ["id", "tag"], "left")
     # the same columns as above, so that the texts are exchanged once for both joins
-    texts = base.join(chosen.hint("shuffle_hash"), "dk").select("dk", "id", "text", "spans")
-    copied = first.where("n > 1").select(F.col("tag").alias("f_tag"), F.col("id").alias("f_id"), F.col("dk").alias("f_dk"), F.explode(_salts()).alias("f_salt"))
+    texts = base.join(chosen, ["id", "tag"]).select("id", "tag", "text", "spans")
+    copied = first.where("n > 1").select(F.col("tag").alias("f_tag"), F.col("more").alias("f_more"), F.col("id").alias("f_id"), F.explode(_salts()).alias("f_salt"))
     salt = F.pmod(F.xxhash64("key", "bytes"), F.lit(SALTS)).cast("int")
-    named = light.withColumn("salt", salt).join(copied, (F.col("tag") == F.col("f_tag")) & (F.col("salt") == F.col("f_salt")), "left")
+    same = (F.col("tag") == F.col("f_tag")) & (F.col("more") == F.col("f_more")) & (F.col("salt") == F.col("f_salt"))
+    named = light.withColumn("salt", salt).join(copied, same, "left")
     rows = named.select(
-        "key", F.coalesce("f_dk", F.xxhash64("tag", "id")).alias("dk"), (F.col("f_id").isNull() | (F.col("id") == F.col("f_id"))).alias("first"),
+        "key", F.coalesce("f_id", "id").alias("id"), "tag", (F.col("f_id").isNull() | (F.col("id") == F.col("f_id"))).alias("first"),
         F.when(F.col("f_id").isNull(), F.lit(0)).otherwise(F.col("salt")).alias("salt"),
     )
-    several = first.where("n > 1").select(F.col("dk").alias("s_dk"))
+    several = first.where("n > 1").select(F.col("id").alias("s_id"), F.col("tag").alias("s_tag"))
     return texts, rows, several
 
 
@@ -484,10 +511,10 @@ def _salts():
 
 
 def per_row(rows: DataFrame, found: DataFrame, several: DataFrame) -> DataFrame:
-    """Rows with what was found for their text (by ``dk``); texts with many rows are copied under salts, so that no task gets all."""
-    salts = F.when(F.col("s_dk").isNull(), F.array(F.lit(0))).otherwise(_salts())
-    copied = found.join(several, found["dk"] == several["s_dk"], "left").withColumn("salt", F.explode(salts)).drop("s_dk")
-    return rows.join(copied, ["dk", "salt"]).drop("salt")
+    """Rows with what was found for their text (by ``id`` and ``tag``); texts with many rows are copied under salts, so that no task gets all."""
+    salts = F.when(F.col("s_id").isNull(), F.array(F.lit(0))).otherwise(_salts())
+    copied = found.join(several, (found["id"] == several["s_id"]) & (found["tag"] == several["s_tag"]), "left")
+    return rows.join(copied.withColumn("salt", F.explode(salts)).drop("s_id", "s_tag"), ["id", "tag", "salt"]).drop("salt")
 
 
 def merged(spans: bytes | None, n: int) -> np.ndarray:

@@ -3,8 +3,8 @@
 Equal windows meet in one shard (see ``_repeats``). A shard joins its distinct contexts into one
 text and sorts its suffixes by induced sorting: suffixes are classed as smaller or larger than
 their right neighbours, the leftmost-smaller substrings are sorted and named, the reduced text of
-names is sorted recursively, and its order induces that of all suffixes in two linear sweeps,
-bucket by bucket. Permuted common prefixes then tell which neighbours in the array share
+names is sorted recursively, and its order induces that of all suffixes in two linear sweeps.
+Permuted common prefixes then tell which neighbours in the array share
 ``WINDOW`` bytes; the smallest document in such a run keeps its window.
 
 Defined results: a null text is empty; equal documents keep the one with the smallest id, and rows
@@ -27,25 +27,8 @@ from ._repeats import Contexts, Repeats, covered_items, merged, per_row
 
 WINDOW = 50
 GRAM = 16
-#: Sweeps go bucket by bucket up to this alphabet; longer alphabets are sorted by doubling.
-SWEEP_ALPHABET = 1 << 10
-
-
-def _doubling(text: np.ndarray) -> np.ndarray:
-    """Suffix array by doubling the sorted length; the base of the recursion."""
-    n = len(text)
-    _, rank = np.unique(text, return_inverse=True)
-    rank, k = rank.astype(np.int64), 1
-    while True:
-        behind = np.zeros(n, np.int64)
-        behind[: max(0, n - k)] = rank[k:] + 1
-        pair = rank * (n + 1) + behind
-        order = np.argsort(pair, kind="stable")
-        changed = np.append(0, (np.diff(pair[order]) != 0).astype(np.int64))
-        rank[order] = np.cumsum(changed)
-        if n == 0 or rank[order[-1]] == n - 1:
-            return order
-        k *= 2
+#: Sweeps go bucket by bucket where buckets hold so many suffixes on average, else suffix by suffix.
+BUCKET = 64
 
 
 def _smaller(text: np.ndarray) -> np.ndarray:
@@ -99,17 +82,46 @@ def _sweep(text: np.ndarray, small: np.ndarray, lms: np.ndarray, bounds: np.ndar
     return array
 
 
+def _walk(text: np.ndarray, small: np.ndarray, lms: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """What :func:`_sweep` gives, one suffix at a time: linear for every alphabet, as names of long texts make it."""
+    n = len(text)
+    letter, is_small = text.tolist(), small.tolist()
+    array, head, tail = [-1] * n, bounds[:-1].tolist(), bounds[1:].tolist()
+    for i in reversed(lms.tolist()):  # at the ends of their buckets, in order
+        tail[letter[i]] -= 1
+        array[tail[letter[i]]] = i
+    if n:
+        c = letter[n - 1]
+        array[head[c]] = n - 1
+        head[c] += 1
+    for k in range(n):
+        i = array[k] - 1
+        if i >= 0 and not is_small[i]:
+            c = letter[i]
+            array[head[c]] = i
+            head[c] += 1
+    tail = bounds[1:].tolist()
+    for k in range(n - 1, -1, -1):
+        i = array[k] - 1
+        if i >= 0 and is_small[i]:
+            c = letter[i]
+            tail[c] -= 1
+            array[tail[c]] = i
+    return np.array(array, np.int64)
+
+
 def suffix_array(text: np.ndarray, sigma: int) -> np.ndarray:
-    """Starts of the suffixes of ``text`` (values below ``sigma``) in order, by induced sorting."""
+    """Starts of the suffixes of ``text`` (values below ``sigma``) in order, by induced sorting, recursively."""
     n = len(text)
-    if n < 64 or sigma > SWEEP_ALPHABET:
-        return _doubling(text)
+    if not n:
+        return np.zeros(0, np.int64)
     text = text.astype(np.int64 if sigma > 1 << 16 else np.uint16)
+    induce = _sweep if sigma * BUCKET <= n else _walk
     small = _smaller(text)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     bounds = np.append(0, np.cumsum(np.bincount(text, minlength=sigma)))
     if len(lms) > 1:
-        rough = _sweep(text, small, lms, bounds)
+        rough = induce(text, small, lms, bounds)
         is_lms = np.zeros(n + 1, bool)
         is_lms[lms] = True
         ordered = rough[is_lms[rough]]
@@ -129,7 +141,7 @@ def suffix_array(text: np.ndarray, sigma: int) -> np.ndarray:
         names = int(reduced.max()) + 1
         order = np.argsort(reduced) if names == len(lms) else suffix_array(reduced, names)
         lms = lms[order]
-    return _sweep(text, small, lms, bounds)
+    return induce(text, small, lms, bounds)
 
 
 def common_prefixes(text: np.ndarray, array: np.ndarray, most: int) -> np.ndarray:
@@ -229,7 +241,7 @@ def solve(c: Contexts, plan: Repeats) -> np.ndarray:
 
 
 PLAN = Repeats("byte", WINDOW, GRAM, within=False, solve=solve)
-_OUT = "dk long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+_OUT = "id long, tag long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +252,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             piece = data[offsets[i] : offsets[i + 1]]
             gone = merged(spans, len(piece))
             rows.append((len(piece), int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), hashlib.sha256(piece[~gone].tobytes()).hexdigest()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, zip(*rows))], names=["dk", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, zip(*rows))], names=["id", "tag", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", plan: Repeats = PLAN) -> DataFrame:

@@ -14,14 +14,16 @@ def test_same_rows_as_sql(name, same):
     same(QUERIES[name], ORACLE[name], SF)
 
 
-def test_op4(spark):
-    got = QUERIES["op4_suffix_array"](spark, SF).collect()
-    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_bytes(documents(spark))
+@pytest.mark.parametrize("sf", [SF, f"{DATA}/sf0.01"])
+def test_op4(spark, sf):
+    got = QUERIES["op4_suffix_array"](spark, sf).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_bytes(documents(spark, sf))
 
 
-def test_op6(spark):
-    got = QUERIES["op6_phrases"](spark, SF).collect()
-    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_words(documents(spark))
+@pytest.mark.parametrize("sf", [SF, f"{DATA}/sf0.01"])
+def test_op6(spark, sf):
+    got = QUERIES["op6_phrases"](spark, sf).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_words(documents(spark, sf))
 
 
 def test_op10(spark):
