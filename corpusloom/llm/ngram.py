@@ -68,24 +68,70 @@ def places(size: np.ndarray) -> np.ndarray:
     return np.arange(int(some.sum())) + np.repeat((ORDER - 1) * np.arange(1, len(some) + 1), some)
 
 
-def _codes(points: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+def _codes(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the n-gram that ends at each place."""
-    factor = B.mix(np.arange(1, ORDER + 1, dtype=np.uint64) + np.uint64(ORDER * seed)) | np.uint64(1)
-    wide = points.astype(np.uint64)
-    out = np.zeros(len(ends), np.uint64)
+    n = max(0, len(points) - ORDER + 1)
+    factor = B.mix(np.arange(1, ORDER + 1, dtype=np.uint64)) | np.uint64(1)
+    out = np.zeros(n, np.uint64)
     for back in range(ORDER):
-        out += wide[ends - back] * factor[back]
-    return out
-
-
-def distinct(points: np.ndarray, ends: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(places, n): where each distinct n-gram first ends, and how often; hashes are proven by comparison, or drawn anew."""
-    while True:
-        _, first, of, n = np.unique(_codes(points, ends, seed), return_index=True, return_inverse=True, return_counts=True)
-        like = ends[first][of]
-        if all(np.array_equal(points[ends - back], points[like - back]) for back in range(ORDER)):
-            return ends[first], n.astype(np.int64)
-        seed += 1
+        out += points[ORDER - 1 - back : ORDER - 1 - back + n] * factor[back]
+    return out[ends - ORDER + 1]
+
+
+def _slots(code: np.ndarray, bits: int, turn: int) -> np.ndarray:
+    return ((code * (B.mix(np.array([turn + 1], np.uint64)) | np.uint64(1))) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _alike(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the n-grams that end at places ``x`` of ``a`` and ``y`` of ``b`` are the same characters."""
+    same = a[x] == b[y]
+    for back in range(1, ORDER):
+        same &= a[x - back] == b[y - back]
+    return same
+
+
+def distinct(points: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, n): where each distinct n-gram ends once, and how often. Slots are dealt by hashes, and characters compared."""
+    places, counts, code, turn = [ends[:0]], [np.zeros(0, np.int64)], _codes(points, ends), 0
+    while len(ends):
+        bits = max(8, len(ends).bit_length())
+        slot, held = _slots(code, bits, turn), np.zeros(1 << bits, np.int64)
+        held[slot] = np.arange(len(ends))
+        like = held[slot]
+        same = _alike(points, ends, points, ends[like])
+        n = np.bincount(like[same], minlength=len(ends))
+        places.append(ends[n > 0])
+        counts.append(n[n > 0])
+        ends, code, turn = ends[~same], code[~same], turn + 1  # whoever lost its slot tries another
+    return np.concatenate(places), np.concatenate(counts)
+
+
+class Table:
+    """Finds n-grams among known ones, by slots and comparison of characters."""
+
+    def __init__(self, known: np.ndarray, ends: np.ndarray) -> None:
+        self.known, self.ends, self.turns = known, ends, []
+        rest, code = np.arange(len(ends)), _codes(known, ends)
+        while len(rest):
+            bits = max(8, (4 * len(rest)).bit_length())
+            held = np.full(1 << bits, -1, np.int32)
+            slot = _slots(code, bits, len(self.turns))
+            held[slot] = rest
+            self.turns.append((bits, held))
+            lost = held[slot] != rest
+            rest, code = rest[lost], code[lost]
+
+    def find(self, points: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The index of the known n-gram that ends at each place; all are known."""
+        out, rest, code = np.zeros(len(ends), np.int64), np.arange(len(ends)), _codes(points, ends)
+        for turn, (bits, held) in enumerate(self.turns):
+            which = held[_slots(code, bits, turn)]
+            same = (which >= 0) & _alike(points, ends[rest], self.known, self.ends[which])
+            out[rest[same]] = which[same]
+            rest, code = rest[~same], code[~same]
+        if len(rest):
+            raise ValueError("an n-gram was not asked for")
+        return out
 
 
 def spelled(points: np.ndarray, ends: np.ndarray) -> pa.StringArray:
@@ -96,12 +142,21 @@ def spelled(points: np.ndarray, ends: np.ndarray) -> pa.StringArray:
     return pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(flat.tobytes().decode("utf-32-le").encode()))
 
 
-def _slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed UTF-8, which is what is exchanged; null and empty texts as null."""
+    for batch in batches:
+        packed = [pa.compress(t.encode(), "zstd", asbytes=True) if t else None for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], names=[*batch.schema.names[:-1], "packed"])
+
+
+def _unpacked(table: pa.Table) -> pa.Array:
+    rows = zip(table.column("packed"), table.column("bytes").to_pylist())
+    return pa.array([pa.decompress(x.as_buffer(), n, "zstd", asbytes=True).decode() if x.is_valid else None for x, n in rows], pa.string())
+
+
+def _slices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Code points and sizes of the texts, some megabytes at a time."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    _, offsets = B.buffers(column)
-    for i, j in B.slices(offsets):
+    for i, j in B.slices(B.buffers(column)[1]):
         yield points_of(column.slice(i, j - i).to_pylist())
 
 
@@ -176,7 +231,7 @@ def probabilities(grams: DataFrame, model: Model) -> DataFrame:
 def _ask(table: pa.Table) -> pa.Table:
     """A block's texts -> (block, gram), each n-gram once."""
     grams = []
-    for points, size in _slices(table.column("text")):
+    for points, size in _slices(_unpacked(table)):
         grams.append(spelled(points, distinct(points, places(size))[0]))
     every = pc.unique(pa.chunked_array(grams, pa.string()))
     return pa.table({"block": pa.repeat(table.column("block")[0], len(every)), "gram": every})
@@ -188,17 +243,12 @@ _SCORED = "key long, lang string, doc long, n_symbols long, perplexity double, p
 def _answer(texts: pa.Table, answers: pa.Table) -> pa.Table:
     """A block's texts and the probabilities of its n-grams -> perplexities."""
     known = np.frombuffer("".join(answers.column("gram").to_pylist()).encode("utf-32-le"), np.uint32)
-    ends, seed = np.arange(ORDER - 1, len(known), ORDER), 0
-    code = _codes(known, ends, seed)
-    while len(np.unique(code)) < len(code):
-        code, seed = _codes(known, ends, seed + 1), seed + 1
-    order = np.argsort(code)
-    code, cost = code[order], -np.log(answers.column("p").to_numpy())[order]
+    table, cost = Table(known, np.arange(ORDER - 1, len(known), ORDER)), -np.log(answers.column("p").to_numpy())
     sizes, perplexity, peak = [], [], []
-    for points, size in _slices(texts.column("text")):
+    for points, size in _slices(_unpacked(texts)):
         at = places(size)
         spent = np.zeros(len(points))
-        spent[at] = cost[np.searchsorted(code, _codes(points, at, seed))] if len(at) else 0.0
+        spent[at] = cost[table.find(points, at)]
         total = np.append(0.0, np.cumsum(spent))
         run = spent.copy()
         for back in range(1, PEAK):  # never beyond the starts of its text
@@ -221,7 +271,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", lang: str = "lang"
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     own = docs.select(F.col(key).cast("long").alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    texts = own.select(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).alias("block"), "key", "lang", F.xxhash64("text").alias("doc"), "text")
+    texts = own.select(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).alias("block"), "key", "lang", F.xxhash64("text").alias("doc"), F.octet_length("text").alias("bytes"), "text")
+    texts = texts.mapInArrow(_pack, "block long, key long, lang string, doc long, bytes int, packed binary")
     asked = materialize(texts.groupBy("block").applyInArrow(_ask, "block long, gram string"), "ngram-questions")
     known = materialize(probabilities(asked.select("gram").distinct(), model), "ngram-answers")
     answers = asked.join(known, "gram").select("block", "gram", "p")
