@@ -56,7 +56,7 @@ class Repeats:
     #: An anchor is hot from so many texts.
     hot: int = 50_000
     #: A shard solves whole anchors of about so many bytes at a time, which bounds its memory.
-    chunk_bytes: int = 4 << 20
+    chunk_bytes: int = 2 << 20
 
 
 @dataclass
