@@ -1,27 +1,32 @@
 """Secret scans: candidate strings, judged by a random forest that removes false positives.
 
-Candidates are long tokens with a digit and values assigned to secret-sounding names. Features are
-the candidate's length, its character classes and the transitions between them, the surprise of its
-letter pairs under the whole corpus, how much of it a dictionary of the corpus' frequent words
+Candidates are long tokens with a digit, values assigned to secret-sounding names, and passwords in
+addresses. Features are the candidate's length, its character classes and the transitions between
+them, the surprise of its letter pairs under the whole corpus, how much of it the corpus' dictionary
 covers, what its document's path looks like, and the neighbouring words. The forest is trained with
-Spark's MLlib on labelled findings and then applied inside the scan, as a few arrays.
+Spark's MLlib on labelled findings and then applied to the candidates, as a few arrays.
 
-Labelled findings come from the corpus itself (see :func:`labelled_findings`): at most
-``LABELLED`` rows, a documented bound; letter pairs and word counts are taken over all documents.
+Labelled findings are made by one generator for each family of secrets and of what is taken for
+them (``SECRETS``, ``HARMLESS_KINDS``), from words of the documents: at most ``LABELLED`` rows, a
+documented bound. No feature and no rule over features has a part in the labels. Letter pairs and
+the dictionary are taken over all documents.
 
-Scale: three passes over the text without exchanging it; only word counts are exchanged, combined
-in tasks first. The forest (``TREES`` trees of depth ``DEPTH``), the pair table (65,536 cells) and
-the dictionary (``DICTIONARY`` words, a parameter of the model) are bounded and travel with the code.
+Scale: passes over the text without exchanging it give word counts, letter pairs and candidates. The
+dictionary is every word that occurs ``LEAST`` times, however many there are: pieces of candidates
+meet it in a join. Redaction joins the documents with the spans of those that have any. The forest
+(``TREES`` trees of depth ``DEPTH``) and the pair table (65,536 cells) are bounded and travel with the code.
 
 Defined results: null or empty texts have no findings; a null path has no features; repeated rows
-give their findings each; without both kinds of labelled findings nothing counts as a secret; an
-empty table gives an empty table; other columns pass through.
+give their findings each; without documents there are no labelled findings, and nothing counts as a
+secret; an empty table gives an empty table; other columns pass through.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,36 +41,40 @@ from . import _bytes as B
 from ._store import materialize
 
 LABELLED = 6_000
-#: Labelled findings of a document: its own, and the lines made from it.
-OWN_FINDINGS, MADE_LINES = 3, 15
-DICTIONARY = 20_000
-TREES, DEPTH, SEED = 24, 6, 7
+#: A word of the dictionary occurs so often, and has so many letters.
+LEAST, LETTERS = 3, (3, 24)
+TREES, DEPTH, SEED = 32, 8, 7
 THRESHOLD = 0.5
 REDACTED = "[REDACTED]"
 
 #: Names that announce a secret, words that announce something harmless, parts of test paths.
-SECRET_NAMES = ("access_key", "access-key", "accesskey", "api_key", "api-key", "apikey", "auth", "authorization", "bearer", "credential", "passphrase", "passwd", "password", "private_key", "pwd", "secret", "token")
-HARMLESS = ("card", "checksum", "commit", "digest", "example", "fingerprint", "hash", "isbn", "md5", "order", "phone", "revision", "sample", "sha1", "sha256", "uuid", "version", "your")
+SECRET_NAMES = ("access_key", "access-key", "accesskey", "api_key", "api-key", "apikey", "auth", "authorization", "bearer", "credential", "passphrase", "passwd", "password", "private", "private_key", "pwd", "secret", "token")
+HARMLESS = ("card", "certificate", "change", "checksum", "commit", "config", "digest", "example", "fingerprint", "hash", "image", "insert", "integrity", "isbn", "load", "md5", "order", "phone", "png", "public", "read", "revision", "sample", "sequence", "sha1", "sha256", "sha384", "ssh-rsa", "test", "uuid", "version", "your")
 TEST_PATHS = ("doc", "example", "fixture", "mock", "sample", "test")
 
 _TOKEN = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 _NAMES = b"|".join(re.escape(n.encode()) for n in sorted(SECRET_NAMES, key=len, reverse=True))
 _ASSIGNED = re.compile(rb"(?i)(?:" + _NAMES + rb")[\"']?[ \t]{0,3}(?::=|=>|[:=])[ \t]{0,3}[\"']?([^\s\"'<>,;]{8,})")
+#: Whole values of several parts: encoded blocks between marks, and parts joined by full stops.
+_BLOCK = re.compile(rb"-----BEGIN [A-Z0-9 ]{1,40}-----\s{1,4}([A-Za-z0-9+/=]{16,}(?:\r?\n[A-Za-z0-9+/=]+)*)")
+_PARTS = re.compile(rb"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,})(?![A-Za-z0-9_.-])")
+#: The password in an address with a user.
+_ADDRESS = re.compile(rb"[a-z][a-z0-9+.-]{1,20}://[^\s:/@\"']{1,64}:([^\s@/\"']{6,})@")
 #: A name in front of a value, as in files of settings; padding at a token's end is no assignment.
 _LEADING = re.compile(rb"[A-Za-z0-9_-]+=(?=[^=])")
 _WORD = re.compile(rb"[A-Za-z0-9_-]+")
 FEATURES = (
-    "length", "digits", "uppers", "lowers", "symbols", "transitions", "entropy", "distinct", "hex", "surprise", "dictionary",
-    "path_test", "path_depth", "path_length", "quoted", "assigned", "secret_name", "secret_near", "harmless_near",
+    "length", "digits", "uppers", "lowers", "symbols", "transitions", "entropy", "distinct", "hex", "surprise",
+    "path_test", "path_depth", "path_length", "quoted", "assigned", "secret_name", "secret_near", "harmless_near", "harmless_in", "dictionary",
 )
 
 
 @dataclass(frozen=True)
 class Knowledge:
-    """What the features need to know of the whole corpus; all parts are bounded."""
+    """What the features need to know of the whole corpus."""
 
     surprise: np.ndarray  # 256 x 256, bits
-    words: frozenset[bytes]
+    words: DataFrame  # (word), distinct
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,30 +88,26 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], names=["pair", "n"])
 
 
-def learn_corpus(docs: DataFrame, text: str = "text", dictionary: int = DICTIONARY) -> Knowledge:
-    """Letter pairs and frequent words over all documents."""
+def learn_corpus(docs: DataFrame, text: str = "text") -> Knowledge:
+    """Letter pairs and the dictionary of all documents."""
     rows = docs.select(text).mapInArrow(_pairs, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
     counts = np.full(1 << 16, 0.5)
     for r in rows:
         counts[r.pair] += r.n
     table = counts.reshape(256, 256)
     surprise = -np.log2(table / table.sum(axis=1, keepdims=True))
-    words = docs.select(F.explode_outer(F.split(F.lower(F.col(text)), "[^a-z]+")).alias("word")).where(F.length("word").between(3, 24))
-    counted = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 2").withColumn("level", F.floor(F.log2("n") * 16).cast("int")), "word-counts")
-    # the most frequent words, whole levels of frequency at a time, without sorting all words in one place
-    least, total = None, 0
-    for r in counted.groupBy("level").count().orderBy(F.desc("level")).collect():  # at most 16 levels for each doubling
-        total += r["count"]
-        if total > dictionary:
-            break
-        least = r.level
-    frequent = counted.where(F.col("level") >= least).select("word").collect() if least is not None else []
-    return Knowledge(surprise.astype(np.float32), frozenset(r.word.encode() for r in frequent))
+    words = docs.select(F.explode(F.split(F.lower(F.col(text)), "[^a-z]+")).alias("word")).where(F.length("word").between(*LETTERS))
+    words = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST).select("word"), "dictionary")
+    return Knowledge(surprise.astype(np.float32), words)
 
 
 def candidates(raw: bytes) -> list[tuple[int, int]]:
     """Spans of candidate secrets, in order, none twice."""
-    assigned = [m.span(1) for m in _ASSIGNED.finditer(raw)]
+    assigned, last = [], 0
+    for a, b in sorted(m.span(1) for found in (_ASSIGNED, _ADDRESS, _BLOCK, _PARTS) for m in found.finditer(raw)):
+        if a >= last:
+            assigned.append((a, b))
+            last = b
     spans, k = list(assigned), 0
     for m in _TOKEN.finditer(raw):
         a, b = m.span()
@@ -117,17 +122,8 @@ def candidates(raw: bytes) -> list[tuple[int, int]]:
     return sorted(spans)
 
 
-def _coverage(value: bytes, words: frozenset[bytes]) -> float:
-    """The share of the value's bytes in dictionary words, longest first from the left."""
-    low, i, hit = value.lower(), 0, 0
-    while i < len(low):
-        size = next((n for n in range(min(24, len(low) - i), 2, -1) if low[i : i + n] in words), 0)
-        hit += size
-        i += size or 1
-    return hit / max(1, len(low))
-
-
-def features(raw: bytes, start: int, end: int, path: str | None, known: Knowledge) -> list[float]:
+def features(raw: bytes, start: int, end: int, path: str | None, surprise: np.ndarray) -> list[float]:
+    """All of FEATURES but the dictionary's share."""
     value = np.frombuffer(raw[start:end], np.uint8)
     n = len(value)
     kind = np.select([(value >= 48) & (value <= 57), (value >= 65) & (value <= 90), (value >= 97) & (value <= 122)], [0, 1, 2], 3)
@@ -140,84 +136,183 @@ def features(raw: bytes, start: int, end: int, path: str | None, known: Knowledg
     lead = before.rstrip(b"\"' \t")
     name = near[-1].decode() if near else ""
     path = (path or "").lower()
+    parts = re.split(rb"[^a-z0-9]+", raw[start:end].lower())
     return [
         float(n), *share.tolist(),
         float((kind[1:] != kind[:-1]).mean()) if n > 1 else 0.0,
         float(-(p * np.log2(p)).sum()),
         len(counts) / n,
         float(np.isin(value, np.frombuffer(b"0123456789abcdefABCDEF", np.uint8)).mean()),
-        float(known.surprise[value[:-1], value[1:]].mean()) if n > 1 else 0.0,
-        _coverage(raw[start:end], known.words),
+        float(surprise[value[:-1], value[1:]].mean()) if n > 1 else 0.0,
         float(any(t in path for t in TEST_PATHS)), float(path.count("/")), float(len(path)),
         float(before[-1:] in (b'"', b"'") and after[:1] in (b'"', b"'")),
         float(lead[-1:] in (b"=", b":", b">")),
         float(any(s in name for s in SECRET_NAMES)),
         float(any(s in w.decode() for w in around for s in SECRET_NAMES)),
         float(any(h in w.decode() for w in around for h in HARMLESS)),
+        float(any(h.encode() in parts for h in HARMLESS)),
     ]
 
 
-# ------------------------------------------------------------------------------- labelled findings
+_FOUND = "key string, tag long, start long, length long, value_sha256 string, low string, features array<double>"
 
 
-def _contrast(doc_id: object, words: list[str]) -> Iterator[tuple[str, int]]:
-    """Labelled lines made from a document: secrets, and what is easily taken for one."""
-    code = hashlib.sha512(str(doc_id).encode()).hexdigest()
-    pick = lambda i, n: code[8 * i : 8 * i + n]
-    name = SECRET_NAMES[int(code[:4], 16) % len(SECRET_NAMES)]
-    dull = HARMLESS[int(code[4:8], 16) % len(HARMLESS)]
-    w = words or ["value"]
-    some = [w[int(code[i : i + 4], 16) % len(w)] for i in range(8, 28, 4)]
-    mixed = "".join(c.upper() if int(d, 16) % 3 == 0 and c.isalpha() else ("ghijklmnopqrstuv"[int(d, 16)] if int(d, 16) % 2 else c) for c, d in zip(pick(3, 36), pick(8, 36)))
-    yield f'{some[0]} {name} = "{pick(0, 40)}" {some[1]}', 1
-    yield f"{some[1]} {name}: {mixed} {some[2]}", 1
-    yield f'{some[2]} "{name}": "{mixed[:24]}"', 1
-    yield f'{some[0]} {name} = "{"_".join(some)}1"', 0
-    yield f"{some[3]} {dull} {pick(2, 40)} {some[0]}", 0
-    yield f'{some[3]} {dull}="{pick(5, 32)}" {some[0]}', 0
-    yield f"{some[1]} {int(pick(1, 14), 16) % 10**16:016d} {some[2]}", 0
-    yield f'{some[1]} {name} = "{code[0] * 20}1"', 0
-    yield f"{some[4]} {'-'.join(some)}-{int(code[3], 16)} {some[2]}", 0
-    setting = f"{some[4]}_{name}".replace("-", "_").upper()
-    yield f"export {setting}={pick(4, 40)}\n{some[0]}", 1
-    yield f"{some[1]}\n{name}={mixed}\n{some[2]}", 1
-    yield f"{some[3]}:\n  {name}: {mixed[:24]}\n  {some[1]}: {some[2]}", 1
-    yield f"{some[1]}\n{setting}={'_'.join(some)}1\n{some[2]}", 0
-    yield f"export {dull.upper()}={pick(6, 40)}\n{some[0]}", 0
-    yield f"{some[1]}\n{setting}={code[0] * 20}1\n{some[2]}", 0
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, piece) -> (a, b, place, n, word): all parts of each piece that could be words, some places at a time."""
+    least, most = LETTERS
+    for batch in batches:
+        for a, b, piece in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            last = len(piece) - least + 1
+            for start in range(0, last, 1 << 12):
+                where = [(i, n) for i in range(start, min(last, start + (1 << 12))) for n in range(least, min(most, len(piece) - i) + 1)]
+                columns = [pa.repeat(pa.scalar(x, pa.int64()), len(where)) for x in (a, b)]
+                columns += [pa.array([i + 1 for i, _ in where], pa.int32()), pa.array([n for _, n in where], pa.int32()), pa.array([piece[i : i + n] for i, n in where])]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "place", "n", "word"])
 
 
-def labelled_findings(docs: DataFrame, known: Knowledge, most: int = LABELLED, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """(features, label) of at most ``most`` findings, from documents that a hash of their ids picks.
+def _found(docs: DataFrame, known: Knowledge, key: str, text: str, path: str) -> DataFrame:
+    """(key, tag, start, length, value_sha256, features) of every candidate, with the dictionary's share joined to it; ``tag`` is the text's hash."""
+    surprise = known.surprise
+    narrow = docs.select(F.col(key).cast("string").alias("key"), F.xxhash64(text).alias("tag"), F.col(path).cast("string").alias("path"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.float64()))
+        for batch in batches:
+            keys, tags, paths = (batch.column(c).to_pylist() for c in range(3))
+            data, offsets = B.buffers(batch.column(3))
+            raw, rows = data.tobytes(), []
+            for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                own = raw[a:b]
+                for start, end in candidates(own):
+                    value = own[start:end]
+                    rows.append((keys[i], tags[i], start, end - start, hashlib.sha256(value).hexdigest(), value.lower().decode("latin-1"), features(own, start, end, paths[i], surprise)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], names=[f.split()[0] for f in _FOUND.split(", ")])
+
+    found = materialize(narrow.mapInArrow(run, _FOUND), "candidates")
+    both = [F.xxhash64("piece").alias("a"), F.xxhash64(F.lit(1), "piece").alias("b")]
+    pieces = found.select("low").distinct().select("low", F.explode(F.split("low", "[^a-z]+")).alias("piece")).where(F.length("piece") >= LETTERS[0]).select("low", "piece", *both)
+    parts = pieces.select("a", "b", "piece").distinct().mapInArrow(_parts, "a long, b long, place int, n int, word string").join(known.words, "word", "left_semi")
+    # the longest word from the left, then on behind it
+    hits = F.sort_array(F.collect_list(F.struct("place", (-F.col("n")).alias("n"))))
+    start = F.struct(F.lit(1).alias("next"), F.lit(0).alias("hit"))
+    step = lambda acc, x: F.when(x["place"] >= acc["next"], F.struct((x["place"] - x["n"]).alias("next"), (acc["hit"] - x["n"]).alias("hit"))).otherwise(acc)
+    covered = parts.groupBy("a", "b").agg(F.aggregate(hits, start, step, lambda acc: acc["hit"]).alias("hit"))
+    shares = pieces.join(covered, ["a", "b"]).groupBy("low").agg((F.sum("hit") / F.length("low")).alias("share"))
+    return found.join(shares, "low", "left").withColumn("features", F.concat("features", F.array(F.coalesce("share", F.lit(0.0))))).drop("low", "share")
+
+
+# ------------------------------------------------------------------------------- labelled findings
+
 
-    A finding in a document counts as a secret if it stands quoted behind the name of one and an
-    equals sign; unquoted values behind such a name are left out; other findings count as harmless. Lines made from the document's words and hash
-    add secrets in other surroundings, and placeholders, digests and numbers that are none.
-    """
-    wanted, there = most // (OWN_FINDINGS + MADE_LINES), docs.count()
+class _Draw:
+    """Choices that depend on a seed alone."""
+
+    HEX, UPPER, LOWER, DIGITS = "0123456789abcdef", string.ascii_uppercase, string.ascii_lowercase, string.digits
+    LONG, URL = UPPER + LOWER + DIGITS, UPPER + LOWER + DIGITS + "-_"
+
+    def __init__(self, seed: str, words: list[str]) -> None:
+        self.random, self.words = random.Random(seed), words or ["value", "other"]
+
+    def of(self, letters: str, n: int, most: int = 0) -> str:
+        return "".join(self.random.choices(letters, k=self.random.randint(n, max(n, most))))
+
+    def one(self, *choices: str) -> str:
+        return self.random.choice(choices)
+
+    def word(self) -> str:
+        return self.random.choice(self.words)
+
+    def name(self) -> str:
+        name = self.one(*SECRET_NAMES)
+        return self.one(name, name.upper().replace("-", "_"), f"{self.word()}_{name}", f"{self.word()}_{name}".upper().replace("-", "_"))
+
+    def set(self, name: str, value: str) -> tuple[str, str, str]:
+        """(before, value, behind) in one of the ways to assign."""
+        before, behind = self.one((f'{name} = "', '"'), (f"{name}=", ""), (f"{name}: ", ""), (f'"{name}": "', '",'), (f"export {name}=", ""), (f"{name}: '", "'"), (f"{name} := \"", '"'))
+        return before, value, behind
+
+
+#: One generator for each family of secrets: (before, value, behind).
+SECRETS = {
+    "hex_token": lambda d: d.set(d.name(), d.of(d.HEX, 32, 64)),
+    "password": lambda d: d.set(d.one("password", "passwd", "db_password", "DB_PWD"), d.of(d.LONG + "!$%&*+?^~", 9, 20) + d.of(d.DIGITS, 1)),
+    "mixed_token": lambda d: d.set(d.name(), d.of(d.LONG, 20, 48)),
+    "upper_hex_token": lambda d: d.set(d.name().upper(), d.of(d.HEX, 32, 40).upper()),
+    "cloud_key_id": lambda d: d.one(d.set(d.one("AWS_ACCESS_KEY_ID", "aws_access_key_id", "accessKeyId"), "AKIA" + d.of(d.UPPER + "234567", 16)), (f"{d.word()} ", "AKIA" + d.of(d.UPPER + "234567", 12) + d.of("234567", 4), "")),
+    "cloud_secret": lambda d: d.set(d.one("AWS_SECRET_ACCESS_KEY", "aws_secret_access_key", "secret"), d.of(d.LONG + "/+", 40)),
+    "forge_token": lambda d: d.one((f"{d.word()} ", d.one("ghp_", "gho_", "ghs_", "glpat-") + d.of(d.LONG, 36), ""), d.set(d.one("GITHUB_TOKEN", "token"), "ghp_" + d.of(d.LONG, 36))),
+    "chat_token": lambda d: d.one((f"{d.word()} ", f"xoxb-{d.of(d.DIGITS, 12)}-{d.of(d.DIGITS, 12)}-{d.of(d.LONG, 24)}", ""), d.set("slack_token", f"xoxp-{d.of(d.DIGITS, 11)}-{d.of(d.LONG, 24)}")),
+    "signed_token": lambda d: (d.one("Authorization: Bearer ", "jwt ", f"{d.word()} "), f"eyJ{d.of(d.URL, 33)}1.eyJ{d.of(d.URL, 60, 120)}2.{d.of(d.URL, 43)}", ""),
+    "private_key": lambda d: ("-----BEGIN " + d.one("RSA ", "EC ", "") + "PRIVATE KEY-----\n", "\n".join(d.of(d.LONG + "+/", 63) + d.of(d.DIGITS, 1) for _ in range(3)), "\n-----END"),
+    "payment_key": lambda d: d.one((f"{d.word()} ", d.one("sk_live_", "rk_live_") + d.of(d.LONG, 24, 32), ""), d.set("STRIPE_API_KEY", "sk_live_" + d.of(d.LONG, 24))),
+    "maps_key": lambda d: d.one((f"{d.word()}?key=", "AIza" + d.of(d.URL, 34) + "7", ""), d.set("api_key", "AIza" + d.of(d.URL, 35))),
+    "package_token": lambda d: (d.one("//registry/:_authToken=", f"{d.word()} "), d.one("npm_", "pypi-") + d.of(d.LONG, 36), ""),
+    "bearer": lambda d: (d.one("Authorization: Bearer ", "authorization: token ", "-H 'Authorization: Bearer "), d.of(d.LONG, 24, 40) + d.of(d.DIGITS, 1), ""),
+    "address": lambda d: (f"{d.one('postgres', 'mysql', 'amqp', 'https')}://{d.word()}:", d.of(d.LONG, 10, 20) + d.of(d.DIGITS, 2), f"@{d.word()}/db"),
+    "hex_header": lambda d: (d.one("X-Api-Key: ", "x-auth-token: ", "secret ", "client_secret "), d.of(d.HEX, 32, 48), ""),
+    "one_time": lambda d: d.one(d.set(d.one("otp_secret", "totp_secret"), d.of(d.UPPER + "234567", 31) + "7"), ("otpauth://totp/app?secret=", d.of(d.UPPER + "234567", 31) + "7", "&digits=6")),
+    "shop_token": lambda d: d.one((f"{d.word()} ", d.one("shpat_", "dckr_pat_", "sq0atp-", "dop_v1_") + d.of(d.HEX, 32), ""), d.set(d.name(), "shpat_" + d.of(d.HEX, 32))),
+    "hook": lambda d: (f"https://hooks.{d.word()}.com/services/", f"T{d.of(d.UPPER + d.DIGITS, 9)}/B{d.of(d.UPPER + d.DIGITS, 9)}/{d.of(d.LONG, 23)}1", ""),
+}
+#: The same for what is easily taken for a secret.
+HARMLESS_KINDS = {
+    "digest": lambda d: d.one(d.set(d.one("sha1", "checksum", "digest", "md5"), d.of(d.HEX, 32, 64)), (f"{d.one('commit', 'revision', 'sha256', 'hash')} ", d.of(d.HEX, 40), "")),
+    "upper_digest": lambda d: (d.one("SHA1: ", "MD5 ", "Fingerprint: "), d.of(d.HEX, 32, 40).upper(), ""),
+    "uuid": lambda d: (d.one("uuid ", "id=", f"{d.word()} "), "-".join(d.of(d.HEX, n) for n in (8, 4, 4, 4, 12)), ""),
+    "card": lambda d: (d.one("card ", f"{d.word()} "), d.one("4", "5", "6", "9") + d.of(d.DIGITS, 15), ""),
+    "number": lambda d: d.one((d.one("order ", "phone ", "isbn ", f"{d.word()} "), d.of(d.DIGITS, 16, 24), ""), d.set(d.one("order", "order_id", "isbn"), d.of(d.DIGITS, 16, 20))),
+    "slug": lambda d: (d.one("/", f"{d.word()} "), "-".join(d.word() for _ in range(5)) + "-" + d.of(d.DIGITS, 1, 4), ""),
+    "placeholder": lambda d: d.set(d.name(), d.one("your", "my", "insert", "change") + d.one("-", "_") + d.one("api-key-here", "secret_token_here", "password-goes-here", "access_key_value") + d.of(d.DIGITS, 1)),
+    "mask": lambda d: d.set(d.name(), d.one("x", "X", "*", "0", "a") * d.random.randint(12, 30) + d.of(d.DIGITS, 1)),
+    "file_path": lambda d: (f"{d.word()} ", "/" + "/".join(d.word() for _ in range(5)) + "/v" + d.of(d.DIGITS, 1), ""),
+    "identifier": lambda d: d.one((f"{d.word()} ", "".join(d.word().title() for _ in range(4)) + d.of(d.DIGITS, 1), "()"), (f"{d.word()} ", "_".join(d.word() for _ in range(4)) + d.of(d.DIGITS, 1), "")),
+    "call": lambda d: d.set(d.name(), d.one("get", "read", "load", "config", "settings") + "_" + "_".join(d.word() for _ in range(2)) + "_" + d.one("token", "password", "secret", "key") + d.of(d.DIGITS, 0, 1)),
+    "time": lambda d: (d.one("at ", f"{d.word()} "), f"20{d.of(d.DIGITS, 2)}-0{d.of('123456789', 1)}-1{d.of(d.DIGITS, 1)}T0{d.of(d.DIGITS, 1)}-{d.of(d.DIGITS, 2)}-{d.of(d.DIGITS, 2)}", ""),
+    "image": lambda d: (d.one("data:image/png;base64,", "sample image "), "iVBORw0KGgo" + d.of(d.LONG + "+/", 80, 200) + "==", ""),
+    "reference": lambda d: d.set(d.name(), d.one("${", "$(", "{{") + "_".join(d.word() for _ in range(3)).upper() + "_" + d.of(d.DIGITS, 1) + d.one("}", ")", "}}")),
+    "asset": lambda d: (f"{d.word()}/app-version-", d.of(d.HEX, 20), d.one("-js", "-css")),
+    "words": lambda d: d.set(d.name(), "_".join(d.word() for _ in range(4)) + d.of(d.DIGITS, 1)),
+    "public_key": lambda d: (d.one("ssh-rsa ", "ssh-ed25519 "), "AAAAB3NzaC1yc2E" + d.of(d.LONG + "+/", 150, 250), " user"),
+    "certificate": lambda d: ("-----BEGIN " + d.one("CERTIFICATE", "PUBLIC KEY") + "-----\n", "\n".join(d.of(d.LONG + "+/", 63) + d.of(d.DIGITS, 1) for _ in range(2)), "\n-----END"),
+    "integrity": lambda d: (d.one('integrity="sha384-', 'hash "sha256-'), d.of(d.LONG + "+/", 63) + "7", '"'),
+    "sequence": lambda d: d.set(d.name(), d.one("1234567890" * 2, "abcdefghijklmnop1", "0123456789abcdef", "deadbeef" * 4 + "0", "changeme" + d.of(d.DIGITS, 4), "12345678" + "0" * d.random.randint(4, 20))),
+    "template": lambda d: d.set(d.name(), d.one("<", "[", "%") + "_".join(d.word() for _ in range(2)) + d.one("_token_", "_key_", "_") + d.of(d.DIGITS, 1) + d.one(">", "]", "%")),
+}
+FAMILIES = [*((n, 1, make) for n, make in SECRETS.items()), *((n, 0, make) for n, make in HARMLESS_KINDS.items())]
+#: Where findings stand; examples stand in the second kind of place more often.
+PATHS = (("config/settings.py", ".env", "deploy/prod/values.yaml", "src/app/main.go", "notes/log.txt"), ("docs/example.md", "tests/fixtures/data.json", "sample/config.ini"))
+
+
+def made_findings(docs: DataFrame, most: int = LABELLED, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
+    """(key, text, path, start, length, family, label): at most ``most`` lines, from documents that a hash of their ids picks."""
+    wanted, there = most // len(FAMILIES), docs.count()
     part = (1 << 20) if there <= wanted else max(1, int((1 << 20) * 0.8 * wanted / there))
     few = docs.where(F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(1 << 20)) < part)
     few = few.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.col(path).cast("string").alias("path")).limit(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple[list[float], float]] = []
+            rows = []
             for doc_id, said, where in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                raw = (said or "").encode()
-                for a, b in candidates(raw)[:OWN_FINDINGS]:
-                    f = features(raw, a, b, where, known)
-                    at = dict(zip(FEATURES, f))
-                    if at["assigned"] and at["secret_name"] and not at["quoted"]:
-                        continue  # nothing tells which it is
-                    rows.append((f, float(at["quoted"] and at["assigned"] and at["secret_name"] and at["dictionary"] < 0.5 and at["distinct"] > 0.15)))
-                words = [w for w in (said or "").lower().split()[:200] if w.isalpha()]
-                for line, label in _contrast(doc_id, words):
-                    raw = line.encode()
-                    for a, b in candidates(raw)[-1:]:
-                        rows.append((features(raw, a, b, where, known), float(label)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.float64())), pa.array([r[1] for r in rows], pa.float64())], names=["features", "label"])
-
-    return few.mapInArrow(run, "features array<double>, label double")
+                words = [w for w in (said or "").lower().split() if w.isascii() and w.isalpha() and len(w) > 2]
+                for family, label, make in FAMILIES:
+                    d = _Draw(f"{doc_id}/{family}", words)
+                    before, value, behind = make(d)
+                    before = f"{d.word()} {d.word()}{d.one(' ', chr(10), '. ')}{before}"
+                    line = f"{before}{value}{behind}{d.one(' ', chr(10))}{d.word()} {d.word()}"
+                    likely = PATHS[d.random.random() < (0.1 if label else 0.35)]
+                    rows.append((f"{doc_id}/{family}", line, d.one(*likely, where or ""), len(before.encode()), len(value.encode()), family, float(label)))
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 7, kinds)], names=["key", "text", "path", "at", "size", "family", "label"])
+
+    return few.mapInArrow(run, "key string, text string, path string, at long, size long, family string, label double")
+
+
+def labelled_findings(docs: DataFrame, known: Knowledge, most: int = LABELLED, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
+    """(family, features, label) of the candidates within the values of :func:`made_findings`."""
+    made = materialize(made_findings(docs, most, key, text, path), "made-findings")
+    inside = (F.col("start") < F.col("at") + F.col("size")) & (F.col("start") + F.col("length") > F.col("at"))
+    return _found(made, known, "key", "text", "path").join(made.select("key", "at", "size", "family", "label"), "key").where(inside).select("family", "features", "label")
 
 
 # ------------------------------------------------------------------------------------------ forest
@@ -273,69 +368,64 @@ def train_forest(labelled: DataFrame) -> Forest:
 # -------------------------------------------------------------------------------------------- scan
 
 
-def _judged(raw: bytes, path: str | None, known: Knowledge, forest: Forest) -> tuple[list[tuple[int, int]], np.ndarray]:
-    spans = candidates(raw)
-    if not spans:
-        return spans, np.zeros(0)
-    return spans, forest.predict(np.array([features(raw, a, b, path, known) for a, b in spans]))
+def _judged(docs: DataFrame, known: Knowledge, forest: Forest, key: str, text: str, path: str) -> DataFrame:
+    """Candidates with their scores."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.array(batch.column("features").to_pylist(), np.float64).reshape(-1, len(FEATURES))
+            score = forest.predict(rows) if len(rows) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(5)), pa.array(score)], names=[*batch.schema.names[:5], "score"])
 
-def _documents_with(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    raw = data.tobytes()
-    for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-        yield i, raw[a:b]
+    found = _found(docs, known, key, text, path).select("key", "tag", "start", "length", "value_sha256", "features")
+    return found.mapInArrow(run, "key string, tag long, start long, length long, value_sha256 string, score double")
 
 
 def find_secrets(docs: DataFrame, known: Knowledge, forest: Forest, key: str = "doc_id", text: str = "text", path: str = "source", threshold: float = THRESHOLD) -> DataFrame:
     """(key, start, length, value_sha256, score, is_secret) of every candidate; places are in bytes, the value itself isn't told."""
-    narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.col(path).cast("string").alias("path"))
-    names = [key, "start", "length", "value_sha256", "score", "is_secret"]
+    out = _judged(docs, known, forest, key, text, path)
+    return out.select(F.col("key").cast("long").alias(key), "start", "length", "value_sha256", "score", (F.col("score") > threshold).alias("is_secret"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, paths, rows = batch.column(0).to_pylist(), batch.column(2).to_pylist(), []
-            for i, raw in _documents_with(*B.buffers(batch.column(1))):
-                for (a, b), score in zip(*_judged(raw, paths[i], known, forest)):
-                    rows.append((keys[i], a, b - a, hashlib.sha256(raw[a:b]).hexdigest(), float(score), bool(score > threshold)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)], names=names)
 
-    return narrow.mapInArrow(run, f"`{key}` long, start long, length long, value_sha256 string, score double, is_secret boolean")
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
 
 
-def redact_documents(docs: DataFrame, known: Knowledge, forest: Forest, text: str = "text", path: str = "source", length: str | None = "n_chars", threshold: float = THRESHOLD) -> DataFrame:
+def redact_documents(docs: DataFrame, known: Knowledge, forest: Forest, key: str = "doc_id", text: str = "text", path: str = "source", length: str | None = "n_chars", threshold: float = THRESHOLD) -> DataFrame:
     """The documents with every secret replaced by :data:`REDACTED`; ``length``, if present, follows the text."""
-    where, lane = docs.columns.index(text), docs.columns.index(path)
+    where = docs.columns.index(text)
     counted = docs.columns.index(length) if length in docs.columns else None
+    name, tag, spans = (_free(docs, n) for n in ("secret_key", "secret_tag", "secret_spans"))
+    found = _judged(docs, known, forest, key, text, path).where(F.col("score") > threshold)
+    found = found.groupBy(F.col("key").alias(name), F.col("tag").alias(tag)).agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias(spans))  # of one text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths, changed = batch.column(lane).to_pylist(), {}
-            for i, raw in _documents_with(*B.buffers(batch.column(where))):
-                spans, scores = _judged(raw, paths[i], known, forest)
-                out, last = [], 0
-                for (a, b), score in zip(spans, scores):
-                    if score > threshold:
-                        out += [raw[last:a], REDACTED.encode()]
-                        last = b
-                if out:
-                    changed[i] = b"".join([*out, raw[last:]]).decode()
-            if not changed:
-                yield batch
-                continue
-            columns = list(batch.columns)
-            texts = columns[where].to_pylist()
-            for i, new in changed.items():
-                texts[i] = new
-            columns[where] = pa.array(texts, batch.schema.field(where).type)
-            if counted is not None:
-                sizes = columns[counted].to_pylist()
-                for i, new in changed.items():
-                    sizes[i] = len(new)
-                columns[counted] = pa.array(sizes, batch.schema.field(counted).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return docs.mapInArrow(run, docs.schema)
+            columns, every = list(batch.columns[:-1]), batch.column(batch.num_columns - 1)
+            changed = np.flatnonzero(np.asarray(every.is_valid()))
+            if len(changed):
+                texts, lists = columns[where].to_pylist(), every.to_pylist()
+                sizes = columns[counted].to_pylist() if counted is not None else None
+                for i in changed.tolist():
+                    raw, out, last = texts[i].encode(), [], 0
+                    for x in lists[i]:
+                        out += [raw[last : x["start"]], REDACTED.encode()]
+                        last = x["start"] + x["length"]
+                    texts[i] = b"".join([*out, raw[last:]]).decode()
+                    if sizes is not None:
+                        sizes[i] = len(texts[i])
+                columns[where] = pa.array(texts, batch.schema.field(where).type)
+                if sizes is not None:
+                    columns[counted] = pa.array(sizes, batch.schema.field(counted).type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    own = docs.select("*", F.col(key).cast("string").alias(name), F.xxhash64(text).alias(tag)).alias("d")
+    same = F.col(f"d.{name}").eqNullSafe(F.col(f"s.{name}")) & (F.col(f"d.{tag}") == F.col(f"s.{tag}"))
+    joined = own.join(found.alias("s"), same, "left").select(*(F.col(f"d.`{c}`") for c in docs.columns), F.col(f"s.{spans}"))
+    return joined.mapInArrow(run, docs.schema)
 
 
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source") -> tuple[Knowledge, Forest]:

@@ -1,7 +1,5 @@
 """Unquoted assignments, as in .env files and YAML."""
 
-import hashlib
-
 import pytest
 
 from corpusloom.llm import secrets
@@ -22,14 +20,6 @@ def test_candidates_keep_other_tokens():
     assert [raw[a:b].decode() for a, b in secrets.candidates(raw)] == [HEX, HEX, "QUJD" * 5 + "1==", f"abcdefgh/{HEX}"]
 
 
-def test_no_row_calls_an_unquoted_assignment_harmless(spark):
-    docs = spark.createDataFrame([(i, f"password: {hashlib.sha1(str(i).encode()).hexdigest()}", "s") for i in range(40)], "doc_id long, text string, source string")
-    at = {n: k for k, n in enumerate(secrets.FEATURES)}
-    rows = secrets.labelled_findings(docs, secrets.learn_corpus(docs)).collect()
-    bare = [r for r in rows if r.features[at["assigned"]] and r.features[at["secret_name"]] and not r.features[at["quoted"]]]
-    assert bare and not [r for r in bare if not r.label and r.features[at["hex"]] == 1 and r.features[at["distinct"]] > 0.2]
-
-
 def test_forest_flags_and_redacts_them(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     known, forest = secrets.learn(docs)

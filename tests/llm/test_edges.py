@@ -176,18 +176,6 @@ def test_secrets(spark, odd, nothing):
     assert secrets.learn(nothing)[1] is not None
 
 
-def test_secrets_held_out(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    known = secrets.learn_corpus(docs)
-    rows = secrets.labelled_findings(docs, known, 6_000).collect()
-    part = [int(hashlib.md5(str(r.features).encode()).hexdigest(), 16) % 4 == 0 for r in rows]
-    train = spark.createDataFrame([r for r, p in zip(rows, part) if not p])
-    forest = secrets.train_forest(train)
-    held = [r for r, p in zip(rows, part) if p]
-    guess = forest.predict(np.array([r.features for r in held])) > secrets.THRESHOLD
-    assert np.mean(guess == np.array([r.label for r in held]).astype(bool)) > 0.95
-
-
 def test_redaction(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     known, forest = secrets.learn(docs)
