@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SECTION = "\n<SECTION:BODY>\n"
-_BLANK = r"[\p{Zs}\t\x0B\f]"
+#: Tab, vertical tab, form feed, and the spaces of Unicode (category Zs).
+BLANKS = "\t\x0b\x0c " + "".join(map(chr, (0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)))
 #: Replacements in this order; article numbers (제9조) stay as they are.
 PLACEHOLDERS = (
     (r"제\s*\d{4}-\d+\s*호", "<DOCNO>"),
@@ -21,16 +24,38 @@ PLACEHOLDERS = (
     (r"\d{1,3}(?:,\d{3})+\s*원|\d+\s*(?:만|억)\s*원|\d+\s*원", "<MONEY>"),
     (r"\d+\s*명", "<COUNT>"),
 )
+#: What a text must have for the replacement of the same place to find anything.
+NEEDED = ("호", "-", "[0-9][가-힣]", "-", "[0-9]\\s*[./-]", "년", "원", "명")
 NUMBER = {"compat": r"\d+(?!\s*(?:조|항|호))", "strict": r"\d++(?!\s*(?:조|항|호))"}
 
 
+def _with(text: Column, function) -> Column:
+    """``function(text)``, with the text bound to a variable, so that it is computed once however often it is used."""
+    return F.transform(F.array(text), function)[0]
+
+
+def _where(text: Column, part: str, function) -> Column:
+    """``function(text)`` where the text has ``part``, which is quick to find; else the text."""
+    return _with(text, lambda t: F.when(t.contains(part), function(t)).otherwise(t))
+
+
+def _has(text: Column, *parts: str) -> Column:
+    return functools.reduce(Column.__or__, (text.contains(p) for p in parts))
+
+
+def _blank_edges(text: Column) -> Column:
+    """Whether a line may begin or end with a blank: a space does, or there are other blanks."""
+    wide = [c for c in BLANKS if ord(c) > 127]
+    return _has(text, "\n ", " \n", "\t", "\x0b", "\x0c") | text.startswith(" ") | text.endswith(" ") | ((F.octet_length(text) > F.length(text)) & _has(text, *wide))
+
+
 def canonical(text: Column) -> Column:
     """One kind of line break, lines trimmed, runs of blanks and of empty lines reduced to one."""
-    text = F.regexp_replace(F.coalesce(text, F.lit("")), r"\r\n?", "\n")
-    text = F.regexp_replace(text, rf"(?md)^{_BLANK}+|{_BLANK}+$", "")
-    text = F.regexp_replace(text, r"[ \t ]+", " ")
-    text = F.regexp_replace(text, r"\n{3,}", "\n\n")
-    return F.regexp_replace(text, r"\A\n+|\n+\z", "")
+    text = _where(F.coalesce(text, F.lit("")), "\r", lambda t: F.regexp_replace(t, r"\r\n?", "\n"))
+    text = _with(text, lambda t: F.when(_blank_edges(t), F.array_join(F.transform(F.split(t, "\n"), lambda line: F.trim(line, F.lit(BLANKS))), "\n")).otherwise(t))
+    text = _with(text, lambda t: F.when(_has(t, "  ", "\t", "\u00a0"), F.regexp_replace(t, "[ \t\u00a0]{2,}|[\t\u00a0]", " ")).otherwise(t))
+    text = _where(text, "\n\n\n", lambda t: F.regexp_replace(t, r"\n{3,}", "\n\n"))
+    return F.trim(text, F.lit("\n"))
 
 
 def combined(title: Column, body: Column) -> Column:
@@ -46,11 +71,15 @@ def with_placeholders(text: Column, numbers: str = "compat") -> Column:
 
     ``compat`` keeps only the last digit of an article number of several digits; ``strict`` all.
     """
-    replaced = text
-    for pattern, by in PLACEHOLDERS:
-        replaced = F.regexp_replace(replaced, pattern, by)
+
+    def replaced(said: Column) -> Column:
+        for (pattern, by), needed in zip(PLACEHOLDERS, NEEDED):
+            found = (lambda t: t.contains(needed)) if len(needed) == 1 else (lambda t: t.rlike(needed))  # noqa: B023
+            said = _with(said, lambda t: F.when(found(t), F.regexp_replace(t, pattern, by)).otherwise(t))  # noqa: B023
+        return F.regexp_replace(said, NUMBER[numbers], "<NUM>")
+
     # every pattern needs a digit, which most texts don't have
-    return F.when(text.rlike("[0-9]"), F.regexp_replace(replaced, NUMBER[numbers], "<NUM>")).otherwise(text)
+    return _with(text, lambda t: F.when(t.rlike("[0-9]"), replaced(t)).otherwise(t))
 
 
 def normalized_hash(text: Column, agency: Column, numbers: str = "compat") -> Column:
@@ -70,7 +99,7 @@ def bucket(value: Column, edges: tuple[int, ...]) -> Column:
 
 
 def paragraph_bucket(body: Column) -> Column:
-    return bucket(F.size(F.filter(F.split(F.coalesce(body, F.lit("")), r"\n\s*\n"), lambda p: F.regexp_replace(p, r"\s+", "") != "")), (2, 5, 10))
+    return bucket(F.size(F.filter(F.split(F.coalesce(body, F.lit("")), r"\n\s*\n"), lambda p: p.rlike(r"\S"))), (2, 5, 10))
 
 
 def list_bucket(body: Column) -> Column:
@@ -99,15 +128,16 @@ def safe_stem(raw: Column, fallback: Column) -> Column:
     return F.when(value == "", fallback).otherwise(value)
 
 
-def to_nfc(df: DataFrame, column: str) -> DataFrame:
-    """Unicode NFC of a column; only rows with combining marks or jamo pass through Python, as Arrow batches."""
-    import unicodedata
+def nfc(text: Column) -> Column:
+    """Unicode NFC; only texts with combining marks or jamo go through Python, as Arrow batches, all others as nulls."""
+    odd = (F.octet_length(text) > F.length(text)) & text.rlike("[\\x{0300}-\\x{036F}\\x{1100}-\\x{11FF}\\x{3099}\\x{309A}\\x{0340}\\x{212B}]")
+
+    def normal(said: pd.Series) -> pd.Series:
+        return said.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
-    odd = F.coalesce(F.col(column), F.lit("")).rlike("[\\x{0300}-\\x{036F}\\x{1100}-\\x{11FF}\\x{3099}\\x{309A}\\x{0340}\\x{212B}]")
+    return F.coalesce(F.pandas_udf(normal, T.StringType())(F.when(odd, text)), text)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch[column] = batch[column].map(lambda t: unicodedata.normalize("NFC", t))
-            yield batch
 
-    return df.where(~odd).unionByName(df.where(odd).mapInPandas(run, df.schema))
+def to_nfc(df: DataFrame, column: str) -> DataFrame:
+    """The table with one column in Unicode NFC."""
+    return df.withColumn(column, nfc(F.col(column)))

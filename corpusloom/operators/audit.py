@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..store import written
 
 CLASSES = ("C", "S")
 
@@ -38,16 +39,20 @@ def row_errors(rows: DataFrame, cell_keys: DataFrame) -> DataFrame:
     return joined.withColumn("_e", code).select(*rows.columns, F.col("_e.code").alias("error_code"), F.col("_e.field").alias("error_field"))
 
 
-def summaries(rows: DataFrame, numbers: str = "compat") -> DataFrame:
-    """Valid ok rows without their bodies: ids, seeds, hashes, fingerprint, body length."""
-    said = rows.where("status = 'ok'").withColumn("said", X.combined(F.col("title"), F.col("body_text")))
-    return said.select(
+def summaries(rows: DataFrame, numbers: str = "compat", columns: tuple[str, ...] = ()) -> DataFrame:
+    """Valid ok rows without their bodies: ids, seeds, hashes, fingerprint, body length.
+
+    Only ``columns``, if named. They are written once, as every metric derives from these few columns and the texts are long.
+    """
+    said = rows.where("status = 'ok'").withColumn("said", X.combined(X.nfc(F.col("title")), X.nfc(F.col("body_text"))))
+    narrow = said.select(
         "row_id", "arrival", "clause_no", "coverage_cell_key", "template_id", "agency_category", "seed_candidate_id", "seed_extraction_id",
         F.length(F.coalesce("body_text", F.lit(""))).cast("long").alias("body_length"),
         F.sha2("said", 256).alias("raw_hash"),
         X.normalized_hash(F.col("said"), F.col("ordering_agency"), numbers).alias("normalized_hash"),
         X.structure_fingerprint(F.col("template_id"), F.col("doc_type"), F.col("body_text")).alias("fingerprint"),
     )
+    return written(narrow.select(*columns) if columns else narrow, "audit-summary")
 
 
 def duplicate_groups(summary: DataFrame, metric: str, column: str) -> DataFrame:
@@ -88,10 +93,18 @@ def coverage_actual(rows: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def upper_median(summary: DataFrame, group: str) -> DataFrame:
-    """(group, median): the element in the middle, the upper of two; two row numbers instead of a gathered list."""
+    """(group, median): the element in the middle, the upper of two, from the counts of each length."""
+    counted = summary.groupBy(group, "body_length").agg(F.count(F.lit(1)).alias("n"))
     by = W.partitionBy(group)
-    ranked = summary.select(group, "body_length").withColumn("n", F.row_number().over(by.orderBy("body_length"))).withColumn("total", F.count(F.lit(1)).over(by))
-    return ranked.where(F.col("n") == F.floor(F.col("total") / 2) + 1).select(group, F.col("body_length").alias("median"))
+    upto = counted.withColumn("upto", F.sum("n").over(by.orderBy("body_length"))).withColumn("total", F.sum("n").over(by))
+    return upto.where(F.col("upto") > F.floor(F.col("total") / 2)).groupBy(group).agg(F.min("body_length").alias("median"))
+
+
+def central_row(summary: DataFrame, group: str) -> DataFrame:
+    """(group, row_id): the row of each group next to its median length, of equals that with the smallest hash and id."""
+    near = summary.join(upper_median(summary, group), group)
+    place = F.struct(F.abs(F.col("body_length") - F.col("median")).alias("distance"), "normalized_hash", "row_id")
+    return near.groupBy(group).agg(F.min(place).alias("place")).select(group, F.col("place.row_id").alias("row_id"))
 
 
 def central_rows(summary: DataFrame, group: str) -> DataFrame:

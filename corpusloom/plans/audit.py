@@ -99,7 +99,8 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _groups(metric: str, column: str):
-    return lambda s, d: A.duplicate_groups(_summary(s, d), metric, column).drop("row_id_a", "row_id_b", "shared_candidate", "shared_extraction")
+    needed = (column, "row_id", "seed_candidate_id", "seed_extraction_id")
+    return lambda s, d: A.duplicate_groups(A.summaries(rows_of(s, d), columns=needed), metric, column).drop("row_id_a", "row_id_b", "shared_candidate", "shared_extraction")
 
 
 def _pairs(spark, sf_dir):
@@ -126,10 +127,12 @@ def _templates(spark, sf_dir):
 
 def _content_samples(spark, sf_dir):
     axis = spark.range(1, 9).select(F.col("id").cast("string").alias("sample_value"), F.col("id").alias("sample_rank"))
-    chosen = A.central_rows(_summary(spark, sf_dir), "clause_no").where("place = 1").select(F.col("clause_no").alias("sample_value"), "row_id")
+    summary = A.summaries(rows_of(spark, sf_dir), columns=("clause_no", "body_length", "normalized_hash", "row_id"))
+    chosen = A.central_row(summary, "clause_no").select(F.col("clause_no").alias("sample_value"), "row_id")
     return axis.join(chosen, "sample_value", "left").select("sample_rank", "sample_value", F.when(F.col("row_id").isNull(), "missing").otherwise("ok").alias("sample_status"), F.coalesce("row_id", F.lit("")).alias("row_id"))
 
 
+_QUOTA = 10
 _ANOMALY = """
 SELECT row_id, priority, rank, reason, metric_value FROM (
   SELECT row_id, priority, rank, reason, metric_value, row_number() OVER (PARTITION BY row_id ORDER BY priority, rank) AS nth FROM (
@@ -143,12 +146,15 @@ WHERE nth = 1 ORDER BY priority, rank LIMIT 10
 
 def _anomalies(spark, sf_dir):
     summary = _summary(spark, sf_dir)
-    groups = A.all_duplicates(summary)
-    groups.where("metric = 'raw_exact'").createOrReplaceTempView("raw_groups")
-    groups.where("metric = 'normalized_exact'").createOrReplaceTempView("normalized_groups")
+    first_rows = lambda df, *order: df.orderBy(*order).limit(_QUOTA * 4)  # noqa: E731 - enough for the quota, whatever four reasons repeat
+    size = F.desc("group_size")
+    for metric, column, view in (("raw_exact", "raw_hash", "raw_groups"), ("normalized_exact", "normalized_hash", "normalized_groups")):
+        first_rows(A.duplicate_groups(summary, metric, column), size, "representative_row_id").createOrReplaceTempView(view)
     first = summary.groupBy("coverage_cell_key").agg(F.min("row_id").alias("row_id"))
-    A.coverage_actual(rows_of(spark, sf_dir), cells_of(spark, sf_dir)).where("coverage_status = 'shortage'").join(first, "coverage_cell_key").selectExpr("row_id", "shortage / planned_target AS ratio", "planned_target", "coverage_cell_key").createOrReplaceTempView("short_cells")
-    summary.groupBy("seed_candidate_id").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("row_id")).where("n > 1").createOrReplaceTempView("shared")
+    short = A.coverage_actual(rows_of(spark, sf_dir), cells_of(spark, sf_dir)).where("coverage_status = 'shortage'").join(first, "coverage_cell_key").selectExpr("row_id", "shortage / planned_target AS ratio", "planned_target", "coverage_cell_key")
+    first_rows(short, F.desc("ratio"), F.desc("planned_target"), "coverage_cell_key").createOrReplaceTempView("short_cells")
+    shared = summary.groupBy("seed_candidate_id").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("row_id")).where("n > 1")
+    first_rows(shared, F.desc("n"), "row_id").createOrReplaceTempView("shared")
     return spark.sql(_ANOMALY)
 
 
