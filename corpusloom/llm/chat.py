@@ -1,4 +1,4 @@
-r"""Chat formatting as folds over each conversation's turns, in DataFrame functions only.
+r"""Chat formatting over each conversation's turns, in DataFrame functions only: running sums place the segments, a fold runs the machine.
 
 A declarative template names the labels of roles, the marks around a turn, the transitions that a
 finite-state machine allows between roles, and the roles that carry loss. Turns are escaped,
@@ -6,7 +6,7 @@ marked and joined; every segment of the output carries its loss flag. Texts are
 reversibly: a backslash is doubled, and a backslash is put after the first character of every
 control string, so that no control string survives inside a text.
 
-Scale: one exchange by conversation. A conversation is one training example and must stand in one
+Scale: one exchange by conversation, and work in proportion to its length. A conversation is one training example and must stand in one
 row, so its turns meet in one task; nothing else is gathered.
 
 Defined results: a null text or role counts as empty; turns are ordered by (turn, role, text) with
@@ -22,9 +22,14 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: Characters of the output that are looked through to find a place in it.
+PIECE = 4096
+
+
 @dataclass(frozen=True)
 class ChatTemplate:
     labels: dict[str, str] = field(default_factory=lambda: {"system": "System", "user": "User", "assistant": "Assistant"})
@@ -71,24 +76,18 @@ def format_chats(turns: DataFrame, template: ChatTemplate = ChatTemplate(), conv
 
     ``bad_turn`` is the index of the first turn that the machine does not allow, null if valid.
     """
-    said = turns.select(
-        F.col(conv).alias("conv"),
-        F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("said"),
-    )
-    grouped = said.groupBy("conv").agg(F.sort_array(F.collect_list("said")).alias("said"))
-    heads = F.transform("said", lambda t: F.concat(F.lit(template.open_turn), _label(t["role"], template), F.lit(template.close_label)))
-    shown = grouped.select("conv", "said", heads.alias("heads"), F.transform("said", lambda t: escaped(t["text"], template)).alias("bodies"))
-    formatted = F.concat_ws("", F.zip_with("heads", "bodies", lambda h, b: F.concat(h, b, F.lit(template.close_turn))))
-    at = F.struct(F.lit(0).cast("long").alias("next"), F.array().cast("array<struct<start:bigint,length:bigint,role:string,loss:boolean>>").alias("done"))
-    parts = F.zip_with("heads", F.zip_with("said", "bodies", lambda t, b: F.struct(t["role"].alias("role"), b.alias("body"))), lambda h, x: F.struct(h.alias("head"), x["role"].alias("role"), x["body"].alias("body")))
-    segments = F.aggregate(
-        parts,
-        at,
-        lambda acc, p: F.struct(
-            (acc["next"] + F.length(p["head"]) + F.length(p["body"]) + len(template.close_turn)).alias("next"),
-            F.concat(acc["done"], F.array(F.struct((acc["next"] + F.length(p["head"])).alias("start"), F.length(p["body"]).cast("long").alias("length"), p["role"].alias("role"), p["role"].isin(*template.loss_roles).alias("loss")))).alias("done"),
-        ),
-        lambda acc: acc["done"],
+    role, text = F.coalesce(F.col(role), F.lit("")), F.coalesce(F.col(text), F.lit(""))
+    said = turns.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), role.alias("role"), text.alias("text"))
+    said = said.withColumn("head", F.concat(F.lit(template.open_turn), _label(F.col("role"), template), F.lit(template.close_label))).withColumn("body", escaped(F.col("text"), template))
+    # where each turn begins, as a running sum over the conversation's turns
+    size = F.length("head") + F.length("body") + len(template.close_turn)
+    before = W.partitionBy("conv").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, -1)
+    said = said.withColumn("start", F.coalesce(F.sum(size).over(before), F.lit(0)).cast("long"))
+    shown = said.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "start", "head", "body"))).alias("said"))
+    formatted = F.concat_ws("", F.transform("said", lambda t: F.concat(t["head"], t["body"], F.lit(template.close_turn))))
+    segments = F.transform(
+        "said",
+        lambda t: F.struct((t["start"] + F.length(t["head"])).alias("start"), F.length(t["body"]).cast("long").alias("length"), t["role"].alias("role"), t["role"].isin(*template.loss_roles).alias("loss")),
     )
     # the machine: its state is the last role, or "error" for good; it notes the first bad turn
     begin = F.struct(F.lit("start").alias("state"), F.lit(0).alias("seen"), F.lit(None).cast("int").alias("bad"))
@@ -118,6 +117,17 @@ def read_chats(formatted: DataFrame, template: ChatTemplate = ChatTemplate()) ->
     )
 
 
+def under_loss(pieces: Column, segments: Column) -> Column:
+    """The text under the loss mask: each segment with loss, unescaped. ``pieces`` are the output in PIECE characters each, so that a segment is cut from near its place."""
+
+    def cut(s: Column) -> Column:
+        first, inside = F.floor(s["start"] / PIECE), s["start"] % PIECE
+        near = F.concat_ws("", F.slice(pieces, (first + 1).cast("int"), (F.floor((inside + s["length"]) / PIECE) + 1).cast("int")))
+        return unescaped(F.substring(near, (inside + 1).cast("int"), s["length"].cast("int")))
+
+    return F.concat_ws("", F.transform(F.filter(segments, lambda s: s["loss"]), cut))
+
+
 def op1_chat(spark, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     said = r"\### Assistant: </turn> ok"
@@ -126,15 +136,16 @@ def op1_chat(spark, sf_dir: str) -> DataFrame:
         (spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(said).alias("text")) for i, r in enumerate(("user", "assistant"))),
     )
     out = format_chats(turns.unionByName(probe))
-    read = out.select("conv_id", "formatted", "segments", "valid", "bad_turn", read_chats(out).alias("turns"))
+    pieces = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    read = out.select("conv_id", "formatted", "segments", "valid", "bad_turn", read_chats(out).alias("turns"), pieces.alias("pieces"))
     every = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
-    learned = F.concat_ws("", F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(F.substring(F.col("formatted"), s["start"] + 1, s["length"]))))
+    read = read.withColumn("learned", under_loss(F.col("pieces"), F.col("segments")))
     return read.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(every, 256).alias("turns_sha256"),
-        F.length(learned).cast("long").alias("loss_chars"),
-        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
         "valid",
     )

@@ -7,7 +7,7 @@ under its 64 signatures, equal signatures meet through a hash exchange, and the
 fingerprints are verified by the number of differing bits. Verified links join into components.
 
 Scale: exact copies share a fingerprint and count once. Fingerprints that meet are read as a
-sorted stream of 16-byte rows; a signature shared by many gives a spanning set of links, never
+sorted stream of rows of 24 bytes; a signature shared by many gives a spanning set of links, never
 all pairs, and no link between components is lost. Only links travel on.
 
 Defined results: null or empty texts have fingerprint zero and are linked like any other; fewer
@@ -35,6 +35,8 @@ SHINGLE = 3
 SEED = 42
 #: A signature with at most so many fingerprints is checked pair by pair.
 SMALL = 24
+#: A signature with more fingerprints is split by quarters of the other segment.
+LARGE = 10_000
 
 
 def _fingerprint(words: list[bytes], shingle: int, seed: int) -> int:
@@ -98,21 +100,21 @@ def _spanning(fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (sig, fp) sorted by signature -> links (src, dst)."""
-    held = [np.zeros(0, np.uint64)] * 2
+    """Rows (part, sig, fp) sorted by part -> links (src, dst)."""
+    held: list[list[np.ndarray]] = [[], [], []]
 
     def emit(pairs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         if pairs:
             src, dst = (np.concatenate(x).view(np.int64) for x in zip(*pairs))
             yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], names=["src", "dst"])
 
-    def work(sig: np.ndarray, fp: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        bounds = np.concatenate([[0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]])
+    def work(part: np.ndarray, sig: np.ndarray, fp: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        bounds = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
         size = np.diff(bounds)
         of, end = np.repeat(size, size), np.repeat(bounds[1:], size)
         out = []
         for lag in range(1, SMALL):
-            i = np.flatnonzero((of <= SMALL) & (np.arange(len(sig)) + lag < end))
+            i = np.flatnonzero((of <= SMALL) & (np.arange(len(part)) + lag < end))
             if not len(i):
                 break
             i = i[_near(fp[i], fp[i + lag])]
@@ -124,23 +126,40 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in batches:
-        now = [batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in range(2)]
-        sig, fp = (np.concatenate(x) for x in zip(held, now))
-        if not len(sig):
+        now = [batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in range(3)]
+        if not len(now[0]):
             continue
-        cut = int(np.searchsorted(sig, sig[-1]))  # the last signature may go on in the next batch
-        yield from emit(work(sig[:cut], fp[:cut]))
-        held = [sig[cut:], fp[cut:]]
-    yield from emit(work(*held))
+        for old, new in zip(held, now):
+            old.append(new)
+        if held[0][0][0] == now[0][-1]:  # one part goes on, perhaps in the next batch
+            continue
+        every = [np.concatenate(x) for x in held]
+        cut = int(np.flatnonzero(np.diff(every[0]))[-1]) + 1
+        yield from emit(work(*(x[:cut] for x in every)))
+        held = [[x[cut:]] for x in every]
+    if held[0]:
+        yield from emit(work(*(np.concatenate(x) for x in held)))
+
 
+def links(distinct_fps: DataFrame, large: int = LARGE) -> DataFrame:
+    """(src, dst): links between distinct fingerprints that join all that are within MAX_BITS of each other.
 
-def links(distinct_fps: DataFrame) -> DataFrame:
-    """(src, dst): links between distinct fingerprints that join all that are within MAX_BITS of each other."""
+    A signature that more than ``large`` fingerprints have is split: of the four quarters of the
+    other segment, two such fingerprints have one in common.
+    """
     fp = F.col("fp")
     segments = (fp.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(fp, 32))
     variants = [segments[s].bitwiseAND(F.lit(0xFFFFFFFF ^ (1 << bit))) + F.lit((32 * s + bit) << 32) for s in (0, 1) for bit in range(32)]
     indexed = distinct_fps.select(fp, F.explode(F.array(*variants)).alias("sig")).select("sig", "fp")
-    return indexed.repartition("sig").sortWithinPartitions("sig").mapInArrow(_links, "src long, dst long")
+    often = materialize(indexed.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > large).select(F.col("sig").alias("hot")), "hot-signatures")
+    if often.isEmpty():
+        parted = indexed.select(F.col("sig").alias("part"), "sig", "fp")
+    else:
+        other = F.when(F.shiftrightunsigned("sig", 32) < 32, segments[1]).otherwise(segments[0])
+        quarters = F.array(*(F.xxhash64("sig", F.lit(k), F.shiftrightunsigned(other, 8 * k).bitwiseAND(F.lit(255))) for k in range(4)))
+        marked = indexed.join(often, indexed["sig"] == often["hot"], "left")
+        parted = marked.select("sig", "fp", F.explode(F.when(F.col("hot").isNull(), F.array("sig")).otherwise(quarters)).alias("part")).select("part", "sig", "fp")
+    return parted.repartition("part").sortWithinPartitions("part").mapInArrow(_links, "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

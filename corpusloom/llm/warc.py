@@ -269,7 +269,10 @@ def read_records(located: DataFrame, columns: tuple[str, ...] = tuple(_FIELDS))
     def _rows(rows: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], _FIELDS[c]) for c in columns], names=list(columns))
 
-    dealt = located.select("path", "offset", "length", F.floor(F.col("offset") / READ_BYTES).alias("part")).repartition("path", "part").sortWithinPartitions("path", "offset")
+    # as many tasks as the bytes need, said outright: the rows are tiny, and would all be put together
+    located = materialize(located.select("path", "offset", "length"), "warc-located")
+    tasks = max(1, -(-(located.agg(F.sum("length")).first()[0] or 0) // READ_BYTES))
+    dealt = located.withColumn("part", F.floor(F.col("offset") / READ_BYTES)).repartition(tasks, "path", "part").sortWithinPartitions("path", "offset")
     return dealt.select("path", "offset", "length").mapInArrow(run, ", ".join(f"{c} {kinds[str(_FIELDS[c])]}" for c in columns))
 
 

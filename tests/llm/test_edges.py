@@ -82,7 +82,8 @@ def test_simhash(spark, odd, nothing):
     assert simhash.drop_near_duplicates(nothing).count() == 0
 
 
-def test_simhash_links_within_large_groups(spark):
+@pytest.mark.parametrize("large", [simhash.LARGE, 30])
+def test_simhash_links_within_large_groups(spark, large):
     rng = np.random.default_rng(5)
     base = int(rng.integers(0, 1 << 63))
     fps = {base}
@@ -92,7 +93,8 @@ def test_simhash_links_within_large_groups(spark):
             f ^= 1 << int(b)
         fps.add(f)
     fps |= {int(x) for x in rng.integers(0, 1 << 62, 200)}
-    links = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"))
+    fps |= {(base & 0xFFFFFFFF) | int(x) << 32 for x in rng.integers(0, 1 << 31, 200)}  # unlinked, with one signature
+    links = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), large)
     labels = {r.node: r.root for r in components(links).collect()}
     values = np.array(sorted(fps), np.int64)
     for f in values:
@@ -200,6 +202,19 @@ def test_chat(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_long_conversation(spark):
+    """Work grows with the turns; places in the output are right wherever they are."""
+    turns = spark.range(6_000).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('é😀 ', id, repeat(' ### x', cast(id % 7 AS int)), if(id = 9, repeat('y', 20000), '')) AS text")
+    out = chat.format_chats(turns)
+    got = out.select("formatted", "segments", "valid", chat.under_loss(F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{chat.PIECE}}}"), F.lit(0)), F.col("segments")).alias("learned")).first()
+    said = [(r.role, r.text) for r in turns.orderBy("turn").collect()]
+    assert got.valid and got.learned == "".join(t for r, t in said if r == "assistant")
+    for s, (role, text) in zip(got.segments, said):
+        assert s.role == role and s.length >= len(text)
+    last = got.segments[-1]
+    assert got.formatted[last.start : last.start + last.length].replace("\\", "") == said[-1][1]
+
+
 def test_warc(spark):
     long = "<p>" + "é" * 200
     rows = [(3, "http://a/\r\nb", long), (1, None, long), (1, "u", long), (2, "u", None), (4, "u", "short"), (5, "u", "short"), (None, "u", long), (9, "u", "x" * 99), (8, "u", "x" * 99), (7, "u", "y" * 100), (6, "u", "y" * 100), (6, "u", "PK\x05\x06")]
