@@ -142,16 +142,31 @@ def spelled(points: np.ndarray, ends: np.ndarray) -> pa.StringArray:
     return pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(flat.tobytes().decode("utf-32-le").encode()))
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as compressed UTF-8, which is what is exchanged; null and empty texts as null."""
-    for batch in batches:
-        packed = [pa.compress(t.encode(), "zstd", asbytes=True) if t else None for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], names=[*batch.schema.names[:-1], "packed"])
+_PACKED = "block long, key array<long>, lang array<string>, doc array<long>, bytes array<int>, packed binary"
 
 
-def _unpacked(table: pa.Table) -> pa.Array:
-    rows = zip(table.column("packed"), table.column("bytes").to_pylist())
-    return pa.array([pa.decompress(x.as_buffer(), n, "zstd", asbytes=True).decode() if x.is_valid else None for x, n in rows], pa.string())
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by block, their texts compressed together, which is what is exchanged; a null text is empty."""
+    codec = pa.Codec("zstd", compression_level=3)
+    for batch in batches:
+        block = batch.column(0).to_numpy()
+        order = np.argsort(block, kind="stable")
+        batch = batch.take(pa.array(order))
+        data, offsets = B.buffers(batch.column("text"))
+        edges = np.append(np.flatnonzero(np.append(True, np.diff(block[order]) != 0)), len(block)) if len(block) else np.zeros(1, np.int64)
+        packed = [codec.compress(data[a:b].tobytes(), asbytes=True) for a, b in zip(offsets[edges[:-1]], offsets[edges[1:]])]
+        lists = [pa.ListArray.from_arrays(pa.array(edges, pa.int32()), x) for x in (*batch.columns[1:4], pa.array(np.diff(offsets), pa.int32()))]
+        yield pa.RecordBatch.from_arrays([pa.array(block[order][edges[:-1]]), *lists, pa.array(packed, pa.binary())], names=["block", "key", "lang", "doc", "bytes", "packed"])
+
+
+def _unpacked(table: pa.Table) -> tuple[list[pa.ChunkedArray], pa.LargeStringArray]:
+    """([key, lang, doc], texts) of a block's rows."""
+    size = pc.list_flatten(table.column("bytes")).to_numpy().astype(np.int64)
+    whole = [int(sum(n)) for n in table.column("bytes").to_pylist()]
+    data = b"".join(pa.decompress(x.as_buffer(), n, "zstd", asbytes=True) for x, n in zip(table.column("packed"), whole) if n)
+    offsets = np.append(0, np.cumsum(size))
+    texts = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
+    return [pc.list_flatten(table.column(c)) for c in ("key", "lang", "doc")], texts
 
 
 def _slices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -231,7 +246,7 @@ def probabilities(grams: DataFrame, model: Model) -> DataFrame:
 def _ask(table: pa.Table) -> pa.Table:
     """A block's texts -> (block, gram), each n-gram once."""
     grams = []
-    for points, size in _slices(_unpacked(table)):
+    for points, size in _slices(_unpacked(table)[1]):
         grams.append(spelled(points, distinct(points, places(size))[0]))
     every = pc.unique(pa.chunked_array(grams, pa.string()))
     return pa.table({"block": pa.repeat(table.column("block")[0], len(every)), "gram": every})
@@ -245,7 +260,8 @@ def _answer(texts: pa.Table, answers: pa.Table) -> pa.Table:
     known = np.frombuffer("".join(answers.column("gram").to_pylist()).encode("utf-32-le"), np.uint32)
     table, cost = Table(known, np.arange(ORDER - 1, len(known), ORDER)), -np.log(answers.column("p").to_numpy())
     sizes, perplexity, peak = [], [], []
-    for points, size in _slices(_unpacked(texts)):
+    columns, said = _unpacked(texts)
+    for points, size in _slices(said):
         at = places(size)
         spent = np.zeros(len(points))
         spent[at] = cost[table.find(points, at)]
@@ -263,7 +279,7 @@ def _answer(texts: pa.Table, answers: pa.Table) -> pa.Table:
         sizes.append(size)
     floats = [pa.array(np.concatenate(x), from_pandas=True) if x else pa.array([], pa.float64()) for x in (perplexity, peak)]
     n = pa.array(np.concatenate(sizes) if sizes else [], pa.int64())
-    return pa.table([texts.column("key"), texts.column("lang"), texts.column("doc"), n, *floats], names=["key", "lang", "doc", "n_symbols", "perplexity", "peak"])
+    return pa.table([*columns, n, *floats], names=["key", "lang", "doc", "n_symbols", "perplexity", "peak"])
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", lang: str = "lang", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -271,8 +287,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", lang: str = "lang"
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     own = docs.select(F.col(key).cast("long").alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    texts = own.select(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).alias("block"), "key", "lang", F.xxhash64("text").alias("doc"), F.octet_length("text").alias("bytes"), "text")
-    texts = texts.mapInArrow(_pack, "block long, key long, lang string, doc long, bytes int, packed binary")
+    texts = own.select(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).alias("block"), "key", "lang", F.xxhash64("text").alias("doc"), "text")
+    texts = texts.mapInArrow(_pack, _PACKED)
     asked = materialize(texts.groupBy("block").applyInArrow(_ask, "block long, gram string"), "ngram-questions")
     known = materialize(probabilities(asked.select("gram").distinct(), model), "ngram-answers")
     answers = asked.join(known, "gram").select("block", "gram", "p")
