@@ -33,7 +33,7 @@ def cells_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _canonical(x: str) -> str:
     blank = r"[\p{Zs}\t\x0B\f]"
-    x = f"regexp_replace(coalesce({x}, ''), '\\r\\n?', chr(10), 'g')"
+    x = f"regexp_replace(nfc_normalize(coalesce({x}, '')), '\\r\\n?', chr(10), 'g')"
     x = f"regexp_replace({x}, '(?m)^{blank}+|{blank}+$', '', 'g')"
     x = f"regexp_replace({x}, '[ \\t\\x{{00A0}}]+', ' ', 'g')"
     x = f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"

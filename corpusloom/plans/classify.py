@@ -111,7 +111,8 @@ def scenario_compatibility(d: Spark) -> str:
     """An agency fits a scenario if it has all required capabilities and one of the alternatives, where there are any."""
     scenarios = values((("6", 2, "social_welfare", None), ("6", 3, "medical_care", None), ("6", 5, "local_resident_administration", None), ("7", 0, "research_development", None), ("7", 1, "corporate_transactions", None), ("7", 4, "commercial_product_sales", None), ("7", 6, "commercial_product_sales", None), ("7", 7, "corporate_transactions", None), ("7", 8, None, "research_development,regulatory_policy"), ("5", 0, None, None)), "clause, scenario, required, any_of")
     has = lambda x: f"contains(concat(',', capabilities, ','), concat(',', {x}, ','))"
-    fits = f"(required IS NULL OR {has('required')}) AND (any_of IS NULL OR {has(chr(39) + 'research_development' + chr(39))} OR {has(chr(39) + 'regulatory_policy' + chr(39))})"
+    found = d.size(d.lambda_("keep", d.pieces("any_of", ","), "x", has("x")))
+    fits = f"(required IS NULL OR {has('required')}) AND (any_of IS NULL OR {found} > 0)"
     return f"SELECT ordering_agency, clause, scenario, {fits} AS fits FROM ({agency_capabilities(d)}) a CROSS JOIN {scenarios} s"
 
 
@@ -162,7 +163,7 @@ _KEYED = "SELECT *, concat(source, '::', source_url) AS dedup_key FROM {r} x WHE
 
 @plan
 def insert_if_absent(d: Spark) -> str:
-    """New rows whose key is not in the target, the first of each key by id; the target is what was there before 1995."""
+    """New rows whose key is not in the target, the first of each key by id; the target is what was there before 1997."""
     return f"""WITH keyed AS ({_KEYED.replace('{r}', registry(d))}), target AS (SELECT DISTINCT dedup_key FROM keyed WHERE production_date < DATE '1997-01-01'),
 fresh AS (SELECT k.*, row_number() OVER (PARTITION BY k.dedup_key ORDER BY k.id) AS n FROM keyed k LEFT JOIN target t ON k.dedup_key = t.dedup_key WHERE t.dedup_key IS NULL)
 SELECT id, dedup_key FROM fresh WHERE n = 1"""
