@@ -2,26 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; one is set only where the session names none, as in tests."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    kept = spark.conf.get("corpusloom.shared.dir", None)
-    if kept is None:
-        kept = "file://" + tempfile.mkdtemp(prefix="spark-corpusloom-")
-        spark.conf.set("corpusloom.shared.dir", kept)
-    return kept
+from ..store import shared_folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -32,8 +21,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def prefixed(df: DataFrame, needed: list[str]) -> DataFrame:
-    """Only the needed columns, so that extra columns of the caller's table cannot clash."""
-    return df.select(*needed)
