@@ -97,6 +97,31 @@ WITHHELD = ("청구신청", "열람이 불가능", "열람이 제한")
 MONEY = "\\d{1,3}(?:,\\d{3})+\\s*원|\\d+\\s*(?:만|억)\\s*원|\\d+\\s*원"
 
 
+# Document forms and the one of six buckets that each belongs to.
+FORM_BUCKETS = {
+    "official_letter": "공문",
+    "approval_request": "공문",
+    "reply_notice": "공문",
+    "personnel_material": "공문",
+    "bid_material": "공문",
+    "legal_review": "공문",
+    "other": "공문",
+    "report": "현황보고서",
+    "meeting_minutes": "회의록",
+    "audit_material": "감사보고서",
+    "inspection_report": "감사보고서",
+    "investigation_report": "감사보고서",
+    "policy_material": "정책문서",
+    "plan_draft": "정책문서",
+    "response_plan": "정책문서",
+    "press_release": "정책문서",
+    "administrative_rule": "규정",
+}
+
+# The grades above each grade.
+HIGHER_GRADES = {"1급": (), "2급": ("1급",), "3급": ("1급", "2급")}
+
+
 def leaf_rows() -> list[tuple[str, str, str, str]]:
     """(class, clause, subclause, document type) of every leaf."""
     return [("C" if clause <= "4" else "S", clause, sub, kind) for clause, groups in LEAVES.items() for sub, kinds in groups for kind in kinds]
