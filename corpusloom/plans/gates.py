@@ -267,13 +267,17 @@ def type_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     lambda d: f"""SELECT r.id, (SELECT min(p.id) FROM {registry(d)} p WHERE p.source = r.source AND p.body_file_path LIKE concat('data/', r.source, '/', r.doc_type, '/%/', CAST(r.id AS VARCHAR), '_%')) AS matched_id FROM {registry(d)} r"""
 )
 def path_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The smallest id of the paths LIKE source/type/%/id_%, where ``_`` stands for any character.
+    """For every document the smallest id of a path like its own source, type and id."""
+    return first_like(_registry(spark, sf_dir).select("id", "source", "doc_type", "body_file_path"))
+
+
+def first_like(rows: DataFrame) -> DataFrame:
+    """(id, matched_id) of rows (id, source, doc_type, body_file_path): the smallest id of the paths LIKE source/type/%/id_%, where ``_`` stands for any character.
 
     An id meets every proper prefix of a path's file name, by equality, and the pattern is verified
     afterwards. Paths that share folder and prefix count once, so a short id that many names begin
     with is no hot key. Sources must hold no ``%``, ids are digits.
     """
-    rows = _registry(spark, sf_dir).select("id", "source", "doc_type", "body_file_path")
     parts = F.split("body_file_path", "/")
     names = rows.select("id", F.array_join(F.slice(parts, 1, 3), "/").alias("folder"), F.explode(F.slice(parts, F.lit(5), F.greatest(F.size(parts) - 4, F.lit(0)))).alias("name"))
     digits = F.length(F.regexp_extract("name", r"^\d*", 0))
