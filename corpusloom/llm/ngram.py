@@ -44,6 +44,8 @@ PEAK = 4
 START = "\x02"
 QUANTILE = 0.995
 BLOCK_BYTES = 32 << 20
+#: Bytes of text unpacked and counted at once, which bounds a task's temporaries; a longer text stands alone, whole.
+SLICE_BYTES = 1 << 19
 #: Ids of trusted documents are broadcast up to this number (8 bytes each), else joined by exchange.
 BROADCAST_IDS = 2_000_000
 #: Thresholds are broadcast up to this number of languages, else joined under ``SALTS`` salts.
@@ -159,22 +161,45 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(block[order][edges[:-1]]), *lists, pa.array(packed, pa.binary())], names=["block", "key", "lang", "doc", "bytes", "packed"])
 
 
-def _unpacked(table: pa.Table) -> tuple[list[pa.ChunkedArray], pa.LargeStringArray]:
-    """([key, lang, doc], texts) of a block's rows."""
-    size = pc.list_flatten(table.column("bytes")).to_numpy().astype(np.int64)
-    whole = [int(sum(n)) for n in table.column("bytes").to_pylist()]
-    data = b"".join(pa.decompress(x.as_buffer(), n, "zstd", asbytes=True) for x, n in zip(table.column("packed"), whole) if n)
-    offsets = np.append(0, np.cumsum(size))
-    texts = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
-    return [pc.list_flatten(table.column(c)) for c in ("key", "lang", "doc")], texts
+def _columns(table: pa.Table) -> list[pa.ChunkedArray]:
+    """Key, lang and doc of a block's texts."""
+    return [pc.list_flatten(table.column(c)) for c in ("key", "lang", "doc")]
+
+
+def _texts(table: pa.Table) -> Iterator[pa.LargeStringArray]:
+    """A block's texts in the order of its rows, about ``SLICE_BYTES`` of them unpacked at a time."""
+    sizes, parts, held = [], [], 0
+    for size, packed in zip(table.column("bytes"), table.column("packed")):
+        sizes.append(size.values.to_numpy().astype(np.int64))
+        n = int(sizes[-1].sum())
+        if n:
+            parts.append(pa.decompress(packed.as_buffer(), n, "zstd", asbytes=True))
+        held += n
+        if held >= SLICE_BYTES:
+            yield _joined(sizes, parts)
+            sizes, parts, held = [], [], 0
+    if sizes:
+        yield _joined(sizes, parts)
+
+
+def _joined(sizes: list[np.ndarray], parts: list[bytes]) -> pa.LargeStringArray:
+    size = np.concatenate(sizes)
+    offsets = np.append(0, np.cumsum(size)).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(b"".join(parts)))
 
 
 def _slices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Code points and sizes of the texts, some megabytes at a time."""
-    for i, j in B.slices(B.buffers(column)[1]):
+    """Code points and sizes of the texts, some hundred kilobytes at a time."""
+    for i, j in B.slices(B.buffers(column)[1], SLICE_BYTES):
         yield points_of(column.slice(i, j - i).to_pylist())
 
 
+def _sliced(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """:func:`_slices` of a block's texts."""
+    for texts in _texts(table):
+        yield from _slices(texts)
+
+
 # ------------------------------------------------------------------------------------------ model
 
 
@@ -246,7 +271,7 @@ def probabilities(grams: DataFrame, model: Model) -> DataFrame:
 def _ask(table: pa.Table) -> pa.Table:
     """A block's texts -> (block, gram), each n-gram once."""
     grams = []
-    for points, size in _slices(_unpacked(table)[1]):
+    for points, size in _sliced(table):
         grams.append(spelled(points, distinct(points, places(size))[0]))
     every = pc.unique(pa.chunked_array(grams, pa.string()))
     return pa.table({"block": pa.repeat(table.column("block")[0], len(every)), "gram": every})
@@ -257,11 +282,10 @@ _SCORED = "key long, lang string, doc long, n_symbols long, perplexity double, p
 
 def _answer(texts: pa.Table, answers: pa.Table) -> pa.Table:
     """A block's texts and the probabilities of its n-grams -> perplexities."""
-    known = np.frombuffer("".join(answers.column("gram").to_pylist()).encode("utf-32-le"), np.uint32)
+    known = np.frombuffer(B.buffers(answers.column("gram"))[0].tobytes().decode().encode("utf-32-le"), np.uint32)
     table, cost = Table(known, np.arange(ORDER - 1, len(known), ORDER)), -np.log(answers.column("p").to_numpy())
     sizes, perplexity, peak = [], [], []
-    columns, said = _unpacked(texts)
-    for points, size in _slices(said):
+    for points, size in _sliced(texts):
         at = places(size)
         spent = np.zeros(len(points))
         spent[at] = cost[table.find(points, at)]
@@ -279,7 +303,7 @@ def _answer(texts: pa.Table, answers: pa.Table) -> pa.Table:
         sizes.append(size)
     floats = [pa.array(np.concatenate(x), from_pandas=True) if x else pa.array([], pa.float64()) for x in (perplexity, peak)]
     n = pa.array(np.concatenate(sizes) if sizes else [], pa.int64())
-    return pa.table([*columns, n, *floats], names=["key", "lang", "doc", "n_symbols", "perplexity", "peak"])
+    return pa.table([*_columns(texts), n, *floats], names=["key", "lang", "doc", "n_symbols", "perplexity", "peak"])
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", lang: str = "lang", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:

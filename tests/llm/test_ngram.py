@@ -57,7 +57,7 @@ def wanted(p, text):
 
 @pytest.mark.parametrize("block_bytes", [1 << 20, 40])
 def test_perplexities_by_definition(spark, block_bytes, monkeypatch):
-    monkeypatch.setattr(ngram.B, "SLICE_BYTES", 64)
+    monkeypatch.setattr(ngram, "SLICE_BYTES", 64)
     p = brute(TRUSTED)
     model = ngram.train(spark.createDataFrame([(t,) for t in TRUSTED], "text string"))
     docs = spark.createDataFrame(list(enumerate(TRUSTED + OTHERS)), "doc_id long, text string").selectExpr("*", "'x' AS lang")
