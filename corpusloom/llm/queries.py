@@ -1,8 +1,8 @@
-"""Registered queries of the ten operators, and their SQL where SQL can express them."""
+"""Registered queries of the operators, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from . import chat, decontam, mixing, ngram, phrases, quality, secrets, simhash, suffix, warc
+from . import chat, decontam, mixing, ngram, phrases, quality, resample, secrets, simhash, suffix, warc
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_kneser_ney": ngram.op8_kneser_ney,
     "op9_decontamination": decontam.op9_decontamination,
     "op10_simhash": simhash.op10_simhash,
+    "op12_resample": resample.op12_resample,
 }
 
 ORACLE = {
@@ -23,4 +24,5 @@ ORACLE = {
     "op5_quality_rules": quality.OP5_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op9_decontamination": decontam.OP9_SQL,
+    "op12_resample": resample.OP12_SQL,
 }
