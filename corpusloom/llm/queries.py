@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, mixing, ngram, phrases, quality, resample, secrets, simhash, suffix, warc
+from . import chat, decontam, embeddings, mixing, ngram, phrases, quality, resample, secrets, simhash, suffix, warc
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_decontamination": decontam.op9_decontamination,
     "op10_simhash": simhash.op10_simhash,
     "op12_resample": resample.op12_resample,
+    "op13_embeddings": embeddings.op13_embeddings,
 }
 
 ORACLE = {
@@ -25,4 +26,5 @@ ORACLE = {
     "op7_mixing": mixing.OP7_SQL,
     "op9_decontamination": decontam.OP9_SQL,
     "op12_resample": resample.OP12_SQL,
+    "op13_embeddings": embeddings.OP13_SQL,
 }
