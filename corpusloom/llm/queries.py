@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, embeddings, mixing, ngram, phrases, quality, resample, secrets, simhash, suffix, warc
+from . import align, chat, decontam, embeddings, mixing, ngram, phrases, quality, resample, secrets, simhash, suffix, warc
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_kneser_ney": ngram.op8_kneser_ney,
     "op9_decontamination": decontam.op9_decontamination,
     "op10_simhash": simhash.op10_simhash,
+    "op11_alignment": align.op11_alignment,
     "op12_resample": resample.op12_resample,
     "op13_embeddings": embeddings.op13_embeddings,
 }
