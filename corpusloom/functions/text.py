@@ -141,3 +141,12 @@ def nfc(text: Column) -> Column:
 def to_nfc(df: DataFrame, column: str) -> DataFrame:
     """The table with one column in Unicode NFC."""
     return df.withColumn(column, nfc(F.col(column)))
+
+
+#: White space at the ends of texts, as Python strips it.
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def stripped(text: Column) -> Column:
+    """The text without white space of any kind at its ends."""
+    return F.btrim(text, F.lit(WHITE))

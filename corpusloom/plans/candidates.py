@@ -85,12 +85,6 @@ def cell_measures(d: Spark) -> str:
     return f"SELECT r.doc_type, r.status, count(f.line_key) AS spans, count(DISTINCT f.doc) AS documents, CASE WHEN count(f.line_key) = 0 THEN 'zero_matches' ELSE 'counted' END AS state FROM {rows} r LEFT JOIN ({found}) f ON r.doc_type = f.doc_type AND r.status = f.status GROUP BY r.doc_type, r.status"
 
 
-@plan
-def candidate_ids(d: Spark) -> str:
-    """Content-addressed ids of lines."""
-    return f"""{_lines(d)} SELECT line_key, {d.sha("concat('{{\"doc\":', CAST(doc AS STRING), ',\"line\":', CAST(line_key AS STRING), ',\"text\":\"', text, '\"}}')").replace('{{', '{').replace('}}', '}')} AS candidate_id, {d.sha('text')} AS text_sha256 FROM l"""
-
-
 @plan
 def line_revalidation(d: Spark) -> str:
     """Candidates are joined again with the current lines; a changed text is rejected."""

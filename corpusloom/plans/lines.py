@@ -159,14 +159,6 @@ def stripped_html(d: Spark) -> str:
     return f"SELECT page_id, length({bare}) AS chars, {d.sha(bare)} AS text_sha FROM {{pages}}"
 
 
-@plan
-def rendered_bodies(d: Spark) -> str:
-    """Turns rendered by kind and joined by an empty line."""
-    part = "CASE role WHEN 'system' THEN concat('# ', text) WHEN 'user' THEN concat('> ', text) ELSE text END"
-    inner = d.joined(part, "turn", "@@")
-    return f"SELECT conv_id, {d.sha(inner)} AS body_sha, length({inner}) AS chars, count(*) AS blocks FROM {{conversations}} GROUP BY conv_id"
-
-
 QUERIES = {name: spark_query(f) for name, f in PLANS.items()} | {
     "merged_lines": lambda s, p: L.merge_wrapped(spark_query(lambda d: f"SELECT doc_id, page, pos, block_id, text, x0, y0, x1, y1 FROM {page_lines(d)} g")(s, p)),
     "split_long_lines": lambda s, p: L.split_long(s.read.parquet(f"{p}/documents.parquet").select("doc_id", "text"), 512),

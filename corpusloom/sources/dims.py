@@ -122,6 +122,106 @@ FORM_BUCKETS = {
 HIGHER_GRADES = {"1급": (), "2급": ("1급",), "3급": ("1급", "2급")}
 
 
+# Words of a title that tell research from other reports.
+RESEARCH_WORDS = ("연구", "분석", "조사", "평가", "검토", "진단", "타당성")
+# Words of a title that tell a report on a state of affairs.
+STATUS_WORDS = ("현황", "실적", "결과", "경과", "운영", "추진", "점검", "감사", "계획")
+# Words of a title that tell a guide.
+GUIDE_WORDS = ("가이드라인", "가이드", "매뉴얼", "지침", "길잡이", "안내서", "사례집", "수첩", "리플렛")
+# Document types of the forms that need no look at the title.
+FORM_TYPES = {
+    "meeting_minutes": "meeting_minutes",
+    "press_release": "press_release",
+    "official_letter": "official_document",
+    "inspection_report": "status_report",
+    "audit_material": "status_report",
+    "investigation_report": "research_report",
+    "legal_review": "research_report",
+    "plan_draft": "plan",
+    "approval_request": "approval",
+    "reply_notice": "reply_notification",
+    "personnel_material": "personnel",
+    "response_plan": "plan",
+}
+# Renderer family and label of every document type, new names before old ones.
+RENDERERS = {
+    "감사보고서": ("official_document", "감사보고서"),
+    "회의록": ("meeting_minutes", "회의록"),
+    "규정": ("administrative_rule", "규정"),
+    "매뉴얼": ("guide", "매뉴얼"),
+    "질의회시집": ("interpretation_compilation", "질의회시집"),
+    "보도자료": ("press_release", "보도자료"),
+    "고시": ("administrative_rule", "고시"),
+    "예산결산문서": ("official_document", "예산결산문서"),
+    "사업공고": ("notice", "사업공고"),
+    "현황보고서": ("status_report", "현황보고서"),
+    "정책문서": ("official_document", "정책문서"),
+    "연구보고서": ("research_report", "연구보고서"),
+    "공문": ("official_document", "공문"),
+    "research_report": ("research_report", "연구보고서"),
+    "press_release": ("press_release", "보도자료"),
+    "directive": ("administrative_rule", "훈령"),
+    "regulation": ("administrative_rule", "예규"),
+    "notification": ("administrative_rule", "고시"),
+    "interpretation_compilation": ("interpretation_compilation", "질의회시집"),
+    "guide": ("guide", "GUIDE"),
+    "status_report": ("status_report", "현황·통계자료"),
+    "meeting_minutes": ("meeting_minutes", "회의록"),
+    "director_activity": ("meeting_minutes", "회의록"),
+    "bid_notice": ("notice", "입찰공고"),
+    "bid_renotice": ("notice", "입찰재공고"),
+    "pre_spec_notice": ("notice", "사전규격공개"),
+    "public_offering": ("notice", "공모"),
+    "notice": ("notice", "공고"),
+    "audit_result": ("official_document", "감사보고서"),
+    "budget_material": ("official_document", "예산결산문서"),
+    "policy_material": ("official_document", "정책문서"),
+    "official_document": ("official_document", "공문"),
+    "report": ("official_document", "보고서"),
+    "personnel": ("official_document", "인사발령"),
+    "approval": ("official_document", "승인"),
+    "reply_notification": ("official_document", "회신·통보"),
+    "budget_execution": ("official_document", "예산집행"),
+    "plan": ("official_document", "계획"),
+    "business_trip": ("official_document", "출장"),
+    "other": ("official_document", ""),
+    "훈령": ("administrative_rule", "훈령"),
+    "예규": ("administrative_rule", "예규"),
+    "입찰공고": ("notice", "입찰공고"),
+    "입찰재공고": ("notice", "입찰재공고"),
+    "사전규격공개": ("notice", "사전규격공개"),
+    "공모": ("notice", "공모"),
+    "공고": ("notice", "공고"),
+}
+REMOVED_TYPES = ("synthetic_document", "합성문서")
+# Head entries of every document form; the form other has none of its own.
+HEADER_KEYS = {
+    "meeting_minutes": ("회차", "개최일시", "장소", "참석자"),
+    "official_letter": ("문서번호", "수신", "시행일자"),
+    "report": ("문서번호", "수신", "시행일자", "보고일자"),
+    "audit_material": ("문서번호", "감사기간", "감사대상", "감사반"),
+    "personnel_material": ("문서번호", "수신", "시행일자"),
+    "bid_material": ("공고번호", "공고일자", "입찰방법", "수요기관"),
+    "approval_request": ("문서번호", "수신", "시행일자"),
+    "reply_notice": ("문서번호", "수신", "시행일자", "관련"),
+    "policy_material": ("문서번호", "담당부서", "시행일자"),
+    "plan_draft": ("문서번호", "수신", "시행일자"),
+    "legal_review": ("문서번호", "수신", "시행일자", "검토의뢰"),
+    "inspection_report": ("문서번호", "점검일시", "점검대상", "점검자"),
+    "response_plan": ("문서번호", "수신", "시행일자"),
+    "investigation_report": ("사건번호", "작성일자", "조사대상자", "소속"),
+    "press_release": ("배포일시", "담당부서", "담당자", "연락처"),
+    "administrative_rule": ("고시번호", "시행일자", "소관부서"),
+    "other": (),
+}
+DEFAULT_HEADER = ("문서번호", "수신", "시행일자")
+DRAFT_BLANKS = ("문서번호", "시행일자")
+APPROVAL_COLUMNS = ("기안", "검토", "결재")
+# Marks that list items carry themselves.
+BULLETS = ("□", "○", "◦", "ㅇ", "-", "•", "‣", "*", "※", "▶", "→")
+
+
+
 def leaf_rows() -> list[tuple[str, str, str, str]]:
     """(class, clause, subclause, document type) of every leaf."""
     return [("C" if clause <= "4" else "S", clause, sub, kind) for clause, groups in LEAVES.items() for sub, kinds in groups for kind in kinds]
