@@ -1,45 +1,234 @@
-"""Review samples under quotas: bounded candidates from Spark, a greedy choice over them."""
+"""Samples for review under quotas: bounded candidates from Spark, choices that depend on their own past over them.
+
+Everything that the driver holds follows from the number of samples and the number of planned
+cells, never from the rows. Where the candidates at hand can't settle a choice, the choice is made
+by a query over all rows of its cell.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .audit import central_rows
+from .audit import central_row, duplicate_groups
+from .ranking import numbered
+
+#: Caps of rows from one cell and from one seed, and how often they grow by one.
+CAP, RELAX = 2, 5
+#: Anomalies at most, and their share of what the forced rows leave.
+MOST_ANOMALIES, SHARE = 10, 2 / 3
+#: Cells whose candidates are read at once.
+CHUNK = 64
+
+_SAMPLE = "row_id string, sample_kind string, reason_code string, secondary_reasons string, reason_detail string, coverage_cell_key string, metric_name string, metric_value double, seed_candidate_id string, seed_extraction_id string"
+
+
+# ------------------------------------------------------------------------------------------ anomalies
+
+
+def anomaly_reasons(summary: DataFrame, coverage: DataFrame) -> dict[str, tuple[DataFrame, list[Column]]]:
+    """Reason -> (row_id, metric_value, subject), and its order, by falling priority; one row a case."""
+    out = {}
+    for reason, metric, column in (("raw_exact_duplicate", "raw_exact", "raw_hash"), ("normalized_duplicate", "normalized_exact", "normalized_hash")):
+        groups = duplicate_groups(summary, metric, column).select(F.col("representative_row_id").alias("row_id"), F.col("group_size").cast("double").alias("metric_value"), F.lit("").alias("subject"))
+        out[reason] = (groups, [F.desc("metric_value"), F.asc("row_id")])
+    first = summary.groupBy("coverage_cell_key").agg(F.min("row_id").alias("row_id"))
+    short = coverage.where("coverage_status = 'shortage' AND planned_target > 0").join(first, "coverage_cell_key")
+    short = short.select("row_id", (F.col("shortage") / F.col("planned_target")).alias("metric_value"), F.col("coverage_cell_key").alias("subject"), "planned_target")
+    out["coverage_shortage"] = (short, [F.desc("metric_value"), F.desc("planned_target"), F.asc("subject")])
+    sizes = summary.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"), F.min("arrival").alias("first"))
+    largest = sizes.agg(F.max_by(F.struct("fingerprint", "n"), F.struct("n", -F.col("first"))).alias("x")).where("x IS NOT NULL").select("x.fingerprint", "x.n")
+    members = summary.join(F.broadcast(largest), "fingerprint")  # one row
+    form = central_row(members, "fingerprint").join(F.broadcast(largest), "fingerprint")
+    out["format_concentration"] = (form.select("row_id", F.col("n").cast("double").alias("metric_value"), F.col("fingerprint").alias("subject")), [F.asc("row_id")])
+    seeds = summary.where("coalesce(seed_candidate_id, '') <> ''").groupBy("seed_candidate_id").agg(F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    out["shared_source"] = (seeds.select("row_id", F.col("n").cast("double").alias("metric_value"), F.col("seed_candidate_id").alias("subject")), [F.desc("metric_value"), F.asc("row_id")])
+    return out
+
+
+def _detail(reason: str, value: float, subject: str) -> str:
+    return {
+        "raw_exact_duplicate": f"raw exact duplicate group_size={value:.0f}",
+        "normalized_duplicate": f"normalized duplicate candidate group_size={value:.0f}",
+        "coverage_shortage": f"coverage shortage cell={subject} ratio={value:.3f}",
+        "format_concentration": f"format cluster size={value:.0f} fingerprint={subject}",
+        "shared_source": f"shared seed source={subject} count={value:.0f}",
+    }[reason]
+
+
+def anomaly_samples(summary: DataFrame, coverage: DataFrame, quota: int) -> list[dict]:
+    """At most ``quota`` rows, each for its first reason in the order of priority; its other reasons are told, too."""
+    if quota <= 0:
+        return []
+    reasons, chosen = anomaly_reasons(summary, coverage), {}
+    for reason, (cases, order) in reasons.items():
+        if len(chosen) >= quota:
+            break
+        # rows that are chosen already can't be more than the quota, so twice as many cases suffice
+        for case in cases.orderBy(*order).limit(2 * quota).collect():
+            if len(chosen) < quota and case.row_id not in chosen:
+                chosen[case.row_id] = {"row_id": case.row_id, "sample_kind": "anomaly", "reason_code": reason, "metric_name": reason, "metric_value": case.metric_value, "reason_detail": _detail(reason, case.metric_value, case.subject), "others": []}
+    for reason, (cases, _) in reasons.items():
+        for case in cases.where(F.col("row_id").isin(*chosen)).select("row_id").distinct().collect() if chosen else ():
+            if chosen[case.row_id]["reason_code"] != reason:
+                chosen[case.row_id]["others"].append(reason)
+    about = ("row_id", "coverage_cell_key", "seed_candidate_id", "seed_extraction_id")
+    for row in summary.where(F.col("row_id").isin(*chosen)).select(*about).collect() if chosen else ():
+        chosen[row.row_id] |= row.asDict()
+    return list(chosen.values())
+
+
+# ------------------------------------------------------------------------------------ representatives
+
+
+class _Cell:
+    """Rows of a cell around its middle: lengths with their counts, and the first rows of each length."""
 
+    def __init__(self) -> None:
+        self.lengths: dict[int, tuple[int, int]] = {}  # length -> (rows, rows of smaller lengths)
+        self.rows: list = []
+        self.total, self.gone = 0, []
 
-def representative_samples(summary: DataFrame, coverage: DataFrame, quota: int, chosen: set[str] | None = None, cap: int = 2, relax: int = 5) -> DataFrame:
-    """(sample_rank, row_id, coverage_cell_key, distance): rows near the median length of their cells.
+    def median(self) -> int | None:
+        """The middle, the upper of two, of the lengths of the rows that are left."""
+        middle = (self.total - len(self.gone)) // 2
+        for length, (n, before) in sorted(self.lengths.items()):
+            smaller = before - sum(g < length for g in self.gone)
+            if smaller <= middle < smaller + n - self.gone.count(length):
+                return length
+        return None
 
-    The median is that of the whole cell; it isn't taken anew when rows of the cell have been chosen.
+    def nearest(self, median: int, taken: set[str], full: set[str]):
+        """The row next to the median whose seed isn't full; None if the rows at hand can't tell which it is."""
+        free = [r for r in self.rows if r.row_id not in taken and r.seed_candidate_id not in full]
+        best = min(free, key=lambda r: (abs(r.body_length - median), r.normalized_hash, r.row_id), default=None)
+        if best is None:
+            return None
+        distance = abs(best.body_length - median)
+        low, high = min(self.lengths), max(self.lengths)
+        if self.lengths[low][1] and distance > median - low:
+            return None  # a shorter row might be nearer
+        if sum(self.lengths[high]) < self.total and distance > high - median:
+            return None
+        seen = {r.body_length for r in free}
+        listed = [r.body_length for r in self.rows]
+        hidden = (length for length, (n, _) in self.lengths.items() if length not in seen and n > listed.count(length))
+        return None if any(abs(length - median) <= distance for length in hidden) else best
 
-    Cells come by target, shortage and key, each twice a pass; cells and seeds have caps that grow by
-    one a pass, at most ``relax`` times. The choice depends on its own past and so is made on the
-    driver, over at most ``quota * (cap + relax)`` cells and as many rows of each: a bound that
-    follows from the quota, not from the data.
+
+def _cells(summary: DataFrame, keys: list[str], taken: Iterable[str], picks: int) -> dict[str, _Cell]:
+    """The middles of cells: lengths that can become medians when ``picks`` rows are gone, and their first rows."""
+    rows = summary.where(F.col("coverage_cell_key").isin(*keys))
+    rows = rows.where(~F.col("row_id").isin(*taken)) if taken else rows
+    by = W.partitionBy("coverage_cell_key")
+    counted = rows.groupBy("coverage_cell_key", "body_length").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.withColumn("before", F.sum("n").over(by.orderBy("body_length")) - F.col("n")).withColumn("total", F.sum("n").over(by))
+    middle = F.floor(F.col("total") / 2)
+    near = counted.where((F.col("before") <= middle + picks) & (F.col("before") + F.col("n") > middle - picks))
+    out: dict[str, _Cell] = {k: _Cell() for k in keys}
+    for r in near.collect():
+        cell = out[r.coverage_cell_key]
+        cell.lengths[r.body_length], cell.total = (r.n, r.before), r.total
+    first = W.partitionBy("coverage_cell_key", "body_length").orderBy("normalized_hash", "row_id")
+    listed = rows.join(near.select("coverage_cell_key", "body_length"), ["coverage_cell_key", "body_length"]).withColumn("k", F.row_number().over(first)).where(F.col("k") <= picks + 1)
+    for r in listed.select("coverage_cell_key", "row_id", "body_length", "normalized_hash", "seed_candidate_id", "seed_extraction_id").collect():
+        out[r.coverage_cell_key].rows.append(r)
+    return out
+
+
+def _settled(summary: DataFrame, key: str, taken: set[str], full: set[str], median: int):
+    """The row next to the median by a query over the whole cell."""
+    rows = summary.where(F.col("coverage_cell_key") == key)
+    rows = rows.where(~F.col("row_id").isin(*taken)) if taken else rows
+    rows = rows.where(~F.coalesce("seed_candidate_id", F.lit("")).isin(*full)) if full else rows
+    place = F.struct(F.abs(F.col("body_length") - median).alias("distance"), "normalized_hash", "row_id", "body_length", "seed_candidate_id", "seed_extraction_id")
+    return rows.agg(F.min(place).alias("x")).first().x
+
+
+def representatives(summary: DataFrame, coverage: DataFrame, quota: int, taken: Iterable[str] = (), cap: int = CAP, relax: int = RELAX, chunk: int = CHUNK) -> list[dict]:
+    """At most ``quota`` rows next to the median length of what is left of their cells, in the order of their choice.
+
+    Cells with accepted rows come by target, share of shortage and key, each twice a pass. A cell,
+    and a seed, gives at most ``cap`` rows, one more in each of ``relax`` further passes. Rows in
+    ``taken`` are left out, as are rows once chosen: a cell's median is that of the rows left.
     """
-    spark, taken = summary.sparkSession, set(chosen or ())
+    if quota <= 0:
+        return []
     share = F.when(F.col("planned_target") > 0, F.col("shortage") / F.col("planned_target")).otherwise(0.0)
-    bound = quota * (cap + relax)
-    cells = [r[0] for r in coverage.where("actual_ok > 0").orderBy(F.desc("planned_target"), F.desc(share), "coverage_cell_key").select("coverage_cell_key").limit(bound).collect()]
-    near = central_rows(summary.where(F.col("coverage_cell_key").isin(cells)) if cells else summary.limit(0), "coverage_cell_key").where(F.col("place") <= bound + len(taken))
-    rows: dict[str, list] = {}
-    for r in near.orderBy("coverage_cell_key", "place").select("coverage_cell_key", "row_id", "seed_candidate_id", F.col("distance").cast("long").alias("distance")).collect():
-        rows.setdefault(r.coverage_cell_key, []).append(r)
-    picked, by_cell, by_seed = [], {}, {}
+    keys = [r[0] for r in coverage.where("actual_ok > 0").orderBy(F.desc("planned_target"), F.desc(share), "coverage_cell_key").select("coverage_cell_key").collect()]  # planned cells
+    before, used = set(taken), set(taken)
+    cells: dict[str, _Cell] = {}
+    picked: list[dict] = []
+    by_cell: dict[str, int] = {}
+    by_seed: dict[str, int] = {}
     for extra in range(relax + 1):
         for _ in range(2):
-            for cell in cells:
+            for i, key in enumerate(keys):
                 if len(picked) >= quota:
-                    break
-                if by_cell.get(cell, 0) >= cap + extra:
+                    return picked
+                if by_cell.get(key, 0) >= cap + extra:
+                    continue
+                if key not in cells:
+                    cells |= _cells(summary, [k for k in keys[i : i + chunk] if k not in cells], before, cap + relax)
+                cell, full = cells[key], {s for s, n in by_seed.items() if n >= cap + extra}
+                if cell.total <= len(cell.gone):
                     continue
-                row = next((r for r in rows.get(cell, ()) if r.row_id not in taken and not (r.seed_candidate_id and by_seed.get(r.seed_candidate_id, 0) >= cap + extra)), None)
-                if row is not None:
-                    picked.append((len(picked) + 1, row.row_id, cell, row.distance))
-                    taken.add(row.row_id)
-                    by_cell[cell] = by_cell.get(cell, 0) + 1
+                median = cell.median()
+                row = cell.nearest(median, used, full) or _settled(summary, key, used, full, median)
+                if row is None:
+                    continue
+                picked.append({
+                    "row_id": row.row_id, "sample_kind": "representative", "reason_code": "representative_cell", "reason_detail": f"cell={key} body-length-median centroid", "coverage_cell_key": key, "metric_name": "body_length_distance",
+                    "metric_value": float(abs(row.body_length - median)), "seed_candidate_id": row.seed_candidate_id, "seed_extraction_id": row.seed_extraction_id, "others": [],
+                })
+                used.add(row.row_id)
+                cell.gone.append(row.body_length)
+                by_cell[key] = by_cell.get(key, 0) + 1
+                if row.seed_candidate_id:
                     by_seed[row.seed_candidate_id] = by_seed.get(row.seed_candidate_id, 0) + 1
-        if len(picked) >= quota:
-            break
-    return spark.createDataFrame(picked, "sample_rank long, row_id string, coverage_cell_key string, distance long")
+    return picked
+
+
+def representative_samples(summary: DataFrame, coverage: DataFrame, quota: int, taken: Iterable[str] = ()) -> DataFrame:
+    """(sample_rank, row_id, coverage_cell_key, distance) of :func:`representatives`."""
+    rows = [(i, r["row_id"], r["coverage_cell_key"], int(r["metric_value"])) for i, r in enumerate(representatives(summary, coverage, quota, taken), 1)]
+    return summary.sparkSession.createDataFrame(rows, "sample_rank long, row_id string, coverage_cell_key string, distance long")
+
+
+# ------------------------------------------------------------------------------------------- together
+
+
+def review_sample(summary: DataFrame, coverage: DataFrame, count: int, forced: DataFrame | None = None, files: DataFrame | None = None) -> DataFrame:
+    """The sample for review, ranked: forced rows, then anomalies, then representatives, no row twice.
+
+    ``forced`` (row_id, reason) come first, by id, all of them, even beyond ``count``. Of what they
+    leave, two thirds, at most ten, are for anomalies; those that are forced anyway are not made up
+    for by other anomalies. Representatives fill up. ``files`` (row_id, pdf_path) are the rows that
+    have a file to look at; all others carry ``pdf_unavailable`` behind their secondary reasons.
+    """
+    spark = summary.sparkSession
+    about = summary.select("row_id", "coverage_cell_key", "seed_candidate_id", "seed_extraction_id")
+    must = spark.createDataFrame([], "row_id string, reason string") if forced is None else forced.groupBy("row_id").agg(F.max("reason").alias("reason"))
+    must = must.join(about, "row_id").select(
+        "row_id", F.lit("mandatory").alias("sample_kind"), F.lit("classification_disagreement").alias("reason_code"), F.lit("").alias("secondary_reasons"), F.col("reason").alias("reason_detail"),
+        "coverage_cell_key", F.lit("classification_consistency").alias("metric_name"), F.lit(0.0).alias("metric_value"), "seed_candidate_id", "seed_extraction_id",
+    )
+    must = numbered(must, F.col("row_id").asc(), name="sample_rank")
+    n = must.count()
+    rest = max(0, count - n)
+    ids = {r[0] for r in must.select("row_id").collect()} if rest else set()  # fewer than `count`
+    odd = [s for s in anomaly_samples(summary, coverage, min(MOST_ANOMALIES, math.ceil(rest * SHARE))) if s["row_id"] not in ids]
+    usual = representatives(summary, coverage, rest - len(odd), ids | {s["row_id"] for s in odd})
+    columns = [c.split()[0] for c in _SAMPLE.split(", ")]
+    rows = [(*(",".join(s["others"]) if c == "secondary_reasons" else s[c] for c in columns), n + i) for i, s in enumerate(odd + usual, 1)]
+    every = must.unionByName(spark.createDataFrame(rows, _SAMPLE + ", sample_rank long"))
+    if files is None:
+        every = every.withColumn("pdf_path", F.lit(""))
+    else:
+        every = every.join(files.groupBy("row_id").agg(F.min("pdf_path").alias("pdf_path")), "row_id", "left").withColumn("pdf_path", F.coalesce("pdf_path", F.lit("")))
+    lacking = F.when(F.col("pdf_path") == "", F.concat_ws(",", F.when(F.col("secondary_reasons") != "", F.col("secondary_reasons")), F.lit("pdf_unavailable"))).otherwise(F.col("secondary_reasons"))
+    return every.select("sample_rank", *(lacking.alias(c) if c == "secondary_reasons" else F.col(c) for c in columns), "pdf_path")

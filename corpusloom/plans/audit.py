@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import PLACEHOLDERS
 from ..operators import audit as A
-from ..operators.sampling import representative_samples
+from ..operators import sampling as S
 from ..sources.views import audit_rows
 from .dialect import DUCK, Spark, check_sql, spark_query
 
@@ -133,29 +133,22 @@ def _content_samples(spark, sf_dir):
 
 
 _QUOTA = 10
-_ANOMALY = """
-SELECT row_id, priority, rank, reason, metric_value FROM (
-  SELECT row_id, priority, rank, reason, metric_value, row_number() OVER (PARTITION BY row_id ORDER BY priority, rank) AS nth FROM (
-    SELECT representative_row_id AS row_id, 1 AS priority, row_number() OVER (ORDER BY group_size DESC, representative_row_id) AS rank, 'raw_exact_duplicate' AS reason, CAST(group_size AS DOUBLE) AS metric_value FROM raw_groups
-    UNION ALL SELECT representative_row_id, 2, row_number() OVER (ORDER BY group_size DESC, representative_row_id), 'normalized_duplicate', CAST(group_size AS DOUBLE) FROM normalized_groups
-    UNION ALL SELECT row_id, 3, row_number() OVER (ORDER BY ratio DESC, planned_target DESC, coverage_cell_key), 'coverage_shortage', ratio FROM short_cells
-    UNION ALL SELECT row_id, 5, row_number() OVER (ORDER BY n DESC, row_id), 'shared_source', CAST(n AS DOUBLE) FROM shared) x) y
-WHERE nth = 1 ORDER BY priority, rank LIMIT 10
-"""
 
 
 def _anomalies(spark, sf_dir):
+    """The first ten anomalies in the order of priority, with their other reasons."""
+    chosen = S.anomaly_samples(_summary(spark, sf_dir), A.coverage_actual(rows_of(spark, sf_dir), cells_of(spark, sf_dir)), _QUOTA)
+    rows = [(i, s["row_id"], s["reason_code"], s["metric_value"], ",".join(s["others"])) for i, s in enumerate(chosen, 1)]
+    return spark.createDataFrame(rows, "rank long, row_id string, reason string, metric_value double, secondary_reasons string")
+
+
+def _review(spark, sf_dir):
+    """The sample for review: rows whose labels contradict each other are forced, every third row has a file."""
     summary = _summary(spark, sf_dir)
-    first_rows = lambda df, *order: df.orderBy(*order).limit(_QUOTA * 4)  # noqa: E731 - enough for the quota, whatever four reasons repeat
-    size = F.desc("group_size")
-    for metric, column, view in (("raw_exact", "raw_hash", "raw_groups"), ("normalized_exact", "normalized_hash", "normalized_groups")):
-        first_rows(A.duplicate_groups(summary, metric, column), size, "representative_row_id").createOrReplaceTempView(view)
-    first = summary.groupBy("coverage_cell_key").agg(F.min("row_id").alias("row_id"))
-    short = A.coverage_actual(rows_of(spark, sf_dir), cells_of(spark, sf_dir)).where("coverage_status = 'shortage'").join(first, "coverage_cell_key").selectExpr("row_id", "shortage / planned_target AS ratio", "planned_target", "coverage_cell_key")
-    first_rows(short, F.desc("ratio"), F.desc("planned_target"), "coverage_cell_key").createOrReplaceTempView("short_cells")
-    shared = summary.groupBy("seed_candidate_id").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("row_id")).where("n > 1")
-    first_rows(shared, F.desc("n"), "row_id").createOrReplaceTempView("shared")
-    return spark.sql(_ANOMALY)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 AND toxic = 1 AND doc_id % 4 = 0")
+    forced = labels.select(F.concat(F.lit("row-"), "doc_id").alias("row_id"), F.lit("good and toxic").alias("reason"))
+    files = summary.where("arrival % 3 = 0").select("row_id", F.concat("row_id", F.lit(".pdf")).alias("pdf_path"))
+    return S.review_sample(summary, A.coverage_actual(rows_of(spark, sf_dir), cells_of(spark, sf_dir)), 30, forced, files)
 
 
 QUERIES = {
@@ -170,7 +163,8 @@ QUERIES = {
     "agency_template_counts": _templates,
     "content_samples": _content_samples,
     "anomaly_samples": _anomalies,
-    "review_samples": lambda s, d: representative_samples(_summary(s, d), A.coverage_actual(rows_of(s, d), cells_of(s, d)), 20),
+    "review_samples": lambda s, d: S.representative_samples(_summary(s, d), A.coverage_actual(rows_of(s, d), cells_of(s, d)), 20),
+    "audit_review": _review,
     "audit_summary": lambda s, d: A.audit_summary(rows_of(s, d), cells_of(s, d)),
 }
 _GROUP = "SELECT metric, group_id, row_id_a AS representative_row_id, group_size, group_size > 2 AS pair_rows_truncated FROM groups WHERE metric = "
@@ -189,9 +183,16 @@ ORACLE = {
     "agency_template_counts": _duck("SELECT agency_category, template_id, count(*)::BIGINT AS n FROM summary GROUP BY ALL"),
     "content_samples": _duck("SELECT i AS sample_rank, i::VARCHAR AS sample_value, CASE WHEN row_id IS NULL THEN 'missing' ELSE 'ok' END AS sample_status, coalesce(row_id, '') AS row_id FROM (SELECT range AS i FROM range(1, 9)) LEFT JOIN (SELECT * FROM central WHERE place = 1) ON clause_no = i::VARCHAR"),
     "anomaly_samples": _duck(
-        ", raw_groups AS (SELECT *, row_id_a AS representative_row_id FROM groups WHERE metric = 'raw_exact'), normalized_groups AS (SELECT *, row_id_a AS representative_row_id FROM groups WHERE metric = 'normalized_exact'),\n"
-        "short_cells AS (SELECT m.row_id, (planned_target - actual_ok)::DOUBLE / planned_target AS ratio, planned_target, c.coverage_cell_key FROM covered c JOIN (SELECT coverage_cell_key, min(row_id) AS row_id FROM summary GROUP BY 1) m ON c.coverage_cell_key = m.coverage_cell_key WHERE actual_ok < planned_target),\n"
-        "shared AS (SELECT count(*) AS n, min(row_id) AS row_id FROM summary GROUP BY seed_candidate_id HAVING count(*) > 1)" + _ANOMALY
+        """, cases AS (SELECT 1 AS priority, row_id_a AS row_id, group_size::DOUBLE AS metric_value, 'raw_exact_duplicate' AS reason, 0::DOUBLE AS second, '' AS third FROM groups WHERE metric = 'raw_exact'
+UNION ALL SELECT 2, row_id_a, group_size::DOUBLE, 'normalized_duplicate', 0, '' FROM groups WHERE metric = 'normalized_exact'
+UNION ALL SELECT 3, m.row_id, (planned_target - actual_ok)::DOUBLE / planned_target, 'coverage_shortage', -planned_target, c.coverage_cell_key FROM covered c JOIN (SELECT coverage_cell_key, min(row_id) AS row_id FROM summary GROUP BY 1) m ON c.coverage_cell_key = m.coverage_cell_key WHERE actual_ok < planned_target
+UNION ALL SELECT 4, arg_min(row_id, {'d': abs(body_length - median), 'h': normalized_hash, 'i': row_id}), any_value(n)::DOUBLE, 'format_concentration', 0, '' FROM (SELECT *, list_sort(list(body_length) OVER (), 'ASC')[(count(*) OVER ()) // 2 + 1] AS median FROM summary JOIN
+  (SELECT fingerprint, count(*) AS n, min(arrival) AS first FROM summary GROUP BY 1 ORDER BY n DESC, first LIMIT 1) f USING (fingerprint)) x
+UNION ALL SELECT 5, min(row_id), count(*)::DOUBLE, 'shared_source', 0, '' FROM summary GROUP BY seed_candidate_id HAVING count(*) > 1),
+placed AS (SELECT *, row_number() OVER (ORDER BY priority, metric_value DESC, second, third, row_id) AS place FROM cases),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY place) AS nth FROM placed)
+SELECT row_number() OVER (ORDER BY place) AS rank, row_id, reason, metric_value, coalesce((SELECT string_agg(reason, ',' ORDER BY priority) FROM (SELECT DISTINCT reason, priority, row_id FROM cases) c WHERE c.row_id = f.row_id AND c.reason <> f.reason), '') AS secondary_reasons
+FROM firsts f WHERE nth = 1 ORDER BY rank LIMIT 10"""
     ),
     "audit_summary": _duck(
         """, good_rows AS (SELECT * FROM tested WHERE error_code IS NULL),
