@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: The table that tells what was published below a root.
+MANIFEST = "_manifest"
+
+
 class ContractError(ValueError):
     """A source lacks what its contract promises."""
 
@@ -41,29 +46,55 @@ def discover(spark: SparkSession, root: str, suffixes: Sequence[str] = ("pdf", "
     return found.select("path", "length", F.when(deep > 1, parts[0]).otherwise("_unclassified").alias("source"), F.when(deep > 2, parts[1]).otherwise("_unclassified").alias("doc_type"), F.regexp_extract(name, r"^([^_.]+)", 1).alias("doc_id"), F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)$", 1)).alias("format"))
 
 
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def publish(tables: Mapping[str, DataFrame], root: str) -> DataFrame:
-    """Write tables below ``root`` and their manifest (name, rows, content_sha) last; refuses a published root.
+    """Write tables and their manifest (name, rows, content_sha), so that either all of them are seen below ``root`` or nothing.
+
+    Everything is written to a folder beside ``root`` with a name of its own, the manifest last, and
+    that folder is then renamed, which is one step of the file system and refuses a root that
+    exists. A run that fails removes its folder, one that is killed leaves it behind, where nobody
+    reads it; ``root`` isn't there in either case. Where a store can't rename in one step, the manifest
+    still tells whether a root is whole: :func:`published` asks for it.
 
     The digest of a table does not depend on the order of its rows: hashes of rows are added up.
     """
     spark = next(iter(tables.values())).sparkSession
-    manifest = f"{root}/_manifest"
-    try:
-        spark.read.parquet(manifest)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing) and "UNABLE_TO_INFER_SCHEMA" not in str(missing):
-            raise
-    else:
+    root = root.rstrip("/")
+    target, fs = _hadoop(spark, root)
+    if fs.exists(target):
         raise ContractError(f"{root} is published already")
-    lines = None
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        stored = spark.read.parquet(f"{root}/{name}")
-        total = F.sum(F.xxhash64(*stored.columns).cast("decimal(38,0)"))
-        line = stored.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), F.sha2(F.coalesce(total, F.lit(0)).cast("string"), 256).alias("content_sha"))
-        lines = line if lines is None else lines.unionByName(line)
-    lines.coalesce(1).write.parquet(manifest)
-    return spark.read.parquet(manifest)
+    parent, _, name = root.rpartition("/")
+    staging = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp"
+    beside, _ = _hadoop(spark, staging)
+    try:
+        lines = None
+        for table, df in tables.items():
+            df.write.parquet(f"{staging}/{table}")
+            stored = spark.read.parquet(f"{staging}/{table}")
+            total = F.sum(F.xxhash64(*stored.columns).cast("decimal(38,0)"))
+            line = stored.agg(F.lit(table).alias("name"), F.count(F.lit(1)).alias("rows"), F.sha2(F.coalesce(total, F.lit(0)).cast("string"), 256).alias("content_sha"))
+            lines = line if lines is None else lines.unionByName(line)
+        lines.coalesce(1).write.parquet(f"{staging}/{MANIFEST}")
+        none = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(beside, target, none)
+    except Exception as failed:
+        fs.delete(beside, True)
+        if "FileAlreadyExists" in str(failed):
+            raise ContractError(f"{root} is published already") from failed
+        raise
+    return published(spark, root)
+
+
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The manifest of a published root; an error where there is none."""
+    manifest, fs = _hadoop(spark, f"{root.rstrip('/')}/{MANIFEST}/_SUCCESS")
+    if not fs.exists(manifest):
+        raise ContractError(f"{root} is not published")
+    return spark.read.parquet(f"{root.rstrip('/')}/{MANIFEST}")
 
 
 def accept_changes(old: DataFrame, new: DataFrame) -> DataFrame:
