@@ -8,19 +8,25 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.text import stripped
 
 MOST_LINES, GAP = 40, 0.8
 _SEGMENT = "struct<first_pos:bigint,lines:bigint,page:bigint,block_id:bigint,x0:bigint,y0:bigint,x1:bigint,y1:bigint,last:bigint,text:string>"
 
 
-def merge_wrapped(lines: DataFrame) -> DataFrame:
+def merge_wrapped(lines: DataFrame, boilerplate: str | None = None, within_blocks: bool = True) -> DataFrame:
     """Join wrapped lines of a block: (doc_id, first_pos, lines, y1, text_sha).
 
     A line joins the segment above if it is close below it, overlaps it sideways and the segment has
     fewer than 40 lines. The segment's box grows with it, so that this is a fold over the page's
-    lines in order, not a comparison of neighbours. Blank lines end a segment.
+    lines in order, not a comparison of neighbours. Blank lines, and lines that the boolean column
+    ``boilerplate`` marks, end a segment and are in none. Lines without a box or a block stay alone.
+    Without ``within_blocks`` blocks don't matter, and blank lines are lines like any other.
     """
-    lines = lines.select("doc_id", "page", F.struct("pos", "block_id", "text", "x0", "y0", "x1", "y1").alias("line"))
+    skip = (stripped(F.coalesce("text", F.lit(""))) == "") | (F.coalesce(boilerplate, F.lit(False)) if boilerplate else F.lit(False))
+    lines = lines.select("doc_id", "page", F.struct("pos", "block_id", F.coalesce("text", F.lit("")).alias("text"), "x0", "y0", "x1", "y1", (skip if within_blocks else F.lit(False)).alias("skip")).alias("line"))
     pages = lines.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list("line")).alias("lines"))
     none = F.lit(None).cast(_SEGMENT)
     start = F.struct(F.array().cast(f"array<{_SEGMENT}>").alias("done"), none.alias("cur"))
@@ -32,7 +38,7 @@ def merge_wrapped(lines: DataFrame) -> DataFrame:
         cur = acc["cur"]
         gap = line["y0"] - cur["y1"]
         fits = (
-            cur.isNotNull() & (cur["lines"] < MOST_LINES) & (cur["block_id"] == line["block_id"]) & (gap >= -0.5)
+            cur.isNotNull() & (cur["lines"] < MOST_LINES) & ((cur["block_id"] == line["block_id"]) if within_blocks else F.lit(True)) & (gap >= -0.5)
             & (gap <= F.greatest(cur["y1"] - cur["y0"], F.lit(1)) * GAP) & (F.least(cur["x1"], line["x1"]) - F.greatest(cur["x0"], line["x0"]) > 0)
         )
         space = F.when(cur["text"].endswith(" ") | line["text"].startswith(" "), "").otherwise(" ")
@@ -42,7 +48,7 @@ def merge_wrapped(lines: DataFrame) -> DataFrame:
             line["pos"].alias("last"), F.concat(cur["text"], space, line["text"]).alias("text"),
         ).cast(_SEGMENT)
         closed = F.when(cur.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(cur)))
-        blank = F.trim(line["text"]) == ""
+        blank = line["skip"]
         return F.struct(F.when(blank | ~F.coalesce(fits, F.lit(False)), closed).otherwise(acc["done"]).alias("done"), F.when(blank, none).when(F.coalesce(fits, F.lit(False)), joined).otherwise(begin(line)).alias("cur"))
 
     folded = F.aggregate("lines", start, step, lambda acc: F.when(acc["cur"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))))
@@ -50,26 +56,42 @@ def merge_wrapped(lines: DataFrame) -> DataFrame:
     return each.select("doc_id", "s.first_pos", "s.lines", "s.y1", F.sha2("s.text", 256).alias("text_sha"))
 
 
+# Marks behind which a line that is too long is cut.
+BREAKS = (" ", "\t", "|", ".", "。", "!", "?", "！", "？", ";", "；")
+#: Characters of a line at most.
+MOST_CHARS = 4096
+
+
 def _pieces(text: str, most: int) -> list[str]:
-    """Pieces of at most ``most`` characters, cut behind the last break past the middle, or hard."""
-    out = []
-    while len(text) > most:
-        cut = max(text.rfind(mark, 0, most) for mark in (". ", "; ", ", ", " "))
-        cut = cut + 1 if cut >= most // 2 else most
-        out.append(text[:cut])
-        text = text[cut:].lstrip(" ")
-    return [*out, text]
+    """Pieces of at most ``most`` characters that make up the text: cut behind the last mark, or hard where that is before the middle."""
+    out, at = [], 0
+    while len(text) - at > most:
+        cut = max(text.rfind(mark, at, at + most) for mark in BREAKS) + 1 - at
+        cut = cut if cut >= most // 2 else most
+        out.append(text[at : at + cut])
+        at += cut
+    return [*out, text[at:]] if at < len(text) else out
 
 
-def split_long(docs: DataFrame, most: int = 4096) -> DataFrame:
-    """(doc_id, line, piece, chars): lines cut to a length."""
+def split_long(docs: DataFrame, most: int = MOST_CHARS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, line_id, text): the lines of every text, numbered from 0, none longer than ``most`` characters.
+
+    All kinds of line breaks are one; blank lines don't count; nothing of the others is dropped or rewritten.
+    """
+    narrow = docs.select(F.col(key).alias("key"), F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "\r\n?", "\n").alias("text"))
+    # a text without a long line stays in the JVM
+    long = narrow.where(F.length("text") > most)
+    lines = F.filter(F.split("text", "\n"), lambda t: stripped(t) != "")
+    short = narrow.where(F.length("text") <= most).select("key", F.posexplode(lines).alias("line_id", "text")).select("key", F.col("line_id").cast("long").alias("line_id"), "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(i, n, k, len(p)) for i, t in zip(batch.doc_id, batch.text) for n, line in enumerate((t or "").split("\n")) for k, p in enumerate(_pieces(line, most))]
-            yield pd.DataFrame(rows, columns=["doc_id", "line", "piece", "chars"])
+            for k, said in zip(batch.key, batch.text):
+                pieces = [p for line in said.split("\n") if line.strip() for p in _pieces(line, most)]
+                yield pd.DataFrame({"key": [k] * len(pieces), "line_id": range(len(pieces)), "text": pieces})
 
-    return docs.mapInPandas(run, "doc_id long, line long, piece long, chars long")
+    cut = long.mapInPandas(run, T.StructType([long.schema[0], T.StructField("line_id", T.LongType()), T.StructField("text", T.StringType())]))
+    return short.unionByName(cut).withColumnRenamed("key", key)
 
 
 def cell_lines(items: DataFrame, most: int = 120) -> DataFrame:

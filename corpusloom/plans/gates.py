@@ -9,16 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.dims import FORM_BUCKETS, HIGHER_GRADES, LEAVES, STATUS_RULES, leaf_rows, status_rows
-from ..sources.views import page_lines, registry
+from ..sources.dims import FORM_BUCKETS, LEAVES, STATUS_RULES, leaf_rows, status_rows
+from ..sources.views import registry
 from .dialect import check_sql, spark_query, text, values
 
-#: A selection may name at most so many blocks.
-MAX_BLOCKS = 40
-#: Share of graded documents that get a history of a higher grade.
-HISTORY_RATIO = 0.2
-#: Histories end on this day.
-TODAY = "1998-12-31"
 #: Version of the settings that an extraction's id covers.
 SETTINGS = "v2"
 
@@ -50,27 +44,6 @@ def _first_error(*rules: tuple[Column, str]) -> Column:
 # ------------------------------------------------------------------------------------------ gates
 
 
-@_query(
-    lambda d: """SELECT d.doc_id, coalesce(CASE WHEN l.quality = 1 THEN CASE WHEN d.doc_id % 5 <> 0 THEN true WHEN d.doc_id % 7 = 0 THEN false ELSE l.toxic = 0 END ELSE false END, false) AS commits
-FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id"""
-)
-def commit_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted results are committed; those restored from masks only if a verdict exists and accepts them too.
-
-    A missing status, or a missing verdict on the mask route, never commits.
-    """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
-    rows = docs.join(labels, "doc_id", "left").select(
-        "doc_id",
-        F.when(F.col("quality") == 1, "accepted_s").when(F.col("quality") == 0, "rejected").alias("status"),
-        F.when(F.col("doc_id") % 5 == 0, "mask_restoration").otherwise("direct").alias("route"),
-        F.when(F.col("doc_id") % 7 == 0, F.lit(None)).when(F.col("toxic") == 0, "accepted_s").otherwise("rejected").alias("verdict"),
-    )
-    accepted = F.col("status").eqNullSafe("accepted_s")
-    return rows.select("doc_id", (accepted & (~F.col("route").eqNullSafe("mask_restoration") | F.col("verdict").eqNullSafe("accepted_s"))).alias("commits"))
-
-
 @_query(
     lambda d: f"""SELECT source, doc_type, CASE WHEN status IS NULL OR NOT (status = 'complete' OR (status = 'partial' AND allow_partial)) THEN 'not complete'
 WHEN coalesce(run_id, '') = '' THEN 'no run_id' WHEN counts IS NULL THEN 'no counts' WHEN coalesce(rule_version, '') = '' THEN 'no rule_version' END AS error
@@ -162,57 +135,6 @@ def near_miss_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", F.array_join(F.transform(kept, lambda n: n["sub"]), ",").alias("kept"))
 
 
-@_query(
-    lambda d: f"""WITH b AS (SELECT DISTINCT doc_id, block_id FROM {page_lines(d)} p), a AS (SELECT doc_id, block_id, block_id AS known FROM b WHERE doc_id % 13 = 0 OR block_id % 3 = doc_id % 4 UNION ALL SELECT doc_id, -1, NULL FROM b WHERE doc_id % 11 = 0 GROUP BY doc_id)
-SELECT b.doc_id, CASE WHEN n > 40 THEN 'too many blocks' WHEN bad > 0 THEN 'unknown blocks' WHEN coalesce(n, 0) = 0 THEN 'no blocks' END AS error, CASE WHEN n <= 40 AND bad = 0 THEN ids END AS blocks
-FROM (SELECT DISTINCT doc_id FROM b) b LEFT JOIN (SELECT doc_id, count(*) AS n, count(*) - count(known) AS bad, string_agg(CAST(block_id AS VARCHAR), ',' ORDER BY block_id) AS ids FROM a GROUP BY doc_id) s ON b.doc_id = s.doc_id"""
-)
-def final_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answered block ids must be known, at most MAX_BLOCKS and at least one; they come back in the order of the source."""
-    blocks = spark_query(lambda d: f"SELECT DISTINCT doc_id, block_id FROM {page_lines(d)} p")(spark, sf_dir)
-    chosen = (F.col("doc_id") % 13 == 0) | (F.col("block_id") % 3 == F.col("doc_id") % 4)
-    # a document has as many blocks as its text has lines by four; past the limit they are only counted
-    own = blocks.groupBy("doc_id").agg(F.count(F.when(chosen, 1)).alias("found"), F.array_sort(F.collect_list(F.when(chosen, F.col("block_id")))).alias("ids"))
-    stray = F.when(F.col("doc_id") % 11 == 0, 1).otherwise(0)
-    rows = own.select("doc_id", "ids", (F.col("found") + stray).alias("n"), stray.alias("unknown"))
-    error = _first_error((F.col("n") > MAX_BLOCKS, "too many blocks"), (F.col("unknown") > 0, "unknown blocks"), (F.col("n") == 0, "no blocks"))
-    return rows.select("doc_id", error.alias("error"), F.when(error.isNull(), F.array_join("ids", ",")).alias("blocks"))
-
-
-@_query(
-    lambda d: """SELECT conv_id, turn, CASE WHEN NOT contains(squeezed, regexp_replace(said, '\\s+', '', 'g')) THEN 'subject is not in its block'
-WHEN turn % 5 = 0 THEN 'spans of several blocks' WHEN NOT contains(link, regexp_replace(said, '\\s+', '', 'g')) THEN 'link lacks the subject' WHEN NOT contains(link, val) THEN 'link lacks the value' END AS error
-FROM (SELECT conv_id, turn, CASE WHEN turn % 7 = 0 THEN concat(chr(1), substr(text, 1, 5)) ELSE concat(' ', substr(text, 3, 6)) END AS said, regexp_replace(text, '\\s+', '', 'g') AS squeezed,
-regexp_replace(substr(text, 1, CASE WHEN turn % 2 = 0 THEN 12 ELSE 6 END), '\\s+', '', 'g') AS link, regexp_replace(substr(text, 8, 4), '\\s+', '', 'g') AS val FROM {conversations} WHERE text IS NOT NULL) x"""
-)
-def assertion_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Subject, value and link must be quoted from one block, and the link must hold the other two; blanks don't count."""
-    bare = lambda c: F.regexp_replace(c, r"\s+", "")
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").where("text IS NOT NULL")
-    rows = turns.select(
-        "conv_id",
-        "turn",
-        bare("text").alias("block"),
-        bare(F.when(F.col("turn") % 7 == 0, F.concat(F.chr(F.lit(1)), F.substring("text", 1, 5))).otherwise(F.concat(F.lit(" "), F.substring("text", 3, 6)))).alias("subject"),
-        bare(F.substring("text", 8, 4)).alias("val"),
-        bare(F.when(F.col("turn") % 2 == 0, F.substring("text", 1, 12)).otherwise(F.substring("text", 1, 6))).alias("link"),
-        F.when(F.col("turn") % 5 == 0, F.lit(2)).otherwise(F.lit(1)).alias("blocks"),
-    )
-    lacks = lambda whole, part: ~F.contains(F.col(whole), F.col(part))
-    return rows.select(
-        "conv_id",
-        "turn",
-        _first_error(
-            (lacks("block", "subject"), "subject is not in its block"),
-            (lacks("block", "val"), "value is not in its block"),
-            (lacks("block", "link"), "link is not in its block"),
-            (F.col("blocks") > 1, "spans of several blocks"),
-            (lacks("link", "subject"), "link lacks the subject"),
-            (lacks("link", "val"), "link lacks the value"),
-        ).alias("error"),
-    )
-
-
 # ----------------------------------------------------------------------------- look-ups and choices
 
 
@@ -235,26 +157,6 @@ def admin_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_type", F.explode(F.coalesce(kinds[F.col("doc_type")], F.array(F.lit("")))).alias("status"), "documents").groupBy("doc_type", "status").agg(F.sum("documents").alias("documents"))
 
 
-@_query(
-    lambda d: f"""SELECT id, old_grade, CAST(produced + CAST(1 + CAST(concat('0x', substr(h, 9, 7)) AS BIGINT) % (DATE '{TODAY}' - produced) AS INT) AS DATE) AS changed_on
-FROM (SELECT *, CASE WHEN grade = '2급' THEN '1급' WHEN CAST(concat('0x', substr(h, 17, 7)) AS BIGINT) % 2 = 0 THEN '1급' ELSE '2급' END AS old_grade FROM (
-SELECT id, production_date AS produced, sha256(concat('history/', CAST(id AS VARCHAR))) AS h, {_sql_nth('id % 4', ('1급', '2급', '3급', None))} AS grade FROM {registry(d)} r) x
-WHERE grade IN ('2급', '3급') AND produced < DATE '{TODAY}' AND CAST(concat('0x', substr(h, 1, 8)) AS BIGINT) / 4294967295.0 < {HISTORY_RATIO}) y"""
-)
-def grade_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A share of graded documents once had a higher grade, changed after the production and not after today.
-
-    The choices follow the hash of the id, so that reruns agree.
-    """
-    rows = _registry(spark, sf_dir).select("id", F.col("production_date").alias("produced"), _nth(F.col("id") % 4, ("1급", "2급", "3급", None)).alias("grade"), F.sha2(F.concat(F.lit("history/"), "id"), 256).alias("h"))
-    number = lambda start, size: F.conv(F.substring("h", start, size), 16, 10).cast("long")
-    higher = F.create_map(*(x for grade, above in HIGHER_GRADES.items() for x in (F.lit(grade), F.array(*map(F.lit, above)) if above else F.array().cast("array<string>"))))
-    rows = rows.withColumn("above", higher[F.col("grade")])
-    rows = rows.where((F.size("above") > 0) & (F.col("produced") < F.lit(TODAY).cast("date")) & (number(1, 8) / F.lit(4294967295.0) < HISTORY_RATIO))
-    days = F.datediff(F.lit(TODAY).cast("date"), "produced")
-    return rows.select("id", F.element_at("above", (number(17, 7) % F.size("above") + 1).cast("int")).alias("old_grade"), F.date_add("produced", (1 + number(9, 7) % days).cast("int")).alias("changed_on"))
-
-
 @_query(lambda d: f"SELECT ordering_agency, concat('{{', string_agg(concat('\"', doc_type, '\":', n), ',' ORDER BY doc_type), '}}') AS counters FROM (SELECT ordering_agency, doc_type, CAST(count(*) AS VARCHAR) AS n FROM {registry(d)} r GROUP BY 1, 2) x GROUP BY 1")
 def type_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of an agency as a map sorted by key, written as JSON."""

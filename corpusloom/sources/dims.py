@@ -221,6 +221,14 @@ APPROVAL_COLUMNS = ("기안", "검토", "결재")
 BULLETS = ("□", "○", "◦", "ㅇ", "-", "•", "‣", "*", "※", "▶", "→")
 
 
+# What a changed grade rests on, and who signs for it.
+GRADE_BASES = ("군사기밀 보호법 시행령 제7조", "정기 재분류 심사 결과", "군사기밀 보호업무 훈령 재분류 기준")
+GRADE_RANKS = ("대령", "중령", "소령", "준장")
+GRADE_POSITIONS = ("보안담당관", "정보보호담당관", "기획관리참모", "군사보안실장")
+GRADE_NAMES = ("김도현", "이준서", "박서준", "최지훈", "정하율")
+# The field that a scenario of personal data must have.
+SCENARIO_FIELDS = {2: "가구원 현황", 3: "검진결과", 5: "신주소", 6: "인사사항", 7: "인사사항"}
+
 
 def leaf_rows() -> list[tuple[str, str, str, str]]:
     """(class, clause, subclause, document type) of every leaf."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -100,3 +101,33 @@ def published(spark: SparkSession, root: str) -> DataFrame:
 def accept_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     """Old and new rows under one schema: columns that either lacks are null."""
     return old.select("*").unionByName(new, allowMissingColumns=True)
+
+
+#: Suffixes of documents, and of files that are nobody's business here.
+KEPT, SKIPPED, SKIPPED_NAMES = ("pdf", "hwp", "hwpx"), ("json", "jsonl"), (".DS_Store",)
+
+
+def deletion_targets(found: DataFrame, root: str, own: str = "extracted") -> DataFrame:
+    """``found`` (path, content: the first bytes at least) with ``reason``, only what should be deleted: another *suffix* than documents have, or a *stub*, a web page under a document's name.
+
+    Files below ``root``/``own`` are this library's outputs and are never named.
+    """
+    name = F.element_at(F.split("path", "/"), -1)
+    suffix = F.lower(F.regexp_extract(name, r".\.([^.]+)$", 1))
+    ours = F.contains("path", F.lit(f"{root.rstrip('/')}/{own}/"))
+    head = F.lower(F.decode(F.substring("content", 1, 256), "iso-8859-1"))
+    reason = F.when(~suffix.isin(*KEPT), "suffix").when(F.contains(head, F.lit("<html")) | F.contains(head, F.lit("<!doctype html")), "stub")
+    return found.where(~ours & ~name.isin(*SKIPPED_NAMES) & ~suffix.isin(*SKIPPED)).withColumn("reason", reason).where("reason IS NOT NULL")
+
+
+def parse_weights(text: str | None, categories: Sequence[str]) -> dict[str, float]:
+    """Weights of all categories from a JSON object; equal ones without a text. Missing or unknown categories are an error."""
+    if text is None:
+        return {c: 1.0 / len(categories) for c in categories}
+    weights = json.loads(text)
+    if not isinstance(weights, dict):
+        raise ContractError("weights must be a JSON object")
+    for what, stray in (("missing", set(categories) - set(weights)), ("unknown", set(weights) - set(categories))):
+        if stray:
+            raise ContractError(f"{what} categories: {sorted(stray)}")
+    return {k: float(v) for k, v in weights.items()}
