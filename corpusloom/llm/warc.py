@@ -42,6 +42,8 @@ MIN_REVISIT_BYTES = 100
 SALTS = 16
 PACKAGE_BYTES = 256 << 20
 READ_BYTES = 8 << 20
+#: Tasks that read records at most; and records whose places one task looks up.
+MOST_TASKS, LOCATED = 100_000, 500_000
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
 
 
@@ -222,7 +224,12 @@ def stored_at(source: pa.NativeFile, member: Member) -> int:
 
 
 def locate_records(packages: DataFrame) -> DataFrame:
-    """(path, offset, length) of every record of the packages in column ``path``, from their directories and indexes."""
+    """(path, offset, length) of every record of the packages of a manifest (path, records), from their directories and indexes.
+
+    As many tasks as the packages' records need, and no fewer than are usual in the session, if there are as many packages.
+    """
+    known = packages.agg(F.count(F.lit(1)).alias("n"), F.sum("records").alias("records")).first()
+    tasks = max(1, min(known.n, max(int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(known.records or 0) // LOCATED))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,7 +242,7 @@ def locate_records(packages: DataFrame) -> DataFrame:
                 found = [json.loads(x) for x in index.decode().splitlines()]
                 yield pa.RecordBatch.from_arrays([pa.array([path] * len(found), pa.string()), pa.array([base + x["offset"] for x in found], pa.int64()), pa.array([x["length"] for x in found], pa.int64())], names=["path", "offset", "length"])
 
-    return packages.select("path").repartition("path").mapInArrow(run, "path string, offset long, length long")
+    return packages.select("path").repartition(tasks, "path").mapInArrow(run, "path string, offset long, length long")
 
 
 _FIELDS = {"page_id": pa.int64(), "url": pa.string(), "record_type": pa.string(), "payload_digest": pa.string(), "payload_bytes": pa.int64(), "refers_to": pa.int64(), "payload": pa.binary()}
@@ -271,8 +278,10 @@ def read_records(located: DataFrame, columns: tuple[str, ...] = tuple(_FIELDS))
 
     # as many tasks as the bytes need, said outright: the rows are tiny, and would all be put together
     located = materialize(located.select("path", "offset", "length"), "warc-located")
-    tasks = max(1, -(-(located.agg(F.sum("length")).first()[0] or 0) // READ_BYTES))
-    dealt = located.withColumn("part", F.floor(F.col("offset") / READ_BYTES)).repartition(tasks, "path", "part").sortWithinPartitions("path", "offset")
+    total = located.agg(F.sum("length")).first()[0] or 0
+    share = max(READ_BYTES, -(-total // MOST_TASKS))
+    tasks = max(1, -(-total // share))
+    dealt = located.withColumn("part", F.floor(F.col("offset") / share)).repartition(tasks, "path", "part").sortWithinPartitions("path", "offset")
     return dealt.select("path", "offset", "length").mapInArrow(run, ", ".join(f"{c} {kinds[str(_FIELDS[c])]}" for c in columns))
 
 
