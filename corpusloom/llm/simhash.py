@@ -179,7 +179,8 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     Which rows stay is found on rows of a few numbers; the texts are exchanged once, by key and hash.
     """
-    place, tag = "near_dup_key", "near_dup_tag"
+    taken = {c.lower() for c in docs.columns}
+    place, tag = (next(n for n in (f"near_dup_{name}{'_' * i}" for i in range(len(taken) + 1)) if n not in taken) for name in ("key", "tag"))
     own = docs.select("*", F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias(place), F.xxhash64(text).alias(tag))
     marked = fingerprints(docs.select(F.struct(F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias(place), F.xxhash64(text).alias(tag)).alias("who"), F.col(text).alias("text")), "who", "text")
     marked = materialize(marked, "fingerprints")
