@@ -80,6 +80,8 @@ def test_simhash(spark, odd, nothing):
     classes = brute_components([(k, r.text or "") for k, r in enumerate(odd.collect())])
     assert kept.count() == len({c for _, _, c in classes})
     assert simhash.drop_near_duplicates(nothing).count() == 0
+    clash = odd.withColumn("near_dup_key", F.lit(1)).withColumn("Near_Dup_Tag", F.lit("x"))
+    assert simhash.drop_near_duplicates(clash).columns == clash.columns and simhash.drop_near_duplicates(clash).count() == kept.count()
 
 
 @pytest.mark.parametrize("large", [simhash.LARGE, 30])
@@ -146,19 +148,53 @@ def test_mixing_repeats_epochs(spark):
     assert sum(r.taken for r in rows) == sum(r.size for r in rows)
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_decontamination(spark, odd, nothing, limit):
+def brute_windows(docs, items, window=10):
+    """{document: (words hit, items)} by comparing every window at every place."""
+    cut = lambda t: [w for w in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c if ord(c) > 127 or c.isalnum() else " " for c in t or "").split(" ") if w]
+    wanted = {}
+    for i, t in items:
+        w = cut(t)
+        for k in range(max(1, len(w) - window + 1)) if w else ():
+            wanted.setdefault(tuple(w[k : k + window]), set()).add(str(i))
+    out = {}
+    for i, t in docs:
+        w, hit, ids = cut(t), set(), set()
+        for n in {len(x) for x in wanted}:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in wanted:
+                    hit |= set(range(k, k + n))
+                    ids |= wanted[tuple(w[k : k + n])]
+        out[i] = (len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"buckets": 3}, {"hot_share": 1 << 40}])
+def test_decontamination_finds_every_window(spark, options):
+    rng = np.random.default_rng(8)
+    common = ["the", "of", "a", "Der", "é", "wort"]
+    docs = [(i, " ".join(rng.choice(common if rng.random() < 0.8 else [f"r{rng.integers(40)}"]) for _ in range(int(rng.integers(0, 60))))) for i in range(150)]
+    items = [(i, " ".join(rng.choice(common) for _ in range(int(rng.integers(1, 14))))) for i in range(40)] + [(50, "the"), (51, "The"), (52, "unheard of"), (53, "")]
+    items += [(60 + i, " ".join(t.split()[3:18])) for i, t in docs[:30]]
+    frames = [spark.createDataFrame(rows, f"{key} long, text string, hit_key int, w int") for key, rows in (("doc_id", [(*d, 1, 2) for d in docs]), ("item_id", [(*i, 1, 2) for i in items]))]
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256) for r in decontam.contamination(*frames, **options).collect()}
+    assert got == brute_windows(docs, items)
+    left = decontam.drop_contaminated(*frames, **options)
+    assert left.columns == frames[0].columns and {r.doc_id for r in left.collect()} == {i for i, (n, _, _) in got.items() if not n}
+
+
+@pytest.mark.parametrize("options", [{}, {"buckets": 1, "hot_share": 1 << 40}])
+def test_decontamination(spark, odd, nothing, options):
     items = spark.createDataFrame([(1, " ".join(f"W{i}" for i in range(100, 115))), (2, "a, B!"), (3, None), (4, "..."), (2, "one"), (5, " ".join(f"q{i}" for i in range(12)))], "item_id long, text string")
-    rows = decontam.contamination(odd, items, broadcast_windows=limit).collect()
+    rows = decontam.contamination(odd, items, **options).collect()
     assert len(rows) == odd.count()
     words = [f"w{i}" for i in range(200)]
     got = {(r.doc_id, r.n_words): r for r in rows}
     hit = got[(24, len(words))]
     assert (hit.n_hit, hit.n_items, hit.contaminated) == (15, 1, True) and hit.items_sha256 == hashlib.sha256(b"1").hexdigest()
     assert (got[(12, 2)].n_hit, got[(9, 1)].n_hit, got[(0, 0)].n_hit) == (2, 1, 0)
-    assert decontam.contamination(nothing, items, broadcast_windows=limit).count() == 0
-    assert decontam.contamination(odd, items.limit(0), broadcast_windows=limit).where("contaminated").count() == 0
-    left = decontam.drop_contaminated(odd, items, broadcast_windows=limit)
+    assert decontam.contamination(nothing, items, **options).count() == 0
+    assert decontam.contamination(odd, items.limit(0), **options).where("contaminated").count() == 0
+    left = decontam.drop_contaminated(odd, items, **options)
     assert left.columns == odd.columns and left.count() == sum(not r.contaminated for r in rows)
 
 
@@ -221,6 +257,7 @@ def test_warc(spark):
     df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, digest int")
     packages = warc.write_packages(df, fresh_path(spark, "t"), package_bytes=300)
     assert packages.count() > 3
+    assert packages.count() > 1 and warc.locate_records(packages).rdd.getNumPartitions() > 1
     out = warc.read_records(warc.locate_records(packages)).collect()
     got = sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in out)
     want = []
