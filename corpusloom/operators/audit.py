@@ -46,7 +46,7 @@ def summaries(rows: DataFrame, numbers: str = "compat", columns: tuple[str, ...]
     """
     said = rows.where("status = 'ok'").withColumn("said", X.combined(X.nfc(F.col("title")), X.nfc(F.col("body_text"))))
     narrow = said.select(
-        "row_id", "arrival", "clause_no", "coverage_cell_key", "template_id", "agency_category", "seed_candidate_id", "seed_extraction_id",
+        "row_id", "arrival", "clause_no", "document_status", "coverage_cell_key", "template_id", "agency_category", "seed_candidate_id", "seed_extraction_id",
         F.length(F.coalesce("body_text", F.lit(""))).cast("long").alias("body_length"),
         F.sha2("said", 256).alias("raw_hash"),
         X.normalized_hash(F.col("said"), F.col("ordering_agency"), numbers).alias("normalized_hash"),
@@ -107,6 +107,26 @@ def central_row(summary: DataFrame, group: str) -> DataFrame:
     return near.groupBy(group).agg(F.min(place).alias("place")).select(group, F.col("place.row_id").alias("row_id"))
 
 
+def content_samples(rows: DataFrame, summary: DataFrame, axes: dict[str, tuple[str, ...]]) -> DataFrame:
+    """(sample_rank, sample_axis, sample_value, sample_status, row_id, and the rest of the row): for each value of each axis the row next to the median length.
+
+    ``axes`` names the columns and their values, in order; a value without rows is *missing*, with an
+    empty id. A row may stand for several values. Only the chosen rows' texts are read again.
+    """
+    spark = rows.sparkSession
+    wanted = [(i, axis, value) for i, (axis, value) in enumerate(((a, v) for a, values in axes.items() for v in values), 1)]
+    cells = spark.createDataFrame(wanted, "sample_rank long, sample_axis string, sample_value string")
+    chosen = None
+    for axis, values in axes.items():
+        one = central_row(summary.where(F.col(axis).isin(*values)), axis).select(F.lit(axis).alias("c_axis"), F.col(axis).alias("c_value"), F.col("row_id").alias("c_id"))
+        chosen = one if chosen is None else chosen.unionByName(one)
+    found = cells.join(chosen, (F.col("sample_axis") == F.col("c_axis")) & (F.col("sample_value") == F.col("c_value")), "left").drop("c_axis", "c_value")
+    found = written(found, "content-samples")  # a row a value
+    full = rows.join(F.broadcast(found.select(F.col("c_id").alias("row_id")).distinct()), "row_id", "left_semi")
+    status = F.when(F.col("c_id").isNull(), "missing").otherwise("ok")
+    return found.join(full, F.col("c_id") == F.col("row_id"), "left").select("sample_rank", "sample_axis", "sample_value", status.alias("sample_status"), F.coalesce("c_id", F.lit("")).alias("row_id"), *(c for c in rows.columns if c != "row_id"))
+
+
 def central_rows(summary: DataFrame, group: str) -> DataFrame:
     """Rows of each group in the order of their distance from its median length; ``place`` counts from 1."""
     near = summary.join(upper_median(summary, group), group).withColumn("distance", F.abs(F.col("body_length") - F.col("median")))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import json as J
-from ..sources.dims import GRADE_BASES, GRADE_NAMES, GRADE_POSITIONS, GRADE_RANKS, HIGHER_GRADES, SCENARIO_FIELDS
+from ..sources.dims import CONFLICTING_SUBCLAUSES, GRADE_BASES, GRADE_NAMES, GRADE_POSITIONS, GRADE_RANKS, HIGHER_GRADES, NATIVE_SUBCLAUSES, SCENARIO_FIELDS
 
 #: Days after the production in which a grade may have been changed.
 MOST_DAYS = 730
@@ -146,3 +146,17 @@ def finalized_selections(answers: DataFrame, current: DataFrame, candidates: Dat
         "doc_id", "error", F.when(fine, F.array_sort(F.array_distinct(F.transform("found", lambda b: b["page_number"])))).alias("pages"),
         F.when(fine, F.transform("found", lambda b: b["block_id"])).alias("block_ids"), F.when(fine, digest).alias("selection_sha256"),
     )
+
+
+#: The subclauses that texts are generated for.
+TARGET_SUBCLAUSES = NATIVE_SUBCLAUSES["meeting_minutes"]
+
+
+def form_levels(rows: DataFrame, form: str = "document_form", subclause: str = "subclause") -> DataFrame:
+    """``rows`` with (level, error): how well a document form carries a subclause: *conflict* before *native*, else *bridge*; unknown forms and subclauses are errors."""
+    table = lambda of: F.create_map(*(x for name, subs in of.items() for x in (F.lit(name), F.array(*map(F.lit, subs)) if subs else F.array().cast("array<string>"))))[F.col(form)]
+    error = F.when(~F.coalesce(F.col(form).isin(*NATIVE_SUBCLAUSES), F.lit(False)), F.concat(F.lit("unknown form: "), F.coalesce(form, F.lit("null")))).when(
+        ~F.coalesce(F.col(subclause).isin(*TARGET_SUBCLAUSES), F.lit(False)), F.concat(F.lit("unsupported subclause: "), F.coalesce(subclause, F.lit("null")))
+    )
+    level = F.when(F.array_contains(table(CONFLICTING_SUBCLAUSES), F.col(subclause)), "conflict").when(F.array_contains(table(NATIVE_SUBCLAUSES), F.col(subclause)), "native").otherwise("bridge")
+    return rows.select(*rows.columns, F.when(error.isNull(), level).alias("level"), error.alias("error"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import PLACEHOLDERS
 from ..operators import audit as A
 from ..operators import sampling as S
+from ..sources.dims import STATUSES
 from ..sources.views import audit_rows
 from .dialect import DUCK, Spark, check_sql, spark_query
 
@@ -125,11 +126,17 @@ def _templates(spark, sf_dir):
     return _summary(spark, sf_dir).groupBy("agency_category", "template_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: The axes of the content samples: clauses, then administrative statuses.
+_AXES = {"clause_no": tuple(str(i) for i in range(1, 9)), "document_status": STATUSES}
+
+
 def _content_samples(spark, sf_dir):
-    axis = spark.range(1, 9).select(F.col("id").cast("string").alias("sample_value"), F.col("id").alias("sample_rank"))
-    summary = A.summaries(rows_of(spark, sf_dir), columns=("clause_no", "body_length", "normalized_hash", "row_id"))
-    chosen = A.central_row(summary, "clause_no").select(F.col("clause_no").alias("sample_value"), "row_id")
-    return axis.join(chosen, "sample_value", "left").select("sample_rank", "sample_value", F.when(F.col("row_id").isNull(), "missing").otherwise("ok").alias("sample_status"), F.coalesce("row_id", F.lit("")).alias("row_id"))
+    """A row for each clause and each status, as it is, or that there is none."""
+    columns = ("row_id", "status", "cso_classification", "clause_no", "cso_subclause_key", "doc_type", "document_status", "coverage_cell_key", "title", "body_text")
+    rows = rows_of(spark, sf_dir)
+    summary = A.summaries(rows, columns=("clause_no", "document_status", "body_length", "normalized_hash", "row_id"))
+    found = A.content_samples(rows.where("status = 'ok'").select(*columns), summary, _AXES)
+    return found.withColumn("body_sha", F.sha2("body_text", 256)).drop("body_text", "status")
 
 
 _QUOTA = 10
@@ -181,7 +188,14 @@ ORACLE = {
     "structure_fingerprints": _duck("SELECT row_id, fingerprint, body_length FROM summary"),
     "format_concentration": _duck("SELECT count(*)::BIGINT AS distinct_fingerprints, arg_max(fingerprint, n * 1000000000000 - first) AS largest_fingerprint, max(n)::BIGINT AS largest_count, max(n)::DOUBLE / sum(n)::DOUBLE AS largest_share FROM (SELECT fingerprint, count(*) AS n, min(arrival) AS first FROM summary GROUP BY fingerprint)"),
     "agency_template_counts": _duck("SELECT agency_category, template_id, count(*)::BIGINT AS n FROM summary GROUP BY ALL"),
-    "content_samples": _duck("SELECT i AS sample_rank, i::VARCHAR AS sample_value, CASE WHEN row_id IS NULL THEN 'missing' ELSE 'ok' END AS sample_status, coalesce(row_id, '') AS row_id FROM (SELECT range AS i FROM range(1, 9)) LEFT JOIN (SELECT * FROM central WHERE place = 1) ON clause_no = i::VARCHAR"),
+    "content_samples": _duck(
+        f""", axes AS ({' UNION ALL '.join(f"SELECT {n} AS sample_rank, '{a}' AS sample_axis, '{v}' AS sample_value" for n, (a, v) in enumerate(((a, v) for a, vs in _AXES.items() for v in vs), 1))}),
+members AS (SELECT 'clause_no' AS axis, clause_no AS val, row_id AS id, body_length AS n, normalized_hash AS h FROM summary UNION ALL SELECT 'document_status', document_status, row_id, body_length, normalized_hash FROM summary),
+middles AS (SELECT axis, val, list_sort(list(n))[count(*) // 2 + 1] AS median FROM members GROUP BY axis, val),
+near AS (SELECT axis, val, id, row_number() OVER (PARTITION BY axis, val ORDER BY abs(n - median), h, id) AS place FROM members JOIN middles USING (axis, val))
+SELECT sample_rank, sample_axis, sample_value, CASE WHEN id IS NULL THEN 'missing' ELSE 'ok' END AS sample_status, coalesce(id, '') AS row_id, a.cso_classification, a.clause_no, a.cso_subclause_key, a.doc_type, a.document_status, a.coverage_cell_key, a.title, sha256(a.body_text) AS body_sha
+FROM axes LEFT JOIN near ON axis = sample_axis AND val = sample_value AND place = 1 LEFT JOIN aud a ON a.row_id = id"""
+    ),
     "anomaly_samples": _duck(
         """, cases AS (SELECT 1 AS priority, row_id_a AS row_id, group_size::DOUBLE AS metric_value, 'raw_exact_duplicate' AS reason, 0::DOUBLE AS second, '' AS third FROM groups WHERE metric = 'raw_exact'
 UNION ALL SELECT 2, row_id_a, group_size::DOUBLE, 'normalized_duplicate', 0, '' FROM groups WHERE metric = 'normalized_exact'

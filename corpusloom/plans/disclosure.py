@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from ..operators import disclosure as D
 from ..operators import quotes as Q
 from ..sources import files
-from ..sources.dims import GRADE_BASES, GRADE_NAMES, GRADE_POSITIONS, GRADE_RANKS, SCENARIO_FIELDS
+from ..sources.dims import CONFLICTING_SUBCLAUSES, GRADE_BASES, GRADE_NAMES, GRADE_POSITIONS, GRADE_RANKS, NATIVE_SUBCLAUSES, SCENARIO_FIELDS
 from ..sources.views import page_lines, registry
-from .dialect import check_sql, spark_query, text
+from .dialect import check_sql, spark_query, text, values
 
 #: Share of graded documents that get a history of a higher grade, and the day that ends it.
 HISTORY_RATIO, TODAY = 0.2, "1998-12-31"
@@ -197,6 +197,25 @@ def content_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.content_descriptions(rows, points).select("id", "description")
 
 
+_FORM_AT, _SUB_AT = (*NATIVE_SUBCLAUSES, "unheard_of", None), (*D.TARGET_SUBCLAUSES, "life_body", None)
+
+
+def _level_sql(d) -> str:
+    table = [(f, s, "native") for f, subs in NATIVE_SUBCLAUSES.items() for s in subs] + [(f, s, "conflict") for f, subs in CONFLICTING_SUBCLAUSES.items() for s in subs]
+    return f"""WITH r AS (SELECT {_sql_nth(f'id % {len(_FORM_AT)}', _FORM_AT)} AS form, {_sql_nth(f'(id // {len(_FORM_AT)}) % {len(_SUB_AT)}', _SUB_AT)} AS sub FROM {registry(d)} r)
+SELECT form AS document_form, CASE WHEN form IS NULL OR form = 'unheard_of' OR sub IS NULL OR sub = 'life_body' THEN NULL ELSE coalesce(v.level, 'bridge') END AS level,
+CASE WHEN form IS NULL OR form = 'unheard_of' THEN concat('unknown form: ', coalesce(form, 'null')) WHEN sub IS NULL OR sub = 'life_body' THEN concat('unsupported subclause: ', coalesce(sub, 'null')) END AS error, count(DISTINCT sub) AS subclauses, count(*) AS documents
+FROM r LEFT JOIN {values(table, 'f, s, level')} v ON v.f = form AND v.s = sub GROUP BY 1, 2, 3"""
+
+
+@_query(_level_sql)
+def form_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by form and by how well it carries their subclause, and how many subclauses those are."""
+    n = len(_FORM_AT)
+    rows = _registry(spark, sf_dir).select(_nth(F.col("id") % n, _FORM_AT).alias("document_form"), _nth(F.floor(F.col("id") / n) % len(_SUB_AT), _SUB_AT).alias("subclause"))
+    return D.form_levels(rows).groupBy("document_form", "level", "error").agg(F.count_distinct("subclause").alias("subclauses"), F.count(F.lit(1)).alias("documents"))
+
+
 # --------------------------------------------------------------------------------------------- files
 
 

@@ -229,6 +229,47 @@ GRADE_NAMES = ("김도현", "이준서", "박서준", "최지훈", "정하율")
 # The field that a scenario of personal data must have.
 SCENARIO_FIELDS = {2: "가구원 현황", 3: "검진결과", 5: "신주소", 6: "인사사항", 7: "인사사항"}
 
+# Subclauses that each document form is natural for.
+NATIVE_SUBCLAUSES = {
+    "meeting_minutes": ("audit_inspection", "bid_contract", "personnel_management", "decision_review", "technology_development", "personnel_pii", "petitioner_pii", "subject_pii", "welfare_pii", "business_strategy", "ma_terms", "security_diagnosis", "technology_patent", "unit_cost", "cornering", "real_estate_speculation"),
+    "official_letter": ("decision_review",),
+    "report": ("decision_review", "technology_development", "personnel_pii", "petitioner_pii", "welfare_pii", "ma_terms", "technology_patent", "unit_cost", "cornering", "real_estate_speculation"),
+    "audit_material": ("audit_inspection", "personnel_pii", "petitioner_pii", "subject_pii", "welfare_pii"),
+    "personnel_material": ("personnel_management", "personnel_pii", "subject_pii"),
+    "bid_material": ("bid_contract", "unit_cost"),
+    "approval_request": ("audit_inspection", "bid_contract", "personnel_management", "decision_review", "technology_development", "personnel_pii", "petitioner_pii", "subject_pii", "welfare_pii", "ma_terms", "security_diagnosis", "technology_patent", "unit_cost", "cornering", "real_estate_speculation"),
+    "reply_notice": ("personnel_pii", "petitioner_pii", "subject_pii", "welfare_pii"),
+    "policy_material": (),
+    "plan_draft": ("audit_inspection", "decision_review", "technology_development", "business_strategy", "ma_terms", "technology_patent", "unit_cost", "cornering", "real_estate_speculation"),
+    "legal_review": ("audit_inspection", "bid_contract", "personnel_management", "decision_review", "technology_development", "personnel_pii", "petitioner_pii", "subject_pii", "welfare_pii", "business_strategy", "ma_terms", "technology_patent", "unit_cost", "cornering", "real_estate_speculation"),
+    "inspection_report": ("security_diagnosis",),
+    "response_plan": ("personnel_pii", "welfare_pii", "security_diagnosis", "cornering"),
+    "investigation_report": ("petitioner_pii", "subject_pii"),
+    "press_release": (),
+    "administrative_rule": (),
+    "other": (),
+}
+# Subclauses that contradict each document form.
+CONFLICTING_SUBCLAUSES = {
+    "meeting_minutes": (),
+    "official_letter": (),
+    "report": ("security_diagnosis",),
+    "audit_material": ("decision_review", "security_diagnosis"),
+    "personnel_material": ("bid_contract", "decision_review", "technology_development", "business_strategy", "ma_terms", "security_diagnosis", "technology_patent", "unit_cost", "cornering", "real_estate_speculation"),
+    "bid_material": ("audit_inspection", "personnel_management", "decision_review", "technology_development", "personnel_pii", "petitioner_pii", "subject_pii", "welfare_pii", "ma_terms", "real_estate_speculation"),
+    "approval_request": (),
+    "reply_notice": (),
+    "policy_material": ("audit_inspection", "bid_contract", "personnel_management", "decision_review", "technology_development", "personnel_pii", "petitioner_pii", "subject_pii", "welfare_pii", "ma_terms", "security_diagnosis"),
+    "plan_draft": ("subject_pii",),
+    "legal_review": (),
+    "inspection_report": ("audit_inspection", "bid_contract", "personnel_management", "decision_review", "business_strategy", "ma_terms", "unit_cost"),
+    "response_plan": ("audit_inspection", "bid_contract", "personnel_management"),
+    "investigation_report": ("personnel_pii", "welfare_pii"),
+    "press_release": ("personnel_pii", "petitioner_pii", "subject_pii", "welfare_pii", "security_diagnosis", "technology_patent", "unit_cost"),
+    "administrative_rule": ("decision_review", "personnel_pii", "petitioner_pii", "subject_pii", "welfare_pii", "business_strategy", "ma_terms", "security_diagnosis", "technology_patent", "unit_cost"),
+    "other": (),
+}
+
 
 def leaf_rows() -> list[tuple[str, str, str, str]]:
     """(class, clause, subclause, document type) of every leaf."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..plans.dialect import Spark, any_end, any_in, first_of, text
-from .dims import DEFAULT_SUBCLAUSE
+from .dims import DEFAULT_SUBCLAUSE, STATUSES
 
 AGENCIES = ("고용노동부", "서울특별시교육청", "한국개발연구원", "부산광역시", "국립암센터", "방송통신위원회", "한국철도공사")
 _NTH = lambda x, names: f"CASE {x} " + " ".join(f"WHEN {i} THEN {text(n)}" for i, n in enumerate(names[:-1])) + f" ELSE {text(names[-1])} END"
@@ -40,6 +40,7 @@ SELECT concat('row-', CAST(d.doc_id AS STRING)) AS row_id, d.doc_id AS arrival,
  d.lang AS template_id,
  concat('cand-', CAST(d.doc_id % 300 AS STRING)) AS seed_candidate_id,
  concat('ext-', CAST(d.doc_id % 120 AS STRING)) AS seed_extraction_id,
+ {_NTH('d.doc_id % 20', (*STATUSES[:10], 'unheard_of', ''))} AS document_status,
  CAST(d.doc_id AS STRING) AS coverage_slot
 FROM {{documents}} d LEFT JOIN {{labels}} l ON d.doc_id = l.doc_id)))"""
 

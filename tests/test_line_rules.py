@@ -193,3 +193,12 @@ def test_deletion_targets_and_weights(spark):
     for bad, said in (("[1]", "object"), ('{"a": 1}', "missing"), ('{"a": 1, "b": 1, "c": 1}', "unknown")):
         with pytest.raises(files.ContractError, match=said):
             files.parse_weights(bad, "ab")
+
+
+def test_form_levels(spark):
+    every = [(f, s) for f in D.NATIVE_SUBCLAUSES for s in D.TARGET_SUBCLAUSES]
+    assert len(every) == 272 and not any(set(D.NATIVE_SUBCLAUSES[f]) & set(D.CONFLICTING_SUBCLAUSES[f]) for f in D.NATIVE_SUBCLAUSES)
+    got = {(r.document_form, r.subclause): (r.level, r.error) for r in D.form_levels(spark.createDataFrame([*every, ("x", "cornering"), ("report", "life_body"), (None, None)], "document_form string, subclause string")).collect()}
+    assert got["report", "security_diagnosis"] == ("conflict", None) and got["bid_material", "unit_cost"] == ("native", None) and got["other", "cornering"] == ("bridge", None)
+    assert got["x", "cornering"] == (None, "unknown form: x") and got["report", "life_body"] == (None, "unsupported subclause: life_body") and got[None, None] == (None, "unknown form: null")
+    assert {level: sum(g == (level, None) for g in got.values()) for level in ("native", "conflict", "bridge")} == {"native": sum(map(len, D.NATIVE_SUBCLAUSES.values())), "conflict": sum(map(len, D.CONFLICTING_SUBCLAUSES.values())), "bridge": 272 - sum(map(len, (*D.NATIVE_SUBCLAUSES.values(), *D.CONFLICTING_SUBCLAUSES.values())))}
