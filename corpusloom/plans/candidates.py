@@ -57,7 +57,7 @@ def keyword_evidence(d: Spark) -> str:
 @plan
 def personal_labels(d: Spark) -> str:
     """Short lines with a label of personal data and no official's title."""
-    return f"{_lines(d)}, c AS (SELECT line_key, substr(text, 18, 16) AS said FROM l) SELECT line_key, {d.matches('said', PERSON_LABEL)} AND length(said) <= 40 AND NOT {d.matches('said', OFFICIAL_TITLE)} AS personal, 5 AS score FROM c WHERE {d.matches('said', PERSON_LABEL)}"
+    return f"{_lines(d)}, c AS (SELECT line_key, text AS said FROM l) SELECT line_key, {d.matches('said', PERSON_LABEL)} AND length(said) <= 40 AND NOT {d.matches('said', OFFICIAL_TITLE)} AS personal, 5 AS score FROM c WHERE {d.matches('said', PERSON_LABEL)}"
 
 
 @plan
