@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.evidence import keyword_evidence as keyword_evidence_of
 from ..sources.dims import CLAUSE_WORDS, MONEY, NOT_COUNTED, OFFICIAL_TITLE, PERSON_LABEL, STATUS_RULES
 from ..sources.views import korean_lines, registry
 from .dialect import Spark, any_in, check_sql, spark_query, text, values
@@ -51,6 +52,7 @@ def _all(d: Spark) -> str:
 
 @plan
 def keyword_evidence(d: Spark) -> str:
+    """The SQL that checks :func:`corpusloom.operators.evidence.keyword_evidence`."""
     return f"{_lines(d)} SELECT line_key, clause, words, money, score FROM ({_all(d)}) e WHERE words <> '' OR money"
 
 
@@ -241,5 +243,9 @@ def ref_inheritance(d: Spark) -> str:
     return f"WITH r AS (SELECT * FROM {registry(d)} x) SELECT g.id, coalesce(s.ordering_agency, g.ordering_agency) AS agency, coalesce(s.production_date, g.production_date) AS base_date, s.id IS NULL AS orphan FROM r g LEFT JOIN r s ON s.id = g.id - 1 AND s.doc_type <> 'notice'"
 
 
-QUERIES = {name: spark_query(f) for name, f in PLANS.items()}
+def _evidence(spark, sf_dir):
+    return keyword_evidence_of(spark_query(lambda d: f"SELECT line_key, text FROM {korean_lines(d)} k")(spark, sf_dir))
+
+
+QUERIES = {name: spark_query(f) for name, f in PLANS.items()} | {"keyword_evidence": _evidence}
 ORACLE = {name: check_sql(f) for name, f in PLANS.items()}

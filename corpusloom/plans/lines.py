@@ -118,6 +118,14 @@ def mask_slots(d: Spark) -> str:
 FROM (SELECT doc_id, pos, item, mask, instr(item, mask) AS spot FROM (SELECT doc_id, pos, item, {d.first_match('item', pattern)} AS mask FROM ({d.numbered('doc_id', d.lines('text'), '{documents}')}) x) y WHERE mask <> '') z"""
 
 
+@plan
+def evidence_quotes(d: Spark) -> str:
+    """A quote is looked for without its white space: found, not found, or ambiguous; turns of fifty characters or fewer are too short for one."""
+    squeeze = lambda x: d.replace_all(x, r"\s+", "")
+    return f"""SELECT conv_id, turn, CASE WHEN chars <= 50 THEN 'too_short' WHEN instr(said, quote) = 0 THEN 'not_found' WHEN instr(substr(said, instr(said, quote) + 1), quote) > 0 THEN 'ambiguous' ELSE 'found' END AS state
+FROM (SELECT conv_id, turn, coalesce(length(text), 0) AS chars, {squeeze('text')} AS said, {squeeze("CASE turn % 3 WHEN 0 THEN substr(text, 5, 40) WHEN 1 THEN substr(text, 10, 2) ELSE concat(substr(text, 5, 20), 'zq') END")} AS quote FROM {{conversations}}) x"""
+
+
 @plan
 def evidence_pages(d: Spark) -> str:
     """Pages that still hold both ends of an assertion."""
@@ -159,7 +167,7 @@ QUERIES = {name: spark_query(f) for name, f in PLANS.items()} | {
     "split_long_lines": lambda s, p: L.split_long(s.read.parquet(f"{p}/documents.parquet")).select("doc_id", "line_id", F.length("text").cast("long").alias("chars"), F.sha2("text", 256).alias("text_sha")),
     "line_context": lambda s, p: C.line_context(_page_rows(s, p)).select("doc_id", "pos", F.sha2("context", 256).alias("context_sha")),
     "budgeted_context": lambda s, p: C.budgeted_context(_page_rows(s, p), _anchors(s, p)).select("doc_id", "first_pos", "lines", F.length("context").cast("long").alias("chars"), F.sha2("context", 256).alias("context_sha")),
-    "evidence_quotes": lambda s, p: _quoted(s, p).select("conv_id", "turn", Q.located(F.col("text"), F.col("quote")).alias("x")).select("conv_id", "turn", "x.state", "x.offset"),
+    "quote_offsets": lambda s, p: _quoted(s, p).select("conv_id", "turn", Q.located(F.col("text"), F.col("quote")).alias("x")).select("conv_id", "turn", "x.state", "x.offset"),
     "cell_lines": lambda s, p: L.cell_lines(s.read.parquet(f"{p}/lineitem.parquet")),
     "fragment_presence": lambda s, p: L.fragment_presence(s.read.parquet(f"{p}/conversations.parquet")),
     "similar_attachment": lambda s, p: L.primary_attachment(s.read.parquet(f"{p}/part.parquet")),
@@ -195,7 +203,7 @@ kept AS (SELECT * FROM k WHERE b BETWEEN lo AND hi OR (b < lo AND upto <= rest /
 j AS (SELECT kept.doc_id, first_pos, count(*) AS lines, substr(string_agg(text, chr(10) ORDER BY pos), 1, 3600) AS context FROM kept JOIN l ON l.doc_id = kept.doc_id AND l.block_id = kept.b GROUP BY 1, 2)
 SELECT doc_id, first_pos, lines, length(context)::BIGINT AS chars, sha256(context) AS context_sha FROM j"""
     ),
-    "evidence_quotes": f"""WITH x AS (SELECT conv_id, turn, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '\\s+', '', 'g') AS said, regexp_replace(coalesce({_QUOTE}, ''), '\\s+', '', 'g') AS quote FROM conversations),
+    "quote_offsets": f"""WITH x AS (SELECT conv_id, turn, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '\\s+', '', 'g') AS said, regexp_replace(coalesce({_QUOTE}, ''), '\\s+', '', 'g') AS quote FROM conversations),
 y AS (SELECT *, CASE WHEN quote = '' THEN 'empty' WHEN instr(said, quote) = 0 THEN 'not found' WHEN instr(substr(said, instr(said, quote) + 1), quote) > 0 THEN 'ambiguous' ELSE 'found' END AS state FROM x)
 SELECT conv_id, turn, state, CASE WHEN state = 'found' THEN list_filter(range(length(text)), lambda i: NOT regexp_matches(substr(text, i + 1, 1), '\\s'))[instr(said, quote)] END AS "offset" FROM y""",
 }

@@ -66,3 +66,29 @@ def test_status_rules_of_all_types(lines):
     assert {(r.doc, r.line_key, r.status) for r in lines(rows, candidates.status_candidates)} == want
     cells = lines(rows, candidates.cell_measures)
     assert len(cells) == 68 and all(r.documents == 1 and r.state == "counted" for r in cells)
+
+
+def test_evidence_in_one_pass(spark):
+    from corpusloom.operators.evidence import keyword_evidence
+    from corpusloom.sources.dims import CLAUSE_WORDS, NOT_COUNTED
+
+    def brute(text, clause):
+        def hit(w):
+            said = text
+            for phrase in sorted(NOT_COUNTED.get((clause, w), ()), key=len, reverse=True):
+                said = said.replace(phrase, "")
+            return w in said
+
+        found = [w for w in CLAUSE_WORDS[clause] if hit(w)]
+        own = [w for w in found if not any(o != w and w in o for o in found)]
+        return ",".join(own), sum(min(4, 2 + len(w) // 4) for w in own)
+
+    texts = ["무기계약직 채용", "계약직과 수의계약", "종합감사 감사드립니다", "감사와 감사드립니다", "납품단가 1,000원", "", None, "택지개발 택지", "3억 원", "x"] + ["".join(pair) for pair in zip(sum(CLAUSE_WORDS.values(), ()), reversed(sum(CLAUSE_WORDS.values(), ())))]
+    got = {}
+    for r in keyword_evidence(spark.createDataFrame(list(enumerate(texts)), "id int, text string")).collect():
+        got[r.id, r.clause] = (r.words, r.score - r.money)
+        assert r.words or r.money
+    for i, text in enumerate(texts):
+        for clause in CLAUSE_WORDS:
+            words, score = brute(text or "", clause)
+            assert got.get((i, clause), ("", 0)) == (words, score), (text, clause)
