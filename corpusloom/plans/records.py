@@ -15,7 +15,7 @@ from ..functions import json as J
 from ..operators import bands, blocks, payloads
 from ..sources.dims import APPROVAL_COLUMNS, BULLETS, DRAFT_BLANKS, FORM_BUCKETS, FORM_TYPES, GUIDE_WORDS, HEADER_KEYS, REMOVED_TYPES, RENDERERS, RESEARCH_WORDS, STATUS_WORDS
 from ..sources.views import korean_lines, registry
-from ..store import shared_folder
+from ..store import run_folder
 from ..streaming import ingest
 from ..streaming.queue import PendingQueue, backfill, collect
 from .dialect import Spark, any_in, check_sql, spark_query, text, values
@@ -246,7 +246,7 @@ def two_pass_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     The first pass enqueues what a stream of events names. The second fetches, source by source but
     for one; every third fetch fails and stays in the queue.
     """
-    base = f"{shared_folder(spark)}/corpusloom/queue-{uuid.uuid4().hex}"
+    base = f"{run_folder(spark)}/queue-{uuid.uuid4().hex}"
     queue = PendingQueue(spark, f"{base}/queue")
     found = ingest.event_stream(spark, sf_dir).select(
         F.col("event_type").alias("source"), F.when(F.col("user_id") % 11 != 0, F.concat(F.lit("http://files/"), F.col("user_id") % 50)).alias("source_url"), F.col("event_id").alias("arrival")

@@ -22,8 +22,19 @@ def shared_folder(spark: SparkSession) -> str:
     return kept
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's tables in the shared one."""
+    return f"{shared_folder(spark)}/corpusloom/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables of this application; results that read them can't be computed afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table of its own: computed once, kept when executors are lost."""
-    path = f"{shared_folder(df.sparkSession)}/corpusloom/{name}-{uuid.uuid4().hex}"
+    """``df`` as a table of its own: computed once, kept when executors are lost, until :func:`release`."""
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..store import shared_folder
+from ..store import run_folder
 
 
 def dedup_key() -> Column:
@@ -51,7 +51,7 @@ def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A batch that is repeated after a failure appends nothing new, so the checkpoint may lag behind.
     """
-    base = f"{shared_folder(spark)}/corpusloom/ingest-{uuid.uuid4().hex}"
+    base = f"{run_folder(spark)}/ingest-{uuid.uuid4().hex}"
     keyed = event_stream(spark, sf_dir).select("event_id", dedup_key().alias("dedup_key"))
     query: StreamingQuery = keyed.writeStream.foreachBatch(lambda df, _: upsert_new(df, f"{base}/table")).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
@@ -60,7 +60,7 @@ def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(event_type, n, total) kept as streaming state and written whenever it changes; the last state is returned."""
-    base = f"{shared_folder(spark)}/corpusloom/counts-{uuid.uuid4().hex}"
+    base = f"{run_folder(spark)}/counts-{uuid.uuid4().hex}"
     counts = event_stream(spark, sf_dir).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"))
     query = counts.writeStream.outputMode("complete").foreachBatch(lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("append").parquet(f"{base}/table")).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
@@ -71,7 +71,7 @@ def running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(day, event_type, n) by event time, with a watermark of one day; windows still open at the end are flushed by complete mode."""
-    base = f"{shared_folder(spark)}/corpusloom/windows-{uuid.uuid4().hex}"
+    base = f"{run_folder(spark)}/windows-{uuid.uuid4().hex}"
     stream = event_stream(spark, sf_dir).withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", "1 day")
     counts = stream.groupBy(F.window("at", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
     flat = counts.select(F.to_date("w.start").alias("day"), "event_type", "n")

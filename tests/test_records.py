@@ -263,3 +263,15 @@ def test_collection_resumes_where_it_was_killed(spark, tmp_path, monkeypatch, la
     before = len(calls)
     collect(stream(), queue, f"file://{tmp_path}/checkpoint").awaitTermination()  # nothing new
     assert len(calls) == before
+
+
+def test_release_deletes_the_tables_of_the_run(spark):
+    from pathlib import Path
+
+    from corpusloom.store import release, run_folder, written
+
+    table = written(spark.range(3), "kept")
+    folder = Path(run_folder(spark).removeprefix("file://"))
+    assert table.count() == 3 and any(folder.iterdir())
+    release(spark)
+    assert not folder.exists() and written(spark.range(2), "again").count() == 2
