@@ -42,12 +42,12 @@ def resolve_types(rows: DataFrame, payload: str = "payload") -> DataFrame:
     result's classification before the payload's provenance before the result's provenance; the
     reason tells which other forms lost. A form that nobody knows, or none, gives no type.
     """
-    doc = F.try_parse_json(F.col(payload))
+    doc = F.col("_doc")  # parsed once
     form = lambda path: _words_of(J.at(doc, f"$.{path}.document_form"))
     explicit = J.at(doc, "$.result.source_classification.document_type")
     blocks = J.items(J.at(doc, "$.result.generated_document.blocks"))
     paragraphs = F.filter(F.transform(F.filter(blocks, lambda b: J.said(J.at(b, "$.kind")) == "paragraph"), lambda b: _words_of(J.at(b, "$.text"))), lambda t: t.isNotNull())
-    read = rows.select(
+    read = rows.withColumn("_doc", F.try_parse_json(F.col(payload))).select(
         *rows.columns,
         F.struct(
             explicit.isNotNull().alias("stated"), J.said(explicit).alias("explicit"),

@@ -103,11 +103,11 @@ def rebuild_frames(records: DataFrame, templates: DataFrame, version: str, contr
     ``accepted``; a record without a version passes), *no number*, *out of range*, *no document*. Older
     contracts are read and told, not refused.
     """
-    doc = F.try_parse_json(F.col(record))
+    doc = F.col("_doc")  # parsed once
     text = lambda path: F.try_variant_get(doc, path, "string")
     responded = J.at(doc, "$.response").isNotNull()
     body = F.when(responded, J.at(doc, "$.response.document")).otherwise(J.at(doc, "$.document"))
-    read = records.select(
+    read = records.withColumn("_doc", F.try_parse_json(F.col(record))).select(
         *records.columns,
         F.struct(
             doc.isNotNull().alias("parsed"), text("$.template").alias("template"), F.coalesce(text("$.template_version"), F.lit("")).alias("version"),
