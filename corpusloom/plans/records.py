@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json as J
+from ..functions.text import WHITE
 from ..operators import bands, blocks, payloads
 from ..sources.dims import APPROVAL_COLUMNS, BULLETS, DRAFT_BLANKS, FORM_BUCKETS, FORM_TYPES, GUIDE_WORDS, HEADER_KEYS, REMOVED_TYPES, RENDERERS, RESEARCH_WORDS, STATUS_WORDS
 from ..sources.views import korean_lines, registry
@@ -155,14 +156,19 @@ _TURNS = f"""t AS (SELECT conv_id, turn, coalesce(text, '') AS t, {_nth(f'(turn
 e AS (SELECT *, CASE WHEN conv_id % 3 = 0 THEN '' ELSE substr(t, 1, 5) END AS v0, substr(t, 6, 5) AS v1, CASE WHEN conv_id % 2 = 0 THEN '기안자' ELSE '항목' END AS c0, CASE WHEN turn % 2 = 0 THEN substr(t, 9, 4) END AS about FROM t)"""
 
 
+#: White space of any kind, as the rule strips it; without it the SQL's own trim would take spaces alone.
+_WHITE = f"concat({', '.join(f'chr({ord(c)})' for c in WHITE)})"
+
+
 def _bullet_sql(x: str) -> str:
-    return f"CASE WHEN split_part(ltrim({x}), ' ', 1) IN ({', '.join(map(text, BULLETS))}) AND trim(substr(ltrim({x}), length(split_part(ltrim({x}), ' ', 1)) + 2)) <> '' THEN {x} ELSE concat('- ', {x}) END"
+    bare = f"ltrim({x}, {_WHITE})"
+    return f"CASE WHEN split_part({bare}, ' ', 1) IN ({', '.join(map(text, BULLETS))}) AND trim(substr({bare}, length(split_part({bare}, ' ', 1)) + 2), {_WHITE}) <> '' THEN {x} ELSE concat('- ', {x}) END"
 
 
 @_query(
     lambda d: f"""WITH {_TURNS}, s AS (SELECT conv_id, turn, CASE kind WHEN 'paragraph' THEN t WHEN 'key_value' THEN concat(k0, ': ', v0, chr(10), k1, ': ', v1)
 WHEN 'bullet_list' THEN concat_ws(chr(10), {_bullet_sql("concat('○ ', substr(t, 1, 6))")}, {_bullet_sql('substr(t, 7, 6)')}, {_bullet_sql("concat('-', substr(t, 1, 3))")}, '-  ※ ')
-WHEN 'table' THEN concat(c0, chr(9), '최종 결재', chr(10), trim(concat(' ', substr(t, 2, 4), ' ')), chr(9), chr(10), trim(substr(t, 6, 4)), chr(9), '9')
+WHEN 'table' THEN concat(c0, chr(9), '최종 결재', chr(10), trim(concat(' ', substr(t, 2, 4), ' '), {_WHITE}), chr(9), chr(10), trim(substr(t, 6, 4), {_WHITE}), chr(9), '9')
 ELSE concat('[첨부] ', substr(t, 1, 8), ' (A', turn, ')', CASE WHEN coalesce(about, '') <> '' THEN concat(': ', about) ELSE '' END) END AS said FROM e)
 SELECT conv_id, sha256(string_agg(said, chr(10) || chr(10) ORDER BY turn)) AS body_sha, length(string_agg(said, chr(10) || chr(10) ORDER BY turn))::BIGINT AS chars, count(*) AS blocks FROM s GROUP BY conv_id"""
 )
