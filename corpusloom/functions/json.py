@@ -22,19 +22,38 @@ PLACES = 12
 _SHORT = {"\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}
 
 
+#: Stretches between characters that NFC changes are told at once where they are so long.
+STRETCH = 128
+
+
+def _class(ranges: list[tuple[int, int]], negated: bool = False) -> str:
+    return ("[^" if negated else "[") + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
 @functools.lru_cache(1)
-def _changeable() -> str:
-    """A class of the characters that NFC changes, or that may join one before them."""
+def _changeable() -> tuple[str, str]:
+    """Two classes of characters: those that NFC changes, or that may join one before them; and these with all in between but for long stretches.
+
+    The first has some hundred ranges, which are tried one by one for each character; the second few.
+    """
     odd = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000 and (unicodedata.combining(chr(i)) or 0x1160 <= i <= 0x11FF or not unicodedata.is_normalized("NFC", chr(i)))]
-    # vowel signs and the like have no combining class but do compose with the letter before them
-    odd += {ord(unicodedata.normalize("NFD", chr(i))[-1]) for i in range(0x110000) if not 0xD800 <= i < 0xE000 and not 0xAC00 <= i < 0xD7A4 and unicodedata.normalize("NFD", chr(i)) != chr(i)}
+    # vowel signs and the like have no combining class but do compose with the letter before them; what alone stands for another character composes with nothing
+    odd += {ord(apart[-1]) for i in range(0x110000) if not 0xD800 <= i < 0xE000 and not 0xAC00 <= i < 0xD7A4 and len(apart := unicodedata.normalize("NFD", chr(i))) > 1}
     ranges: list[list[int]] = []
     for i in sorted(set(odd)):
         if ranges and ranges[-1][1] == i - 1:
             ranges[-1][1] = i
         else:
             ranges.append([i, i])
-    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+    edges = [(-1, -1), *ranges, (0x110000, 0x110000)]
+    calm = [(a[1] + 1, b[0] - 1) for a, b in zip(edges, edges[1:]) if b[0] - a[1] > STRETCH]
+    return _class(ranges), _class(calm, negated=True)
+
+
+def changeable(text: Column) -> Column:
+    """Whether NFC may change a text; what is told by its length, or by a small class, goes no further."""
+    exact, near = _changeable()
+    return (F.octet_length(text) > F.length(text)) & text.rlike(near) & text.rlike(exact)
 
 
 def _quoted(text: Column) -> Column:
@@ -113,7 +132,7 @@ def canonical_json(value: Column, kind: T.DataType, normal: bool = True) -> Colu
         dump = functools.partial(json.dumps, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
         return said.map(lambda s: dump(_normal(json.loads(s))), na_action="ignore")
 
-    rare = quick.rlike(_changeable())
+    rare = changeable(quick)
     fractions = _unusual(value, kind)
     rare = rare if fractions is None else rare | fractions
     return F.coalesce(F.pandas_udf(slow, T.StringType())(F.when(rare, given)), quick)
