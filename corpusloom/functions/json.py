@@ -53,7 +53,8 @@ def _changeable() -> tuple[str, str]:
 def changeable(text: Column) -> Column:
     """Whether NFC may change a text; what is told by its length, or by a small class, goes no further."""
     exact, near = _changeable()
-    return (F.octet_length(text) > F.length(text)) & text.rlike(near) & text.rlike(exact)
+    # bound to a variable, as a text that is made of many parts must be made once
+    return F.transform(F.array(text), lambda t: (F.octet_length(t) > F.length(t)) & t.rlike(near) & t.rlike(exact))[0]
 
 
 def _quoted(text: Column) -> Column:
