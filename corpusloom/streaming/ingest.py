@@ -20,12 +20,19 @@ def dedup_key() -> Column:
     return F.concat_ws("::", F.col("user_id").cast("string"), "event_type", F.to_date("ts").cast("string"))
 
 
-def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """The events table as a stream of files."""
+#: Files of so many bytes together are taken by one micro-batch.
+BATCH_BYTES = 8 << 30
+
+
+def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None, bytes_per_trigger: int = BATCH_BYTES) -> DataFrame:
+    """The events table as a stream of files, so many bytes (or, on request, files) a micro-batch, so that small files don't cost a batch each."""
     path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
     folder, _, name = path.rpartition("/")
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(path if _is_folder(spark, path) else folder).where(F.input_file_name().contains(f"/{name}"))
+    whole = _is_folder(spark, path)
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet" if whole else name)
+    stream = stream.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else stream.option("maxBytesPerTrigger", bytes_per_trigger)
+    return stream.parquet(path if whole else folder).where(F.input_file_name().contains(f"/{name}"))
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:

@@ -81,3 +81,21 @@ def test_discover(spark, tmp_path):
 def test_schema_changes(spark):
     out = files.accept_changes(spark.range(1), spark.range(1).withColumn("b", F.lit("x")))
     assert sorted((r.id, r.b) for r in out.collect() if r.b) == [(0, "x")] and out.count() == 2
+
+
+@pytest.mark.parametrize("files", [1, 40])
+def test_small_files_of_events_share_a_batch(spark, tmp_path, files):
+    from corpusloom.streaming.ingest import event_stream
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    here = f"file://{tmp_path}/tables"
+    if files == 1:  # a file among other tables
+        (tmp_path / "tables").mkdir()
+        for name in ("events", "orders", "labels"):
+            (tmp_path / "tables" / f"{name}.parquet").symlink_to(f"/root/testdata/sf0.001/{name}.parquet")
+    else:
+        events.repartition(files).write.parquet(f"{here}/events.parquet")
+    seen = []
+    stream = event_stream(spark, here).writeStream.foreachBatch(lambda df, n: seen.append(df.count())).option("checkpointLocation", f"file://{tmp_path}/checkpoint").trigger(availableNow=True).start()
+    stream.awaitTermination()
+    assert seen == [events.count()]
