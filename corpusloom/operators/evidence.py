@@ -1,13 +1,15 @@
-"""Words that speak for a clause, counted line by line in one pass."""
+"""Words that speak for a clause or a status, looked for line by line in one pass."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.dims import CLAUSE_WORDS, MONEY, NOT_COUNTED
+from ..sources.dims import CLAUSE_WORDS, MONEY, NOT_COUNTED, STATUS_RULES
 
 #: Clauses for which an amount of money is evidence, too.
 MONEY_CLAUSES = ("5", "7")
@@ -47,3 +49,38 @@ def keyword_evidence(lines: DataFrame, text: str = "text", words: Mapping[str, S
 
     each = hit.select(*rest, F.explode(F.array(*(evidence(c) for c in words))).alias("_e"))
     return each.select(*rest, "_e.*").where("words <> '' OR money")
+
+
+def _first(rows: DataFrame, most: int, by: Sequence[str], *order: str) -> DataFrame:
+    """The first ``most`` rows of each group."""
+    return rows.withColumn("_nth", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("_nth") <= most).drop("_nth")
+
+
+def withholding_reasons(lines: DataFrame, quotes: int = 3, chars: int = 120) -> DataFrame:
+    """(doc, clause, reason) of ``lines`` (line_key, doc, text): the first quotes of the first lines with evidence, which travel with it."""
+    quoted = keyword_evidence(lines.select("line_key", "doc", "text", F.substring("text", 1, chars).alias("quote"))).select("doc", "clause", "line_key", "quote")
+    first = _first(quoted, quotes, ("doc", "clause"), "line_key", "quote")
+    said = F.transform(F.array_sort(F.collect_list(F.struct("line_key", "quote"))), lambda x: x["quote"])
+    return first.groupBy("doc", "clause").agg(F.array_join(said, "; ").alias("said")).select("doc", "clause", F.concat(F.lit("제"), "clause", F.lit("호: "), "said").alias("reason"))
+
+
+def status_hints(lines: DataFrame, most: int, rules: Mapping[str, Sequence[tuple[str, Sequence[str]]]] = STATUS_RULES) -> DataFrame:
+    """(doc_type, doc, line_key, status) of ``lines`` (line_key, doc, doc_type, text): each line and status of its type once, the first ``most`` of a document.
+
+    A line meets only the words of its own type, so all types are looked for in one pass.
+    """
+    hints = F
+    for kind, statuses in rules.items():
+        found = (F.when(functools.reduce(Column.__or__, (F.contains("text", F.lit(w)) for w in words)), F.struct(F.lit(n).alias("nth"), F.lit(status).alias("status"))) for n, (status, words) in enumerate(statuses))
+        hints = hints.when(F.col("doc_type") == kind, F.array(*found))
+    each = lines.select("doc_type", "doc", "line_key", F.explode(F.array_compact(hints)).alias("_h")).select("doc_type", "doc", "line_key", "_h.*")
+    return _first(each, most, ("doc",), "line_key", "nth").drop("nth")
+
+
+def status_cells(hints: DataFrame, cells: DataFrame) -> DataFrame:
+    """``cells`` (doc_type, status) with (spans, documents, state) of their :func:`status_hints`, counted document by document first."""
+    docs = hints.groupBy("doc", "doc_type", "status").agg(F.count("line_key").alias("n"))
+    counted = docs.groupBy("doc_type", "status").agg(F.sum("n").alias("_spans"), F.count("doc").alias("_docs"))
+    spans, documents = (F.coalesce(c, F.lit(0)).cast("long") for c in ("_spans", "_docs"))
+    joined = cells.join(counted, ["doc_type", "status"], "left")
+    return joined.select("doc_type", "status", spans.alias("spans"), documents.alias("documents"), F.when(spans == 0, "zero_matches").otherwise("counted").alias("state"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators.evidence import keyword_evidence as keyword_evidence_of
+from ..operators import evidence as E
 from ..sources.dims import CLAUSE_WORDS, MONEY, NOT_COUNTED, OFFICIAL_TITLE, PERSON_LABEL, STATUS_RULES
 from ..sources.views import korean_lines, registry
 from .dialect import Spark, any_in, check_sql, spark_query, text, values
@@ -71,12 +71,15 @@ s AS (SELECT doc, clause, line_key, score + least(2, around) AS match_score FROM
 SELECT doc, clause, line_key, CAST(match_score AS BIGINT) AS match_score, place FROM (SELECT *, row_number() OVER (PARTITION BY doc, clause ORDER BY match_score DESC, line_key) AS place FROM s) r WHERE place <= {MAX_CANDIDATES_PER_DOC}"""
 
 
+def _doc_type() -> str:
+    return f"CASE doc % {len(STATUS_RULES)} " + " ".join(f"WHEN {i} THEN {text(k)}" for i, k in enumerate(STATUS_RULES)) + " END"
+
+
 @plan
 def status_candidates(d: Spark) -> str:
     """Hints at administrative statuses by document type, each line and status once, the first sixty of a document."""
     rules = " UNION ALL ".join(f"SELECT line_key, doc, {text(status)} AS status, {i} AS nth FROM t WHERE doc_type = {text(kind)} AND {any_in('text', words)}" for kind in STATUS_RULES for i, (status, words) in enumerate(STATUS_RULES[kind]))
-    pick = f"CASE doc % {len(STATUS_RULES)} " + " ".join(f"WHEN {i} THEN {text(k)}" for i, k in enumerate(STATUS_RULES)) + " END"
-    return f"{_lines(d)}, t AS (SELECT *, {pick} AS doc_type FROM l) SELECT doc, line_key, status FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY line_key, nth) AS place FROM ({rules}) u) r WHERE place <= {MAX_CANDIDATES_PER_DOC}"
+    return f"{_lines(d)}, t AS (SELECT *, {_doc_type()} AS doc_type FROM l) SELECT doc, line_key, status FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY line_key, nth) AS place FROM ({rules}) u) r WHERE place <= {MAX_CANDIDATES_PER_DOC}"
 
 
 @plan
@@ -244,8 +247,24 @@ def ref_inheritance(d: Spark) -> str:
 
 
 def _evidence(spark, sf_dir):
-    return keyword_evidence_of(spark_query(lambda d: f"SELECT line_key, text FROM {korean_lines(d)} k")(spark, sf_dir))
+    return E.keyword_evidence(spark_query(lambda d: f"SELECT line_key, text FROM {korean_lines(d)} k")(spark, sf_dir))
+
+
+def _reasons(spark, sf_dir):
+    return E.withholding_reasons(spark_query(lambda d: f"SELECT line_key, doc, text FROM {korean_lines(d)} k")(spark, sf_dir))
+
+
+def _hints(spark, sf_dir):
+    lines = spark_query(lambda d: f"SELECT line_key, doc, text, {_doc_type()} AS doc_type FROM {korean_lines(d)} k")(spark, sf_dir)
+    return E.status_hints(lines, MAX_CANDIDATES_PER_DOC)
+
+
+def _cells(spark, sf_dir):
+    cells = spark.createDataFrame([(k, s) for k, rules in STATUS_RULES.items() for s, _ in rules], "doc_type string, status string")
+    return E.status_cells(_hints(spark, sf_dir), cells)
 
 
-QUERIES = {name: spark_query(f) for name, f in PLANS.items()} | {"keyword_evidence": _evidence}
+#: These look at every line once; their plans above state the rules for the check.
+ONE_PASS = {"keyword_evidence": _evidence, "withholding_reasons": _reasons, "status_candidates": lambda spark, sf_dir: _hints(spark, sf_dir).drop("doc_type"), "cell_measures": _cells}
+QUERIES = {name: spark_query(f) for name, f in PLANS.items()} | ONE_PASS
 ORACLE = {name: check_sql(f) for name, f in PLANS.items()}

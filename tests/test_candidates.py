@@ -92,3 +92,18 @@ def test_evidence_in_one_pass(spark):
         for clause in CLAUSE_WORDS:
             words, score = brute(text or "", clause)
             assert got.get((i, clause), ("", 0)) == (words, score), (text, clause)
+
+
+def test_one_pass_gives_what_the_plans_give(spark, tmp_path, monkeypatch):
+    from corpusloom.sources.dims import STATUS_RULES
+
+    monkeypatch.setattr(candidates, "korean_lines", lambda d: LINES)
+    words = [word for rules in STATUS_RULES.values() for _, said in rules for word in said] + [word for said in candidates.CLAUSE_WORDS.values() for word in said]
+    rows = [(i, i % 40, f"{word} {words[(7 * i) % len(words)]} {'3억 원' if i % 3 == 0 else ''}") for i, word in enumerate(words * 3)]
+    rows += [(100000 + i, 41, " ".join(words)) for i in range(70)] + [(200000, 42, None), (200001, 42, "x"), (200002, 43, "입찰 " + "y" * 200)]
+    spark.createDataFrame(rows, "line_key long, doc long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("status_candidates", "cell_measures", "withholding_reasons"):
+        got = candidates.QUERIES[name](spark, str(tmp_path))
+        want = spark_query(candidates.PLANS[name])(spark, str(tmp_path))
+        assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect())), name
+        assert got._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1, name
