@@ -100,3 +100,12 @@ def test_names(spark):
     share = ids.where(P.chosen(F.col("id"), 3, 0.3)).count() / 2000
     assert 0.25 < share < 0.35 and ids.where(P.chosen(F.col("id"), 3, 0)).count() == 0 == ids.where(P.chosen(F.col("id"), 3, -1.0)).count()
     assert ids.where(P.chosen(F.col("id"), 3, 1.01)).count() == 2000
+
+
+def test_texts_of_candidates_are_exchanged_with_their_lines_only(spark):
+    rows = spark.createDataFrame([("a", 1, "e", [1, 2], "x y", "0", 1)] * 2, "candidate_id string, doc_id int, extraction_id string, line_ids array<int>, text string, text_sha256 string, page int")
+    now = spark.createDataFrame([(1, "e", 1, 1, "x", False), (1, "e", 2, 1, "y", False)], "doc_id int, extraction_id string, line_id int, page int, cleaned_text string, is_boilerplate boolean")
+    done = P.revalidated(rows.withColumn("text_sha256", F.sha2("text", 256)), now)
+    assert [r.error for r in done.collect()] == [None, None]
+    plan = done.select("candidate_id", "error")._jdf.queryExecution().optimizedPlan().children().head().toString()
+    assert "_said" in plan and "line_ids" not in plan.split("Join", 1)[1].split("\n", 1)[0]
